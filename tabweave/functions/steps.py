@@ -230,7 +230,9 @@ def _file_copy(df, value, out, cfg, ctx):
     planned = df.withColumn("_copy_to", F.get(F.col(value), F.lit(1)))
     if cfg.get("file_exists", "rename") != "rename":
         return planned.withColumnRenamed("_copy_to", out)
-    return number_clashes(planned, "_copy_to", [ctx.key], out).drop("_copy_to")
+    # Numeric keys count in numeric order.
+    planned = planned.withColumn("_key_number", F.col(ctx.key).try_cast("bigint"))
+    return number_clashes(planned, "_copy_to", ["_key_number", ctx.key], out).drop("_copy_to", "_key_number")
 
 
 register_step("default_value", _default_value, whole_list=True)

@@ -15,6 +15,9 @@ from tabweave.functions.text import key_text, source_col, target_id
 
 _KEY, _HIT = "_lookup_key", "_lookup_hit"
 
+# Partitions that rows without a key are spread over.
+SALTS = 4096
+
 
 def one_per_key(dimension: DataFrame, key: Column, hit: Column) -> DataFrame:
     """Reduce a dimension to its least hit per key, partly before the shuffle."""
@@ -23,8 +26,17 @@ def one_per_key(dimension: DataFrame, key: Column, hit: Column) -> DataFrame:
     )
 
 
-def left_lookup(df: DataFrame, key: Column, dimension: DataFrame, out: str) -> DataFrame:
-    """Add ``out``: the hit of ``key`` in a dimension made by :func:`one_per_key`, NULL on a miss."""
+def left_lookup(
+    df: DataFrame, key: Column, dimension: DataFrame, out: str, spread: Column | None = None
+) -> DataFrame:
+    """Add ``out``: the hit of ``key`` in a dimension made by :func:`one_per_key`, NULL on a miss.
+
+    Optional references leave many rows without a key. With ``spread``, any column that varies, these
+    rows go to many partitions instead of the one of NULL; the salt is no key of the dimension.
+    """
+    if spread is not None:
+        salt = F.concat(F.lit("\x00no key "), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("string"))
+        key = F.coalesce(key, salt)
     return df.join(dimension, key == F.col(_KEY), "left").withColumnRenamed(_HIT, out).drop(_KEY)
 
 
@@ -50,7 +62,8 @@ def entity_lookup(
     fold = F.lower if ignore_case else (lambda c: c)
     dimension = one_per_key(entities, fold(F.col("value")), F.col("id"))
     if df.schema[value].dataType.typeName() != "array":
-        return left_lookup(df, fold(source_col(value)), dimension, out)
+        spread = source_col(row_key) if row_key else None
+        return left_lookup(df, fold(source_col(value)), dimension, out, spread)
     # A row's own values only, as many as its cell holds.
     parts = df.select(F.col(row_key).alias("_row_key"), F.posexplode(source_col(value)).alias("_at", "_part"))
     hits = left_lookup(parts, fold(F.col("_part")), dimension, "_id").filter(F.col("_id").isNotNull())
@@ -72,6 +85,7 @@ def migration_lookup(
     migrations: Sequence[str] | str,
     out: str,
     source_ids: Mapping[str, Sequence[str]] | None = None,
+    row_key: str | None = None,
 ) -> DataFrame:
     """Source key to target id through the id maps of other jobs; the first hit in listed order.
 
@@ -86,7 +100,8 @@ def migration_lookup(
             F.coalesce(*[F.when(source_col(c).isNotNull(), F.lit(True)) for c in asked]),
             key_text([source_col(c) for c in asked]),
         )
-        df = left_lookup(df, key, id_map_of(id_map, name), f"_hit_{i}")
+        spread = source_col(row_key) if row_key else None
+        df = left_lookup(df, key, id_map_of(id_map, name), f"_hit_{i}", spread)
         hits.append(f"_hit_{i}")
     return df.withColumn(out, F.coalesce(*hits)).drop(*hits)
 

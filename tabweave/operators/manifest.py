@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabweave.operators.numbering import HOT_ROWS, running_number
 
-_NTH = "_nth"
+_CLAIM, _NTH = "_claim", "_nth"
 
 
 def clash_name(path: Column, nth: Column) -> Column:
@@ -25,9 +25,14 @@ def clash_name(path: Column, nth: Column) -> Column:
 def number_clashes(
     df: DataFrame, path: str, order: Sequence[str], out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Give every row of one path a path of its own, in key order."""
-    numbered = running_number(df, [path], order, _NTH, hot_rows)
-    return numbered.withColumn(out, clash_name(F.col(path), F.col(_NTH))).drop(_NTH)
+    """Give every row of one path a path of its own, in key order.
+
+    Rows without a path are groups of their own, so they gather nowhere.
+    """
+    alone = F.concat_ws("\x00", F.lit(""), *order)
+    grouped = df.withColumn(_CLAIM, F.coalesce(F.col(path), alone))
+    numbered = running_number(grouped, [_CLAIM], order, _NTH, hot_rows)
+    return numbered.withColumn(out, clash_name(F.col(path), F.col(_NTH))).drop(_NTH, _CLAIM)
 
 
 def copy_manifest(

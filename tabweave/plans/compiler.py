@@ -60,7 +60,7 @@ class _Field:
     stop: str | None = None
     halt: str | None = None
     logs: list[str] = field(default_factory=list)
-    stub: str | None = None
+    stubs: list[str] = field(default_factory=list)
 
     @property
     def done(self) -> bool:
@@ -79,6 +79,10 @@ class MappingPlan:
         self.sources = set(df.columns)
         self.fields = [_Field(i, name, normalize_steps(p)) for i, (name, p) in enumerate(mapping.items())]
         self.by_name = {f.name: f for f in self.fields}
+        # Destinations whose final value is a column of the frame.
+        self.settled: set[str] = set()
+        # Rows that ended before the first lookup; they skip all lookups.
+        self.ended: DataFrame | None = None
         self._check_references()
 
     def _check_references(self) -> None:
@@ -93,7 +97,7 @@ class MappingPlan:
                     S.find_step(step["plugin"])
 
     def _ready(self, step: dict) -> bool:
-        return all(self.by_name[r].done for r in references(step))
+        return self.settled.issuperset(references(step))
 
     def _source(self, name: str) -> Column:
         if name.startswith("@@"):
@@ -104,15 +108,17 @@ class MappingPlan:
             raise ValueError(f"Source column {name!r} is not in the sheet")
         return source_col(name)
 
-    def _dtype(self, value: Column) -> T.DataType:
-        return self.df.select(value.alias("v")).schema["v"].dataType
+    def _dtype(self, f: _Field) -> T.DataType:
+        if f.stored and f.column in self.df.columns:
+            return self.df.schema[f.column].dataType
+        return self.df.select(f.value.alias("v")).schema["v"].dataType
 
     def _get(self, f: _Field, step: dict) -> Column:
         source = step.get("source")
         if source is None:
             if f.value is None:
                 raise ValueError(f"{f.name} starts without a source")
-            return drop_empty(f.value, self._dtype(f.value))
+            return drop_empty(f.value, self._dtype(f))
         if isinstance(source, str):
             return self._source(source)
         return F.array(*[self._source(s).cast("string") for s in source])
@@ -137,6 +143,10 @@ class MappingPlan:
             if not self._ready(step):
                 break
             kind = self._kind(step)
+            if step["plugin"] == "migration_lookup" and f.value is None:
+                # Each map is asked with columns of its own.
+                f.value, f.stored = F.lit(None).cast("string"), False
+                moved = True
             if kind == S.FRAME or (kind == S.CHECK and not f.stored):
                 break
             if kind == S.CHECK:
@@ -155,13 +165,13 @@ class MappingPlan:
 
     def _value(self, f: _Field, step: dict) -> Column:
         found = S.find_step(step["plugin"])
-        dtype = self._dtype(f.value) if f.value is not None else None
+        dtype = self._dtype(f) if f.value is not None else None
         if isinstance(dtype, T.ArrayType) and not found.whole_list:
             return F.transform(f.value, lambda e: found.build(e, dtype.elementType, step, self.ctx))
         return found.build(f.value, dtype, step, self.ctx)
 
     def _check(self, f: _Field, step: dict, columns: dict[str, Column]) -> None:
-        dtype = self._dtype(f.value)
+        dtype = self._dtype(f)
         if step["plugin"] in NESTED_STEPS:
             result = nested(f.value, dtype, step, self.ctx)
         else:
@@ -201,7 +211,10 @@ class MappingPlan:
         if f.value is None:
             raise ValueError(f"{f.name} starts without a source")
         asked, out = f"_ask{f.at}", f"_out{f.at}"
-        self.df = self.df.withColumn(asked, f.value)
+        # A row that has ended asks for nothing.
+        ended = [F.col(g.halt) for g in self.fields[: f.at + 1] if g.halt]
+        alive = F.coalesce(*ended).isNull() if ended else None
+        self.df = self.df.withColumn(asked, f.value if alive is None else F.when(alive, f.value))
         if step["plugin"] == "migration_lookup":
             self._migration_lookup(f, step, asked, out)
         else:
@@ -229,32 +242,28 @@ class MappingPlan:
         }
         known = self.ctx.id_map
         if self.ctx.migration in names:
-            own = self.df.filter(self._first_halt().isNull()).select(
+            own = self.df.filter(first_halt(self.fields).isNull()).select(
                 F.lit(self.ctx.migration).alias("migration"),
                 F.col(key).alias("src_key"),
                 target_id(F.lit(self.ctx.migration), F.col(key)).alias("dest_id"),
             )
             known = own if known is None else known.select("migration", "src_key", "dest_id").unionByName(own)
-        self.df = lookups.migration_lookup(self.df, asked, known, names, out, source_ids)
+        self.df = lookups.migration_lookup(self.df, asked, known, names, out, source_ids, key)
         if not step.get("no_stub"):
             target = step.get("stub_id") or names[0]
-            stub = F.struct(F.lit(target).alias("migration"), F.col(asked).alias("src_key"))
-            f.stub = f"_stub{f.at}_{f.cursor}"
-            self.df = self.df.withColumn(
-                f.stub, F.when(F.col(asked).isNotNull() & F.col(out).isNull(), stub)
-            ).withColumn(
-                out, F.coalesce(F.col(out), F.when(F.col(f.stub).isNotNull(), target_id(F.lit(target), F.col(asked))))
-            )
+            wanted = F.struct(F.lit(target).alias("migration"), F.col(asked).alias("src_key"))
+            stub = f"_stub{f.at}_{f.cursor}"
+            placeholder = F.when(F.col(stub).isNotNull(), target_id(F.lit(target), F.col(asked)))
+            self.df = self.df.withColumn(stub, F.when(F.col(asked).isNotNull() & F.col(out).isNull(), wanted))
+            self.df = self.df.withColumn(out, F.coalesce(F.col(out), placeholder))
+            f.stubs.append(stub)
 
     def _plain_name(self, source: str) -> str:
         return self.by_name[source[1:]].column if source.startswith("@") else source
 
-    def _first_halt(self) -> Column:
-        halts = [F.col(f.halt) for f in self.fields if f.halt]
-        return F.coalesce(*halts) if halts else F.lit(None).cast("struct<status:string,text:string>")
-
     def run(self, keep: Sequence[str] = (), scratch: bool = False) -> DataFrame:
         while not all(f.done for f in self.fields):
+            self.settled = {f.name for f in self.fields if f.done}
             columns: dict[str, Column] = {}
             moved = False
             for f in self.fields:
@@ -269,9 +278,33 @@ class MappingPlan:
                 first = waiting
             if not first and not moved:
                 raise ValueError("The mapping cannot be ordered")
+            if first:
+                self._set_ended_aside()
             for f in first:
                 self._join(f)
-        return self._result(keep, scratch)
+        result = self._result(self.df, self.fields, keep, scratch)
+        if self.ended is None:
+            return result
+        ended = self._result(self.ended, self.fields[: self.split_at], keep, scratch)
+        values = [c for c in ended.columns if c not in (*keep, STATUS, MESSAGES, STUBS)]
+        return result.unionByName(ended.drop(*values), allowMissingColumns=True)
+
+    def _set_ended_aside(self) -> None:
+        """Part the rows that have ended from the rest before they are shuffled for a lookup.
+
+        Only the leading destinations that are complete count, so that the first of a row's ends is known.
+        """
+        if self.ended is not None:
+            return
+        ready = 0
+        while ready < len(self.fields) and self.fields[ready].done:
+            ready += 1
+        halts = [F.col(f.halt) for f in self.fields[:ready] if f.halt]
+        if not halts:
+            return
+        end = F.coalesce(*halts)
+        self.split_at, self.ended = ready, self.df.filter(end.isNotNull())
+        self.df = self.df.filter(end.isNull())
 
     def _ready_now(self, f: _Field) -> bool:
         return not f.stored or (f.cursor < len(f.steps) and self._ready(f.steps[f.cursor]))
@@ -285,37 +318,44 @@ class MappingPlan:
             and self._ready(f.steps[f.cursor])
         )
 
-    def _result(self, keep: Sequence[str], scratch: bool) -> DataFrame:
-        halted = [f for f in self.fields if f.halt]
+    def _result(self, df: DataFrame, fields: Sequence[_Field], keep: Sequence[str], scratch: bool) -> DataFrame:
+        halted = [f for f in fields if f.halt]
         at = F.coalesce(*[F.when(F.col(f.halt).isNotNull(), F.lit(f.at)) for f in halted]) if halted else F.lit(None)
         # What a row says ends with the destination that ended the row.
         said = [
             F.when(at.isNull() | (F.lit(f.at) <= at), F.col(name)) if halted else F.col(name)
-            for f in self.fields
+            for f in fields
             for name in f.logs
         ]
-        end = self._first_halt()
+        end = first_halt(fields)
         level = F.when(end["status"] == FAILED, F.lit("error")).otherwise(F.lit("status"))
         if halted:
             words = F.struct(level.alias("level"), end["text"].alias("text"))
             said.append(F.when(end.isNotNull() & (end["text"] != ""), words))
         messages = F.array_compact(F.array(*said)) if said else F.array()
-        stubs = [F.col(f.stub) for f in self.fields if f.stub]
+        stubs = [F.col(name) for f in fields for name in f.stubs]
         stubs = F.array_compact(F.array(*stubs)) if stubs else F.array()
-        return self.df.select(
+        return df.select(
             *[source_col(k) for k in keep],
-            *destinations(self.fields, scratch),
+            *destinations(fields, scratch),
             F.coalesce(end["status"], F.lit(IMPORTED)).alias(STATUS),
             messages.cast("array<struct<level:string,text:string>>").alias(MESSAGES),
             stubs.cast(f"array<{_STUB_TYPE}>").alias(STUBS),
         )
 
 
+def first_halt(fields: Sequence[_Field]) -> Column:
+    """Why a row ended, by the first destination that ended it; NULL while it goes on."""
+    halts = [F.col(f.halt) for f in fields if f.halt]
+    return F.coalesce(*halts) if halts else F.lit(None).cast("struct<status:string,text:string>")
+
+
 def drop_empty(value: Column, dtype: T.DataType) -> Column:
-    """A list without its empty elements; any other value as it is."""
+    """A list without its empty elements, NULL if none is left; any other value as it is."""
     if not isinstance(dtype, T.ArrayType):
         return value
-    return F.filter(value, lambda e: ~is_empty(e, dtype.elementType))
+    kept = F.filter(value, lambda e: ~is_empty(e, dtype.elementType))
+    return F.when(F.size(kept) > 0, kept)
 
 
 def check_elements(found: S.Step, value: Column, dtype: T.DataType, step: dict, ctx: S.Context) -> S.StepResult:
