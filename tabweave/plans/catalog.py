@@ -197,26 +197,23 @@ def derived_access(items: DataFrame, user: Column) -> DataFrame:
     return items.filter(derived & F.coalesce(F.col("owner") == user, F.lit(False)))
 
 
-def request_access(
-    requests: DataFrame, grants: DataFrame, operations: Mapping[str, str] = OPERATIONS, admin: str = ADMINISTER
+def check_access(
+    checks: DataFrame,
+    requests: DataFrame,
+    grants: DataFrame,
+    operations: Mapping[str, str] = OPERATIONS,
+    admin: str = ADMINISTER,
 ) -> DataFrame:
-    """Who may do what with which request, for ``grants(user, permission)``, as ``(user, id, operation)``.
+    """The allowed ones of ``checks(user, id, operation)``, for ``grants(user, permission)``.
 
-    An owner needs the permission of the operation. An administrator may do all on every request; those
-    rows are as many as requests times administrators times operations, the size of the answer.
+    An owner needs the permission of the operation; an administrator may do all.
     """
-    table = F.create_map(*[F.lit(x) for op, p in operations.items() for x in (p, op)])
-    allowed = grants.filter(F.col("permission").isin(*operations.values())).distinct()
-    own = (
-        requests.select("id", F.col("owner").alias("user"))
-        .join(allowed, "user")
-        .select("user", "id", F.try_element_at(table, F.col("permission")).alias("operation"))
-    )
-    admins = grants.filter(F.col("permission") == admin).select("user").distinct()
-    every = F.explode(F.array(*map(F.lit, operations))).alias("operation")
-    # One key on both sides, so that a large admin list is spread like any other join.
-    ruled = requests.select("id", F.lit(True).alias("_all")).join(admins.withColumn("_all", F.lit(True)), "_all")
-    return own.unionByName(ruled.select("user", "id", every)).distinct()
+    table = F.create_map(*[F.lit(x) for op, p in operations.items() for x in (op, p)])
+    asked = checks.withColumn("permission", F.try_element_at(table, F.col("operation")))
+    owned = requests.select("id", F.col("owner").alias("user"))
+    own = asked.join(owned, ["id", "user"], "left_semi").join(grants, ["user", "permission"], "left_semi")
+    ruled = asked.join(grants.filter(F.col("permission") == admin), "user", "left_semi")
+    return own.unionByName(ruled).select("user", "id", "operation").distinct()
 
 
 def may(requests: DataFrame, user: str, operation: str, granted: Sequence[str]) -> DataFrame:
