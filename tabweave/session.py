@@ -21,6 +21,7 @@ def local_session(cores: str | int = "*", app: str = "tabweave", memory: str = "
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(width))
         .config("spark.sql.adaptive.enabled", "true")
