@@ -5,10 +5,10 @@ from __future__ import annotations
 
 def registered() -> dict[str, tuple]:
     """Name to (query, SQL or None)."""
-    from tabweave.queries import sheets, steps
+    from tabweave.queries import lookups, sheets, states, steps
 
     found: dict[str, tuple] = {}
-    for module in (sheets, steps):
+    for module in (lookups, sheets, steps, states):
         for name, pair in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"Query {name} is registered twice")
