@@ -116,7 +116,7 @@ def derive_lookups(lookups: DataFrame, migrations: DataFrame, request: Column) -
     return named.select(
         *lookups.columns,
         migration_name(group, F.col("migration")).alias("derived_migration"),
-        F.when(same, migration_name(group, F.col("lookup"))).otherwise(F.col("lookup")).alias("derived_lookup"),
+        F.when(same, migration_name(group, F.col("lookup"))).otherwise(F.col("lookup").cast("string")).alias("derived_lookup"),
     )
 
 

@@ -184,7 +184,8 @@ def lookup_members(spark, sf):
         F.col("event_id").cast("string").alias("src_key"), "event_type", (F.col("event_id") - 1).cast("string").alias("parent"), F.col("user_id").cast("string").alias("user")
     )
     buyers = events.filter(F.col("event_type") == "purchase").select(F.lit("buys").alias("migration"), "src_key", F.concat(F.lit("B"), "src_key").alias("dest_id"))
-    known = _customer_map(spark, sf).filter(F.length("src_key") >= 2).unionByName(buyers)
+    poor = table(spark, sf, "customer").filter(F.col("c_acctbal") < 1000).select(F.col("c_custkey").cast("string").alias("src_key"))
+    known = _customer_map(spark, sf).join(poor, "src_key", "left_anti").unionByName(buyers)
     both = L.migration_lookup(events, "parent", known, "buys", "first", row_key="src_key")
     both = L.migration_lookup(both, "user", known, "customers", "second", row_key="src_key")
     return both.select("src_key", F.array_join(L.members(F.col("first"), F.col("second")), "|").alias("members"))
@@ -273,7 +274,7 @@ QUERIES = {
                   nullif(concat_ws('|', CASE WHEN p.event_id IS NOT NULL THEN 'B' || p.event_id END,
                                         CASE WHEN c_custkey IS NOT NULL THEN 'C' || c_custkey END), '') AS members
            FROM events e LEFT JOIN events p ON p.event_id = e.event_id - 1 AND p.event_type = 'purchase'
-                LEFT JOIN customer ON c_custkey = e.user_id AND c_custkey >= 10""",
+                LEFT JOIN customer ON c_custkey = e.user_id AND NOT c_acctbal < 1000""",
     ),
     "load_entity": (
         load_entity,
