@@ -104,7 +104,8 @@ def _default_value(value, dtype, cfg, ctx):
         raise ValueError("Missing default value; nothing to bind")
     if value is None:
         return F.lit(default)
-    return F.when(text.is_empty(value, dtype), F.lit(default).cast(dtype)).otherwise(value)
+    other = F.array(F.lit(default)) if isinstance(dtype, T.ArrayType) else F.lit(default)
+    return F.when(text.is_empty(value, dtype), other.cast(dtype)).otherwise(value)
 
 
 def _map_literal(mapping: Mapping) -> Column:
@@ -222,7 +223,7 @@ def _load_entity(df, value, out, cfg, ctx):
     kind = cfg["entity_type"].removeprefix("entity:")
     if kind not in ctx.targets:
         raise ValueError(f"No rows of type {kind!r} to load from")
-    return lookups.load_entity(df, value, ctx.targets[kind], out)
+    return lookups.load_entity(df, value, ctx.targets[kind], out, row_key=ctx.key)
 
 
 def _file_copy(df, value, out, cfg, ctx):

@@ -111,11 +111,12 @@ def trimmed(value: Column) -> Column:
     return F.btrim(value, F.lit(TRIM_CHARS))
 
 
-def _part_names(parts: Column, keys: Sequence[str | None]) -> Column:
+def _part_name(keys: Sequence[str | None]):
+    """The name of a part by its position."""
     if not keys:
-        return F.transform(parts, lambda _, i: i.cast("string"))
+        return lambda i: i.cast("string")
     known = F.array(*[F.lit(k).cast("string") for k in keys])
-    return F.transform(parts, lambda _, i: F.coalesce(F.get(known, i), i.cast("string")))
+    return lambda i: F.coalesce(F.get(known, i), i.cast("string"))
 
 
 def _next_same_name(keys: Sequence[str | None]) -> list[int]:
@@ -151,17 +152,17 @@ def two_level_split(
     following = _next_same_name(keys)
     clash = any(j < 2**31 - 1 for j in following)
 
+    name = _part_name(keys)
+
     def element(text: Column) -> Column:
+        # Each element is split once: one pass trims and names its parts.
         parts = split_limited(text, subdelimiter, sublimit)
-        if subtrim:
-            parts = F.transform(parts, trimmed)
-        names = _part_names(parts, keys)
+        named = F.transform(parts, lambda p, i: F.struct(name(i), trimmed(p) if subtrim else p))
         if clash:
             nearest = F.array(*[F.lit(j) for j in following])
             count = F.size(parts)
-            kept = lambda _, i: F.coalesce(F.get(nearest, i) >= count, F.lit(True))
-            return F.map_from_arrays(F.filter(names, kept), F.filter(parts, kept))
-        return F.map_from_arrays(names, parts)
+            named = F.filter(named, lambda _, i: F.coalesce(F.get(nearest, i) >= count, F.lit(True)))
+        return F.map_from_entries(named)
 
     elements = split_limited(value, delimiter, limit)
     if trim and not subtrim:

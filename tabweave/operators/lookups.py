@@ -20,8 +20,8 @@ SALTS = 4096
 
 
 def one_per_key(dimension: DataFrame, key: Column, hit: Column) -> DataFrame:
-    """Reduce a dimension to its least hit per key, partly before the shuffle."""
-    return dimension.select(key.alias(_KEY), hit.alias(_HIT)).filter(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(
+    """Reduce a dimension to its least hit per key, partly before the shuffle. Keys are compared as text."""
+    return dimension.select(key.cast("string").alias(_KEY), hit.alias(_HIT)).filter(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(
         F.min(_HIT).alias(_HIT)
     )
 
@@ -34,10 +34,16 @@ def left_lookup(
     Optional references leave many rows without a key. With ``spread``, any column that varies, these
     rows go to many partitions instead of the one of NULL; the salt is no key of the dimension.
     """
-    if spread is not None:
-        salt = F.concat(F.lit("\x00no key "), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("string"))
-        key = F.coalesce(key, salt)
-    return df.join(dimension, key == F.col(_KEY), "left").withColumnRenamed(_HIT, out).drop(_KEY)
+    asked = _asked(key, spread)
+    return df.join(dimension, asked == F.col(_KEY), "left").withColumnRenamed(_HIT, out).drop(_KEY)
+
+
+def _asked(key: Column, spread: Column | None) -> Column:
+    key = key.cast("string")
+    if spread is None:
+        return key
+    salt = F.concat(F.lit("\x00no key "), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("string"))
+    return F.coalesce(key, salt)
 
 
 def entities_of(
@@ -129,7 +135,10 @@ def members(*values: Column) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
-def load_entity(df: DataFrame, value: str, targets: DataFrame, out: str, id_column: str = "id") -> DataFrame:
+def load_entity(
+    df: DataFrame, value: str, targets: DataFrame, out: str, id_column: str = "id", row_key: str | None = None
+) -> DataFrame:
     """Target id to the full row it names, as a struct. Ids are unique in a target table."""
-    rows = targets.select(source_col(id_column).alias(_KEY), F.struct("*").alias(out))
-    return df.join(rows, source_col(value) == F.col(_KEY), "left").drop(_KEY)
+    rows = targets.select(source_col(id_column).cast("string").alias(_KEY), F.struct("*").alias(out))
+    asked = _asked(source_col(value), source_col(row_key) if row_key else None)
+    return df.join(rows, asked == F.col(_KEY), "left").drop(_KEY)

@@ -26,3 +26,8 @@ def route_targets(df: DataFrame, column: str, routes: Mapping[str, Sequence[str]
     known = F.create_map(*[x for v, t in claims.items() for x in (F.lit(v), F.array(*map(F.lit, t)))])
     picked = df.filter(source_col(column).isin(*claims))
     return picked.withColumn(out, F.explode(F.try_element_at(known, source_col(column))))
+
+
+def write_routed(df: DataFrame, path: str, by: str = "target") -> None:
+    """Write all targets from one scan, each into its own folder; no shuffle, so a large target stays spread."""
+    df.write.partitionBy(by).parquet(path)

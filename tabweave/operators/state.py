@@ -106,8 +106,12 @@ def rollback(
 
 
 def progress(id_map: DataFrame) -> DataFrame:
-    """Row counts per job and status, per job, and over all; sums are marked by NULL names."""
-    return id_map.rollup("migration", "status").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Row counts per job and status, per job, and over all; sums are marked by NULL names.
+
+    Rows are counted once; the group totals are made from the few counts.
+    """
+    counts = id_map.groupBy("migration", "status").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.rollup("migration", "status").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def progress_ratio(id_map: DataFrame, totals: DataFrame) -> DataFrame:

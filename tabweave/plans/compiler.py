@@ -18,6 +18,7 @@ from tabweave.constants import FAILED, IMPORTED, KEY_SEPARATOR
 from tabweave.functions import steps as S
 from tabweave.functions.text import is_empty, source_col, target_id
 from tabweave.operators import lookups
+from tabweave.operators.multivalue import explode_values
 
 STATUS, MESSAGES, STUBS = "_status", "_messages", "_stubs"
 _STUB_TYPE = "struct<migration:string,src_key:string>"
@@ -467,6 +468,12 @@ def compile_mapping(
     return MappingPlan(df, mapping, ctx or S.Context()).run(keep, scratch)
 
 
+def asks_for_stubs(mapping: Mapping) -> bool:
+    """May the mapping leave placeholder rows for other jobs?"""
+    steps = [s for pipeline in mapping.values() for s in normalize_steps(pipeline)]
+    return any(s["plugin"] == "migration_lookup" and not s.get("no_stub") for s in steps)
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     """The rows that go to the target."""
     return rows.filter(F.col(STATUS) == IMPORTED).drop(STATUS, MESSAGES, STUBS)
@@ -474,4 +481,4 @@ def accepted(rows: DataFrame) -> DataFrame:
 
 def messages_of(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """What the rows said, one message per row."""
-    return rows.select(*key, F.explode(MESSAGES).alias("_m")).select(*key, "_m.level", "_m.text")
+    return explode_values(rows, MESSAGES, key, "_m").select(*key, "_m.level", "_m.text")

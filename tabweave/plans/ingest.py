@@ -14,7 +14,7 @@ from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, source_col, target_id
 from tabweave.operators import state
 from tabweave.operators.routing import default_bundle
-from tabweave.plans.compiler import MESSAGES, STATUS, STUBS, compile_mapping
+from tabweave.plans.compiler import MESSAGES, STATUS, STUBS, asks_for_stubs, compile_mapping
 from tabweave.plans.ordering import levels_of
 from tabweave.plans.store import ID_MAP, Store
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
@@ -109,9 +109,13 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     """
     options = options or Options()
     sheet = _keyed(staged_sheet(store, group), job)
-    known = store.id_map(job.name)
+    # A first import has nothing to compare with, so nothing is shuffled for it.
     todo = state.rows_to_import(
-        sheet, known, track_changes=job.track_changes, update=options.update, limit=options.limit
+        sheet,
+        store.id_map(job.name),
+        track_changes=job.track_changes,
+        update=options.update or not store.has("id_map", job.name),
+        limit=options.limit,
     )
     result = compile_mapping(
         todo.filter(F.col(_ERROR).isNull()), job.mapping, _context(store, group, job, options), ["src_key", "row_hash"]
@@ -128,10 +132,12 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         F.array(F.struct(F.lit("error").alias("level"), F.col(_ERROR).alias("text"))).alias(MESSAGES),
     )
     staged = store.staging(job.name)
-    result.unionByName(bad, allowMissingColumns=True).write.parquet(staged)
-    rows = store.spark.read.parquet(staged)
+    result = result.unionByName(bad, allowMissingColumns=True)
+    result.write.parquet(staged)
+    rows = store.spark.read.schema(result.schema).parquet(staged)
     _keep_rows(store, job, rows, values)
-    _keep_stubs(store, group, rows)
+    if asks_for_stubs(job.mapping):
+        _keep_stubs(store, group, rows)
     if ORPHANS_TAG in job.tags:
         remove_orphans(store, job, sheet)
 
@@ -148,22 +154,25 @@ def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -
         fresh = fresh.unionByName(kept, allowMissingColumns=True)
     store.replace(table, job.name, fresh)
 
-    known = store.id_map(job.name)
-    # A row that is no longer imported keeps the target it once had, so that a rollback finds it.
-    had = known.select("src_key", F.col("dest_id").alias("_had"))
-    entries = rows.join(had, "src_key", "left").select(
+    first = not store.has("id_map", job.name)
+    known, had, kept = store.id_map(job.name), rows.withColumn("_had", F.lit(None).cast("string")), None
+    if not first:
+        # A row that is no longer imported keeps the target it once had, so that a rollback finds it.
+        had = rows.join(known.select("src_key", F.col("dest_id").alias("_had")), "src_key", "left")
+        kept = known.join(rows.select("src_key"), "src_key", "left_anti")
+    entries = had.select(
         "src_key",
         F.coalesce(F.when(F.col(STATUS) == IMPORTED, made), F.col("_had")).alias("dest_id"),
         F.col(STATUS).alias("status"),
         F.lit(job.rollback_action).cast("string").alias("rollback_action"),
         "row_hash",
     )
-    kept = known.join(rows.select("src_key"), "src_key", "left_anti")
-    store.replace("id_map", job.name, entries.unionByName(kept))
-
     said = rows.select("src_key", F.explode(MESSAGES).alias("_m")).select("src_key", "_m.level", "_m.text")
-    kept = store.messages(job.name).join(rows.select("src_key"), "src_key", "left_anti")
-    store.replace("messages", job.name, said.unionByName(kept).select(*MESSAGE_ROWS.names))
+    if store.has("messages", job.name):
+        said = said.unionByName(store.messages(job.name).join(rows.select("src_key"), "src_key", "left_anti"))
+    store.replace("messages", job.name, said.select(*MESSAGE_ROWS.names))
+    # The id map comes last: what it does not name yet is imported again by a repeated run.
+    store.replace("id_map", job.name, entries if kept is None else entries.unionByName(kept))
 
 
 def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:

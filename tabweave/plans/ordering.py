@@ -6,8 +6,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabweave.session import materialize
+from tabweave.session import scratch_path
 
 
 def levels_of(requires: Mapping[str, Iterable[str]]) -> list[list[str]]:
@@ -26,32 +27,36 @@ def levels_of(requires: Mapping[str, Iterable[str]]) -> list[list[str]]:
 def job_levels(jobs: DataFrame, depends: DataFrame, max_levels: int = 10_000) -> DataFrame:
     """The level of every job of a whole catalog, for ``jobs(job)`` and ``depends(job, requires)``.
 
-    Each round settles all jobs whose requirements are settled. Rounds are as many as the longest chain;
-    open requirements go to a table after each round, so plans stay short and rounds ever smaller.
+    A requirement stays open while the required job has open requirements of its own. Each round
+    writes the requirements still open; there are as many rounds as the longest chain, each smaller
+    than the one before. The level of a job is the number of rounds it was waiting in.
     """
+    spark = jobs.sparkSession
     known = jobs.select("job").distinct()
-    edges = depends.select("job", "requires").distinct().join(
-        known.select(F.col("job").alias("requires")), "requires", "left_semi"
-    ).join(known, "job", "left_semi").select("job", "requires")
-    edges = materialize(edges, "levels")
-    waiting = materialize(edges.select("job").distinct(), "levels")
-    settled = [known.join(waiting, "job", "left_anti").withColumn("level", F.lit(0).cast("bigint"))]
-    ready = settled[0]
-    for level in range(1, max_levels):
-        if waiting.isEmpty():
-            return _stack(settled)
-        edges = materialize(edges.join(ready.select(F.col("job").alias("requires")), "requires", "left_anti"), "levels")
-        still = materialize(edges.select("job").distinct(), "levels")
-        ready = materialize(waiting.join(still, "job", "left_anti"), "levels")
-        if ready.isEmpty():
+    edges = (
+        depends.select("job", "requires")
+        .join(known.select(F.col("job").alias("requires")), "requires", "left_semi")
+        .join(known, "job", "left_semi")
+        .select("job", "requires")
+        .distinct()
+    )
+    root = scratch_path(spark, "levels")
+    before = None
+    for number in range(max_levels):
+        path = f"{root}/round={number}"
+        edges.write.parquet(path)
+        edges = spark.read.schema(edges.schema).parquet(path)
+        left = edges.count()
+        if left == 0:
+            break
+        if left == before:
             raise ValueError("Jobs require each other")
-        settled.append(ready.withColumn("level", F.lit(level).cast("bigint")))
-        waiting = still
-    raise ValueError(f"The chain of requirements is longer than {max_levels}")
-
-
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        before = left
+        waiting = edges.select(F.col("job").alias("requires")).distinct()
+        edges = edges.join(waiting, "requires", "left_semi").select("job", "requires")
+    else:
+        raise ValueError(f"The chain of requirements is longer than {max_levels}")
+    schema = T.StructType([edges.schema["job"], T.StructField("round", T.LongType())])
+    waited = spark.read.schema(schema).parquet(root).select("job", (F.col("round") + 1).alias("level"))
+    every = known.select("job", F.lit(0).cast("bigint").alias("level")).unionByName(waited)
+    return every.groupBy("job").agg(F.max("level").alias("level"))

@@ -76,6 +76,9 @@ class Store:
             return reader.parquet(path)
         return None if schema is None else self.spark.createDataFrame([], schema)
 
+    def has(self, table: str, migration: str) -> bool:
+        return self.exists(self.folder(table, migration))
+
     def id_map(self, migration: str) -> DataFrame:
         return self.read("id_map", migration, ID_MAP)
 

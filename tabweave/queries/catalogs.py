@@ -24,7 +24,7 @@ def _groups(spark, sf) -> DataFrame:
     )
     documents = table(spark, sf, "documents").select("doc_id", "lang", "source")
     return documents.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("grp"), F.when(F.col("quality").isNotNull(), tags).alias("tags"), F.col("source").alias("owner")
+        F.col("doc_id").alias("grp"), F.when(F.col("quality").isNotNull(), tags).alias("tags"), F.col("lang").alias("owner")
     )
 
 
@@ -159,8 +159,8 @@ def cat_sync_import(spark, sf):
 
 
 def cat_access_derived(spark, sf):
-    """Derived groups of one owner."""
-    return C.derived_access(_groups(spark, sf), F.lit("src3")).select("grp", "owner")
+    """Derived groups of one owner, here a language."""
+    return C.derived_access(_groups(spark, sf), F.lit("en")).select("grp", "owner")
 
 
 def cat_access(spark, sf):
@@ -285,7 +285,7 @@ QUERIES = {
     ),
     "cat_access_derived": (
         cat_access_derived,
-        f"SELECT doc_id AS grp, source AS owner FROM {_GROUPS} WHERE toxic = 1 AND source = 'src3'",
+        f"SELECT doc_id AS grp, lang AS owner FROM {_GROUPS} WHERE toxic = 1 AND lang = 'en'",
     ),
     "cat_access": (
         cat_access,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabweave.functions.steps import Context
 from tabweave.operators.manifest import copy_manifest
+from tabweave.operators.multivalue import explode_parts, explode_values
 from tabweave.operators.routing import default_bundle, route_targets
 from tabweave.plans.compiler import MESSAGES, STATUS, accepted, compile_mapping, messages_of
 from tabweave.sources.tables import table
@@ -171,8 +172,7 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 def _exploded(spark, sf, **options):
     step = {"plugin": "subdelimited_explode", "source": "cell", "delimiter": ";", "subdelimiter": "|", **options}
     rows = accepted(_run(_pairs(spark, sf), {"parts": [step]}, "o_orderkey"))
-    elements = rows.select("o_orderkey", F.posexplode("parts").alias("elem", "m"))
-    return elements.select("o_orderkey", F.col("elem").cast("bigint").alias("elem"), F.explode("m").alias("key", "value"))
+    return explode_parts(rows, "parts", ["o_orderkey"])
 
 
 def step_subexplode(spark, sf):
@@ -220,8 +220,8 @@ def step_sub_process(spark, sf):
         ],
     }
     rows = accepted(_run(_pairs(spark, sf), mapping, "o_orderkey"))
-    items = rows.select("o_orderkey", F.posexplode("items").alias("elem", "i"))
-    return items.select("o_orderkey", F.col("elem").cast("bigint").alias("elem"), "i.head", "i.tail", "i.both")
+    items = explode_values(rows, "items", ["o_orderkey"], "i", "elem")
+    return items.select("o_orderkey", "elem", "i.head", "i.tail", "i.both")
 
 
 def step_multi_value(spark, sf):

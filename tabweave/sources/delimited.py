@@ -15,6 +15,9 @@ from tabweave.functions.text import key_text, source_col, split_limited
 from tabweave.session import bounded_broadcast
 
 ROW = "_row"
+# Fixed value: the columns a sheet can have at most.
+WIDEST_SHEET = 16_384
+
 _FILE, _BLOCK, _POS = "_file", "_block", "_pos"
 
 
@@ -91,8 +94,8 @@ def peek_header(
     listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     first = sorted(listing.text(path).inputFiles())[0]
     if multiline:
-        # Widths may vary, so read the row as wide as the widest sheet format allows.
-        wide = text_schema([f"_c{i}" for i in range(512)])
+        # Without a schema the first record sets the width; a later header row may be wider.
+        wide = None if header_row == 1 else text_schema([f"_c{i}" for i in range(WIDEST_SHEET)])
         rows = spark.read.csv(first, schema=wide, sep=delimiter, escape='"', multiLine=True).take(header_row)
         if len(rows) < header_row:
             raise ValueError("Failed to find header row.")
