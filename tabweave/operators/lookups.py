@@ -92,13 +92,16 @@ def migration_lookup(
     out: str,
     source_ids: Mapping[str, Sequence[str]] | None = None,
     row_key: str | None = None,
+    own: tuple[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Source key to target id through the id maps of other jobs; the first hit in listed order.
 
     Each map may be asked with key columns of its own, ``source_ids``; all others with ``value``.
+    ``own`` is the running job and the rows of its sheet, which count as known to that job.
     """
     names = [migrations] if isinstance(migrations, str) else list(migrations)
     columns = [value] if isinstance(value, str) else list(value)
+    spread = source_col(row_key) if row_key else None
     hits = []
     for i, name in enumerate(names):
         asked = list((source_ids or {}).get(name, columns))
@@ -106,16 +109,28 @@ def migration_lookup(
             F.coalesce(*[F.when(source_col(c).isNotNull(), F.lit(True)) for c in asked]),
             key_text([source_col(c) for c in asked]),
         )
-        spread = source_col(row_key) if row_key else None
-        df = left_lookup(df, key, id_map_of(id_map, name), f"_hit_{i}", spread)
-        hits.append(f"_hit_{i}")
+        if id_map is not None:
+            df = left_lookup(df, key, id_map_of(id_map, name), f"_hit_{i}", spread)
+            hits.append(f"_hit_{i}")
+        if own is not None and own[0] == name:
+            df = df.withColumn(f"_key_{i}", key)
+            df = self_lookup(df, f"_key_{i}", own[1], name, f"_own_{i}", row_key).drop(f"_key_{i}")
+            hits.append(f"_own_{i}")
     return df.withColumn(out, F.coalesce(*hits)).drop(*hits)
 
 
-def self_lookup(df: DataFrame, parent: str, rows: DataFrame, migration: str, out: str) -> DataFrame:
-    """Reference to another row of the same sheet, whatever the order: ``rows`` holds the sheet's ``src_key``."""
-    ids = one_per_key(rows, F.col("src_key"), target_id(F.lit(migration), F.col("src_key")))
-    return left_lookup(df, source_col(parent), ids, out)
+def self_lookup(
+    df: DataFrame, parent: str, rows: DataFrame, migration: str, out: str, row_key: str | None = None
+) -> DataFrame:
+    """Reference to another row of the same sheet, whatever the order: ``rows`` holds the sheet's ``src_key``.
+
+    Only keys are shuffled; the id follows from the key.
+    """
+    keys = rows.select(F.col("src_key").alias(_KEY)).filter(F.col(_KEY).isNotNull()).distinct()
+    asked = _asked(source_col(parent), source_col(row_key) if row_key else None)
+    found = df.join(keys.withColumn(_HIT, F.lit(True)), asked == F.col(_KEY), "left")
+    made = target_id(F.lit(migration), source_col(parent).cast("string"))
+    return found.withColumn(out, F.when(F.col(_HIT), made)).drop(_KEY, _HIT)
 
 
 def stubs(references: DataFrame, known: DataFrame, key: str = "src_key") -> DataFrame:

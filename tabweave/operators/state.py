@@ -24,22 +24,30 @@ def classify_rows(source: DataFrame, known: DataFrame, key: str = "src_key", dig
     Both sides are stacked and aggregated by key, which combines before the shuffle and needs no join.
     A known row marked for update counts as changed.
     """
+    # Two numbers stand for a digest: aggregates over numbers hash, those over text would have to sort.
+    one, two = F.xxhash64(F.lit(1), F.col(digest)), F.xxhash64(F.lit(2), F.col(digest))
     stale = F.col("status") == NEEDS_UPDATE if "status" in known.columns else F.lit(False)
     before = known.select(
-        key, F.lit(False).alias("_now"), F.col(digest).alias("_hash"), F.coalesce(stale, F.lit(False)).alias("_stale")
+        key, F.lit(False).alias("_now"), one.alias("_one"), two.alias("_two"), F.coalesce(stale, F.lit(False)).alias("_stale")
     )
-    now = source.select(key, F.lit(True).alias("_now"), F.col(digest).alias("_hash"), F.lit(False).alias("_stale"))
+    now = source.select(
+        key, F.lit(True).alias("_now"), one.alias("_one"), two.alias("_two"), F.lit(False).alias("_stale")
+    )
+    is_now = F.col("_now")
     sides = before.unionByName(now).groupBy(key).agg(
-        F.max(~F.col("_now")).alias("_was"),
-        F.max("_now").alias("_is"),
-        F.max(F.when(~F.col("_now"), F.col("_hash"))).alias("_old"),
-        F.max(F.when(F.col("_now"), F.col("_hash"))).alias("_new"),
+        F.max(~is_now).alias("_was"),
+        F.max(is_now).alias("_is"),
+        F.max(F.when(~is_now, F.col("_one"))).alias("_old_one"),
+        F.max(F.when(~is_now, F.col("_two"))).alias("_old_two"),
+        F.max(F.when(is_now, F.col("_one"))).alias("_new_one"),
+        F.max(F.when(is_now, F.col("_two"))).alias("_new_two"),
         F.max("_stale").alias("_stale"),
     )
+    same = F.col("_old_one").eqNullSafe(F.col("_new_one")) & F.col("_old_two").eqNullSafe(F.col("_new_two"))
     change = (
         F.when(~F.col("_is"), GONE)
         .when(~F.col("_was"), NEW)
-        .when(F.col("_stale") | ~F.col("_old").eqNullSafe(F.col("_new")), CHANGED)
+        .when(F.col("_stale") | ~same, CHANGED)
         .otherwise(UNCHANGED)
     )
     return sides.select(key, change.alias("change"))
@@ -67,9 +75,24 @@ def rows_to_import(
     return source
 
 
+def last_rows(sheet: DataFrame, order: str, key: str = "src_key") -> DataFrame:
+    """Of rows with one key only the last by ``order``, as a later row of a sheet updates an earlier one.
+
+    Keys are counted first, without the rows; only if some repeat are rows joined with the few that do.
+    """
+    repeated = sheet.groupBy(key).agg(F.count(F.lit(1)).alias("_count"), F.max(order).alias("_last"))
+    repeated = repeated.filter(F.col("_count") > 1).select(F.col(key).alias("_key"), "_last")
+    if repeated.isEmpty():
+        return sheet
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    single = sheet.join(repeated, same, "left_anti")
+    last = sheet.join(repeated, same & F.col(order).eqNullSafe(F.col("_last"))).select(sheet.columns)
+    return single.unionByName(last.dropDuplicates([key]))
+
+
 def orphans(id_map: DataFrame, source: DataFrame, key: str = "src_key") -> DataFrame:
     """Id-map rows whose source key left the sheet."""
-    return id_map.join(source.select(key), key, "left_anti")
+    return id_map.join(source.select(key).distinct(), key, "left_anti")
 
 
 def status_filter(id_map: DataFrame, statuses: Sequence[str] | str = (FAILED, IGNORED)) -> DataFrame:
@@ -94,12 +117,12 @@ def rollback(
 ) -> tuple[DataFrame, DataFrame]:
     """The target and the id map as they are after a rollback."""
     plan = rollback_plan(id_map, statuses)
-    doomed = plan.filter(F.col("action") == DELETE_TARGET).select(F.col("dest_id").alias(id_column))
+    doomed = plan.filter(F.col("action") == DELETE_TARGET).select(F.col("dest_id").alias(id_column)).distinct()
     kept_rows = target.join(doomed, id_column, "left_anti")
     if statuses is None:
         return kept_rows, id_map.limit(0)
     # A row without a target goes alone; a row with one takes all map rows of that target along.
-    done = plan.filter(F.col("action") != DROP_MAP).select("dest_id")
+    done = plan.filter(F.col("action") != DROP_MAP).select("dest_id").distinct()
     dropped = plan.filter(F.col("action") == DROP_MAP).select("migration", "src_key")
     kept_map = id_map.join(done, "dest_id", "left_anti").join(dropped, ["migration", "src_key"], "left_anti")
     return kept_rows, kept_map.select(id_map.columns)

@@ -135,7 +135,7 @@ def derive_dependencies(depends: DataFrame, migrations: DataFrame, request: Colu
 
 def unused_destinations(properties: DataFrame, mappings: DataFrame, on: Sequence[str]) -> DataFrame:
     """Target properties that no mapping fills."""
-    return properties.join(mappings, list(on), "left_anti")
+    return properties.join(mappings.select(*on).distinct(), list(on), "left_anti")
 
 
 def auto_map(unused: DataFrame, sources: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -146,7 +146,7 @@ def auto_map(unused: DataFrame, sources: DataFrame, on: Sequence[str]) -> DataFr
 def dangling_refs(mappings: DataFrame, removed: DataFrame, dest: str = "dest", source: str = "source") -> DataFrame:
     """Mappings that would remain although the mapping they read is removed."""
     gone = removed.select(F.col(dest).alias(source)).distinct()
-    return mappings.join(removed.select(dest), dest, "left_anti").join(gone, source, "left_semi")
+    return mappings.join(removed.select(dest).distinct(), dest, "left_anti").join(gone, source, "left_semi")
 
 
 def available_sources(layers: Sequence[DataFrame], by: Sequence[str], payload: Sequence[str]) -> DataFrame:
@@ -211,8 +211,9 @@ def check_access(
     table = F.create_map(*[F.lit(x) for op, p in operations.items() for x in (op, p)])
     asked = checks.withColumn("permission", F.try_element_at(table, F.col("operation")))
     owned = requests.select("id", F.col("owner").alias("user"))
-    own = asked.join(owned, ["id", "user"], "left_semi").join(grants, ["user", "permission"], "left_semi")
-    ruled = asked.join(grants.filter(F.col("permission") == admin), "user", "left_semi")
+    held = grants.select("user", "permission").distinct()
+    own = asked.join(owned, ["id", "user"], "left_semi").join(held, ["user", "permission"], "left_semi")
+    ruled = asked.join(held.filter(F.col("permission") == admin), "user", "left_semi")
     return own.unionByName(ruled).select("user", "id", "operation").distinct()
 
 

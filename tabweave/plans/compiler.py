@@ -241,15 +241,13 @@ class MappingPlan:
         source_ids = {
             name: [self._plain_name(c) for c in columns] for name, columns in step.get("source_ids", {}).items()
         }
-        known = self.ctx.id_map
+        own = None
         if self.ctx.migration in names:
-            own = self.df.filter(first_halt(self.fields).isNull()).select(
-                F.lit(self.ctx.migration).alias("migration"),
-                F.col(key).alias("src_key"),
-                target_id(F.lit(self.ctx.migration), F.col(key)).alias("dest_id"),
-            )
-            known = own if known is None else known.select("migration", "src_key", "dest_id").unionByName(own)
-        self.df = lookups.migration_lookup(self.df, asked, known, names, out, source_ids, key)
+            # Rows that have ended get no target, so they are no parents.
+            own = (self.ctx.migration, self.df.filter(first_halt(self.fields).isNull()).select(F.col(key).alias("src_key")))
+        elif self.ctx.id_map is None:
+            raise ValueError(f"No id map to look up {', '.join(names)}")
+        self.df = lookups.migration_lookup(self.df, asked, self.ctx.id_map, names, out, source_ids, key, own)
         if not step.get("no_stub"):
             target = step.get("stub_id") or names[0]
             wanted = F.struct(F.lit(target).alias("migration"), F.col(asked).alias("src_key"))

@@ -53,10 +53,15 @@ class Options:
 
 @dataclass
 class Group:
-    """The jobs of one request over one sheet, with the tables their lookups may use."""
+    """The jobs of one request over one sheet, with the tables their lookups may use.
+
+    ``row_column`` names the sheet's column of row numbers, which is no cell: of rows with one key the
+    last wins. Without it the choice among them is arbitrary, but the same on every run.
+    """
 
     jobs: Sequence[Job]
     sheet: DataFrame
+    row_column: str | None = None
     entities: DataFrame | None = None
     files: DataFrame | None = None
     _staged: dict = field(default_factory=dict)
@@ -96,9 +101,10 @@ def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
     )
 
 
-def _keyed(sheet: DataFrame, job: Job) -> DataFrame:
-    cells = [source_col(c) for c in sheet.columns]
-    return with_keys(sheet.withColumn("row_hash", row_hash(cells)), job.keys, error=_ERROR)
+def _keyed(sheet: DataFrame, job: Job, row_column: str | None) -> DataFrame:
+    cells = [source_col(c) for c in sheet.columns if c != row_column]
+    keyed = with_keys(sheet.withColumn("row_hash", row_hash(cells)), job.keys, error=_ERROR)
+    return state.last_rows(keyed, row_column or "row_hash")
 
 
 def import_job(store: Store, group: Group, job: Job, options: Options | None = None) -> None:
@@ -108,7 +114,7 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     that is repeated after a failure gives the same rows and ids.
     """
     options = options or Options()
-    sheet = _keyed(staged_sheet(store, group), job)
+    sheet = _keyed(staged_sheet(store, group), job, group.row_column)
     # A first import has nothing to compare with, so nothing is shuffled for it.
     todo = state.rows_to_import(
         sheet,

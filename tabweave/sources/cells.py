@@ -49,9 +49,12 @@ def select_worksheet(cells: DataFrame, sheet: str, header_row: int = 1) -> DataF
 
 
 def list_worksheets(cells: DataFrame, name: str = "sheets") -> DataFrame:
-    """Sheet names of each file, NULL for single-sheet formats; names are made distinct before the shuffle."""
+    """Sheet names of each file, NULL for single-sheet formats.
+
+    Cells are reduced to distinct names before any list is made.
+    """
     sheets = F.array_sort(F.collect_set("sheet"))
-    return cells.groupBy("file").agg(F.when(F.size(sheets) > 0, sheets).alias(name))
+    return cells.select("file", "sheet").distinct().groupBy("file").agg(F.when(F.size(sheets) > 0, sheets).alias(name))
 
 
 def worksheet_label(sheets: Column) -> Column:

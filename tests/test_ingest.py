@@ -25,7 +25,7 @@ def jobs(tags=()):
 
 
 def group(spark, path, entities, tags=()):
-    return Group(jobs(tags), read_sheet(spark, path, header_row=1), entities)
+    return Group(jobs(tags), read_sheet(spark, path, header_row=1), entities=entities)
 
 
 def counts(store):
@@ -196,3 +196,17 @@ def test_store_refuses_odd_names(spark, tmp_path):
     with pytest.raises(ValueError):
         Store(spark, str(tmp_path)).folder("id_map", "a/b")
     assert not os.listdir(tmp_path)
+
+
+def test_later_rows_of_a_key_win(spark, tmp_path):
+    path = tmp_path / "twice.csv"
+    path.write_text("ID,Title\n1,a\n2,b\n1,c\n3,d\n1,b2\n")
+    store = Store(spark, str(tmp_path / "state"))
+    job = Job("plain", {"title": "Title"}, "node", KEYS)
+    sheet = read_sheet(spark, str(path), header_row=1, row_index_column="row")
+    import_job(store, Group([job], sheet, row_column="row"), job)
+    assert sorted(r.title for r in store.read("targets/node", "plain").collect()) == ["b", "b2", "d"]
+    assert store.id_map("plain").count() == 3
+    loose = Job("loose", {"title": "Title"}, "node", KEYS)
+    import_job(store, Group([loose], sheet.drop("row")), loose)
+    assert store.id_map("loose").count() == 3 and store.read("targets/node", "loose").count() == 3
