@@ -76,10 +76,18 @@ def staged_sheet(store: Store, group: Group) -> DataFrame:
     if "sheet" not in group._staged:
         path = store.staging("sheet")
         group.sheet.write.parquet(path)
+        group._staged["path"] = path
         group._staged["sheet"] = store.spark.read.schema(group.sheet.schema).parquet(path)
     return group._staged["sheet"]
 
 
+def release_sheet(store: Store, group: Group) -> None:
+    """Give the staged sheet up; a later import stages the sheet as it is then."""
+    if "path" in group._staged:
+        store.discard(group._staged["path"])
+    group._staged.clear()
+
+
 def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
     targets: dict[str, DataFrame] = {}
     for other in group.jobs:
@@ -101,10 +109,18 @@ def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
     )
 
 
-def _keyed(sheet: DataFrame, job: Job, row_column: str | None) -> DataFrame:
-    cells = [source_col(c) for c in sheet.columns if c != row_column]
+def _keyed(store: Store, group: Group, job: Job) -> DataFrame:
+    sheet = staged_sheet(store, group)
+    cells = [source_col(c) for c in sheet.columns if c != group.row_column]
     keyed = with_keys(sheet.withColumn("row_hash", row_hash(cells)), job.keys, error=_ERROR)
-    return state.last_rows(keyed, row_column or "row_hash")
+    # Jobs with the same key columns need to look for repeated keys once only.
+    known = ("unique", *job.keys.items())
+    if known in group._staged:
+        return keyed
+    last = state.last_rows(keyed, group.row_column or "row_hash")
+    if last is keyed:
+        group._staged[known] = True
+    return last
 
 
 def import_job(store: Store, group: Group, job: Job, options: Options | None = None) -> None:
@@ -114,7 +130,7 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     that is repeated after a failure gives the same rows and ids.
     """
     options = options or Options()
-    sheet = _keyed(staged_sheet(store, group), job, group.row_column)
+    sheet = _keyed(store, group, job)
     # A first import has nothing to compare with, so nothing is shuffled for it.
     todo = state.rows_to_import(
         sheet,
@@ -146,6 +162,7 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         _keep_stubs(store, group, rows)
     if ORPHANS_TAG in job.tags:
         remove_orphans(store, job, sheet)
+    store.discard(staged)
 
 
 def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -> None:
@@ -225,6 +242,7 @@ def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
         store.replace(table, job.name, target.join(doomed, "id", "left_anti"))
     store.replace("messages", job.name, store.messages(job.name).join(gone.select("src_key"), "src_key", "left_anti"))
     store.replace("id_map", job.name, known.join(gone.select("src_key"), "src_key", "left_anti"))
+    store.discard(path)
 
 
 def import_group(
@@ -241,6 +259,7 @@ def import_group(
                 raise ValueError(f"{job.name} requires {', '.join(absent)}")
             import_job(store, group, job, options)
             done.append(job.name)
+    release_sheet(store, group)
     return done
 
 

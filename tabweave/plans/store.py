@@ -63,11 +63,14 @@ class Store:
         if old is not None:
             fs.delete(old, True)
 
-    def remove(self, table: str, migration: str) -> None:
-        fs, at = self._fs(self.folder(table, migration))
+    def discard(self, path: str) -> None:
+        fs, at = self._fs(path)
         if fs.exists(at):
             fs.delete(at, True)
 
+    def remove(self, table: str, migration: str) -> None:
+        self.discard(self.folder(table, migration))
+
     def read(self, table: str, migration: str, schema: T.StructType | None = None) -> DataFrame | None:
         """A job's table; without one, an empty frame if the schema is known, else None."""
         path = self.folder(table, migration)

@@ -30,15 +30,20 @@ def local_session(cores: str | int = "*", app: str = "tabweave", memory: str = "
     )
 
 
+# Folders of our own, by application, for sessions without a shared one.
+_OWN_BASES: dict[str, str] = {}
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder the cluster names; a folder of our own only where none is named."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tabweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    named = named or context.getCheckpointDir()
+    if named:
+        return named
+    if context.applicationId not in _OWN_BASES:
+        _OWN_BASES[context.applicationId] = tempfile.mkdtemp(prefix="tabweave-")
+    return _OWN_BASES[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,8 +10,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tabweave-tests")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session = local_session(4, "tabweave-tests")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
