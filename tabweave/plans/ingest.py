@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -250,6 +250,9 @@ def import_group(
 ) -> list[str]:
     """Import the group's jobs, or those with a tag, requirements first; the names in the order they ran."""
     options, done = options or Options(), []
+    if options.run_ts is None:
+        # One moment for the whole run.
+        options = replace(options, run_ts=datetime.datetime.now(datetime.timezone.utc))
     for level in group.levels():
         for job in level:
             if tag is not None and tag not in job.tags:

@@ -29,8 +29,15 @@ class Store:
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
 
     def exists(self, path: str) -> bool:
+        """Is there a table? One that a cut-short swap left aside is put back first."""
         fs, at = self._fs(path)
-        return fs.exists(at)
+        if fs.exists(at):
+            return True
+        _, old = self._fs(self._aside(path))
+        return fs.exists(old) and fs.rename(old, at)
+
+    def _aside(self, final: str) -> str:
+        return f"{self.root}/_old{final.removeprefix(self.root)}"
 
     def folder(self, table: str, migration: str) -> str:
         if not re.fullmatch(r"[\w.\-]+", migration):
@@ -47,20 +54,20 @@ class Store:
         self.swap(fresh, final)
 
     def swap(self, fresh: str, final: str) -> None:
+        """Put a written folder in the place of a table; the table there is kept aside until that is done."""
         fs, at = self._fs(final)
         _, source = self._fs(fresh)
-        old = None
-        if fs.exists(at):
-            _, old = self._fs(self.staging("old"))
+        _, old = self._fs(self._aside(final))
+        if self.exists(final):
+            if fs.exists(old):
+                fs.delete(old, True)
             fs.mkdirs(old.getParent())
             if not fs.rename(at, old):
                 raise OSError(f"Could not set {final} aside")
         fs.mkdirs(at.getParent())
         if not fs.rename(source, at):
-            if old is not None:
-                fs.rename(old, at)
             raise OSError(f"Could not put {fresh} in place")
-        if old is not None:
+        if fs.exists(old):
             fs.delete(old, True)
 
     def discard(self, path: str) -> None:
