@@ -20,7 +20,7 @@ from tabweave.plans.store import ID_MAP, Store
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
 from tabweave.sources.delimited import with_keys
 
-_ERROR = "_key_error"
+_ERROR, _HASH = "_key_error", "_sheet_row_hash"
 
 
 @dataclass
@@ -72,12 +72,17 @@ class Group:
 
 
 def staged_sheet(store: Store, group: Group) -> DataFrame:
-    """The parsed sheet as a table, made once for all jobs of the group; each job then reads its columns only."""
+    """The parsed sheet with its row hashes as a table, made once for all jobs of the group.
+
+    Each job then reads the hash and the columns it maps, not the whole sheet.
+    """
     if "sheet" not in group._staged:
         path = store.staging("sheet")
-        group.sheet.write.parquet(path)
+        cells = [source_col(c) for c in group.sheet.columns if c != group.row_column]
+        hashed = group.sheet.withColumn(_HASH, row_hash(cells))
+        hashed.write.parquet(path)
         group._staged["path"] = path
-        group._staged["sheet"] = store.spark.read.schema(group.sheet.schema).parquet(path)
+        group._staged["sheet"] = store.spark.read.schema(hashed.schema).parquet(path)
     return group._staged["sheet"]
 
 
@@ -110,9 +115,7 @@ def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
 
 
 def _keyed(store: Store, group: Group, job: Job) -> DataFrame:
-    sheet = staged_sheet(store, group)
-    cells = [source_col(c) for c in sheet.columns if c != group.row_column]
-    keyed = with_keys(sheet.withColumn("row_hash", row_hash(cells)), job.keys, error=_ERROR)
+    keyed = with_keys(staged_sheet(store, group).withColumnRenamed(_HASH, "row_hash"), job.keys, error=_ERROR)
     # Jobs with the same key columns need to look for repeated keys once only.
     known = ("unique", *job.keys.items())
     if known in group._staged:

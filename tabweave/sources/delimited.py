@@ -174,7 +174,8 @@ def read_sheet(
 ) -> DataFrame:
     """Rows of delimited sheets below the header row, all cells text, missing cells ''.
 
-    Rows are numbered over the non-blank records of each file, the first being 1. ``multiline``
+    Rows are numbered over the non-blank records of each file, the first being 1; that takes a second
+    pass over the text, so it is done only for a row index column or a header below row 1. ``multiline``
     admits line breaks inside cells; each file is then read by one task, so use it for small files.
     """
     if isinstance(header_row, bool) or not isinstance(header_row, int):
@@ -188,15 +189,22 @@ def read_sheet(
     bound = bind_columns(header, columns, mode)
     width = max(i for i, _ in bound) + 1
     cells = [f"_c{i}" for i in range(max(width, len(header)))]
-    if multiline:
+    numbered = row_index_column is not None or header_row > 1
+    if multiline or not numbered:
+        # Spark itself leaves out a header on the first record, and reads the picked columns only.
         reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-        scan = reader.csv(path, schema=text_schema(cells), sep=delimiter, escape='"', multiLine=True)
-        scan = scan.select(
-            *cells,
-            F.col("_metadata.file_path").alias(_FILE),
-            F.col("_metadata.file_block_start").alias(_BLOCK),
+        rows = reader.csv(
+            path,
+            schema=text_schema(cells),
+            sep=delimiter,
+            escape='"',
+            header=header_row == 1 and not numbered,
+            multiLine=multiline,
         )
-        rows = _number_rows(scan)
+        if not numbered:
+            return rows.select(*[F.coalesce(F.col(cells[i]), F.lit("")).alias(name) for i, name in bound])
+        file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+        rows = _number_rows(rows.select(*cells, file.alias(_FILE), block.alias(_BLOCK)))
     else:
         ddl = ", ".join(f"{c} string" for c in cells)
         parsed = F.from_csv("value", ddl, {"sep": delimiter, "escape": '"'})

@@ -113,3 +113,16 @@ def test_worksheets(spark, cells):
 def test_file_listing(spark, tmp_path):
     (tmp_path / "f.bin").write_bytes(b"12345")
     assert [r.length for r in file_listing(spark, str(tmp_path)).collect()] == [5]
+
+
+def test_plain_and_numbered_scans_agree(spark, tmp_path):
+    text = '\n\nID,"T ""x""",N\n1,"a, b",c,extra,cells\n\n2\n3,"",\n4, spaced ,"q""q"\nID,"T ""x""",N\n,,\n'
+    (tmp_path / "a.csv").write_text(text)
+    (tmp_path / "b.csv").write_text("ID,T,N\n9,x,y\n")
+    plain = D.read_sheet(spark, str(tmp_path / "*.csv"), header_row=1)
+    numbered = D.read_sheet(spark, str(tmp_path / "*.csv"), header_row=1, row_index_column="row").drop("row")
+    assert plain.columns == numbered.columns == ["ID", 'T "x"', "N"]
+    rows = sorted(map(tuple, plain.collect()))
+    assert rows == sorted(map(tuple, numbered.collect()))
+    assert ("4", " spaced ", 'q"q') in rows and ("ID", 'T "x"', "N") in rows and ("", "", "") in rows and len(rows) == 7
+    assert D.read_sheet(spark, str(tmp_path / "b.csv"), header_row=2, columns=["9", "x"]).count() == 0
