@@ -212,11 +212,25 @@ def _file_is_accessible(value, dtype, cfg, ctx):
     return StepResult(value, halt=F.when(~allowed, halt(IGNORED, words)))
 
 
-def _entity_lookup(df, value, out, cfg, ctx):
-    entities = lookups.entities_of(
+def _entities(cfg: dict, ctx: Context) -> DataFrame:
+    if ctx.entities is None:
+        raise ValueError("No entities to look up")
+    return lookups.entities_of(
         ctx.entities, cfg["entity_type"], cfg["value_key"], cfg.get("bundle"), cfg.get("bundle_key")
     )
-    return lookups.entity_lookup(df, value, entities, out, bool(cfg.get("ignore_case")), ctx.key)
+
+
+def _entity_lookup(df, value, out, cfg, ctx):
+    return lookups.entity_lookup(df, value, _entities(cfg, ctx), out, bool(cfg.get("ignore_case")), ctx.key)
+
+
+def constant_entity(value: Any, cfg: dict, ctx: Context) -> Column:
+    """The entity of one value, found by a small job whose filters reach the scan."""
+    entities = _entities(cfg, ctx)
+    same = F.col("value") == F.lit(value)
+    if cfg.get("ignore_case"):
+        same = F.lower("value") == F.lower(F.lit(value))
+    return F.lit(entities.filter(same).agg(F.min("id")).first()[0]).cast(entities.schema["id"].dataType)
 
 
 def _load_entity(df, value, out, cfg, ctx):

@@ -57,6 +57,8 @@ class _Field:
     steps: list[dict]
     cursor: int = 0
     value: Column | None = None
+    # The value as long as it is the same for all rows.
+    constant: object = None
     stored: bool = True
     stop: str | None = None
     halt: str | None = None
@@ -151,10 +153,13 @@ class MappingPlan:
             if kind == S.FRAME or (kind == S.CHECK and not f.stored):
                 break
             if kind == S.CHECK:
+                f.constant = None
                 self._check(f, step, columns)
                 f.cursor += 1
                 return True
+            first = f.value is None
             value = self._get(f, step) if step["plugin"] == "get" else self._value(f, step)
+            f.constant = step["default_value"] if first and step["plugin"] == "default_value" else None
             f.value, f.stored = self._guarded(f, value), False
             f.cursor += 1
             moved = True
@@ -211,6 +216,11 @@ class MappingPlan:
         step = f.steps[f.cursor]
         if f.value is None:
             raise ValueError(f"{f.name} starts without a source")
+        if step["plugin"] == "entity_lookup" and f.constant is not None:
+            # One value for all rows is looked up once, not joined: every row would meet at its key.
+            self.df = self.df.withColumn(f.column, S.constant_entity(f.constant, step, self.ctx))
+            f.value, f.constant, f.cursor = F.col(f.column), None, f.cursor + 1
+            return
         asked, out = f"_ask{f.at}", f"_out{f.at}"
         # A row that has ended asks for nothing.
         ended = [F.col(g.halt) for g in self.fields[: f.at + 1] if g.halt]

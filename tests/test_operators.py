@@ -145,3 +145,19 @@ def test_explode_values(spark):
     df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, v array<string>")
     rows = explode_values(df, "v", ["k"], position="at").collect()
     assert [(r.k, r["at"], r.value) for r in rows] == [(1, 0, "a"), (1, 1, None)]
+
+
+def test_constants_are_looked_up_once(spark):
+    entities = spark.createDataFrame(
+        [("term", "vid", "use", "uri", "X#File", "u2"), ("term", "vid", "use", "uri", "x#file", "u1"), ("term", "vid", "no", "uri", "x#file", "u0")],
+        "entity_type string, bundle_key string, bundle string, value_key string, value string, id string",
+    )
+    look = {"plugin": "entity_lookup", "entity_type": "term", "bundle": "use", "value_key": "uri", "ignore_case": True}
+    mapping = {
+        "use": [{"plugin": "default_value", "default_value": "x#FILE"}, look],
+        "none": [{"plugin": "default_value", "default_value": "other"}, look, {"plugin": "default_value", "default_value": "z"}],
+    }
+    rows = spark.createDataFrame([("1",), ("2",)], "src_key string")
+    out = accepted(compile_mapping(rows, mapping, Context(entities=entities), ["src_key"]))
+    assert {(r.use, r.none) for r in out.collect()} == {("u1", "z")}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
