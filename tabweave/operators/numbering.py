@@ -11,7 +11,7 @@ from tabweave.functions.text import source_col
 from tabweave.session import materialize
 
 # A group with more rows than this is numbered by many tasks.
-HOT_ROWS = 4_000_000
+HOT_ROWS = 1_000_000
 
 _POS = "_pos"
 _RANGE = "_range"
@@ -29,13 +29,17 @@ def _same(names: Sequence[str]) -> Column:
     return matched
 
 
-def _ranged_number(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def _ranged_number(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str, rows: int, hot_rows: int
+) -> DataFrame:
     """Number rows after a range partitioning on (group, order), which also cuts a single group.
 
+    There are as many ranges as keep each near ``hot_rows`` rows, however many rows there are.
+
     The place of a row in its range is written to a table, so it is fixed once for all readers; the
     rows of a group in earlier ranges, a table with one row per group and range, are then added.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // hot_rows))
     ordered = df.repartitionByRange(ranges, *groups, *order).sortWithinPartitions(*groups, *order)
     placed = materialize(ordered.withColumn(_POS, F.monotonically_increasing_id()), "numbering")
     # The upper bits of the position are the number of the range.
@@ -57,15 +61,16 @@ def running_number(
     task ever holds more than a range of a group. Without groups, the whole frame is one hot group.
     """
     if not groups:
-        return _ranged_number(df, [], order, name)
+        return _ranged_number(df, [], order, name, df.count(), hot_rows)
     window = Window.partitionBy(*groups).orderBy(*order)
     # At most rows / hot_rows groups are hot; counting is a pruned scan with partial aggregation.
     hot = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_count")).filter(F.col("_count") > hot_rows)
+    rows = hot.agg(F.sum("_count")).first()[0]
     hot = _renamed(hot.select(*groups), groups)
-    if hot.isEmpty():
+    if rows is None:
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     usual = df.join(hot, _same(groups), "left_anti")
     heavy = df.join(hot, _same(groups), "left_semi")
     return usual.withColumn(name, F.row_number().over(window).cast("bigint")).unionByName(
-        _ranged_number(heavy, groups, order, name)
+        _ranged_number(heavy, groups, order, name, rows, hot_rows)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.constants import FAILED, IGNORED, IMPORTED
+from tabweave.constants import FAILED, IGNORED, IMPORTED, ORPHANS_TAG
 from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, target_id
 from tabweave.operators import state as S
@@ -176,6 +176,21 @@ def ingest_group(spark, sf):
     return store.read("targets/media", "child").select("id", "title", "bundle", F.col("node.title").alias("node_title"), F.col("node.kind").alias("kind"))
 
 
+def ingest_incremental(spark, sf):
+    """Import an old sheet, then the current one: changed rows anew, rows that left as orphans."""
+    store = Store(spark, scratch_path(spark, "incremental"))
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", "HOUSING").otherwise(F.col("c_mktsegment"))
+    customers = table(spark, sf, "customer")
+    old = customers.filter(F.col("c_acctbal") < 8000).select(F.col("c_custkey").cast("string").alias("ID"), "c_name", segment.alias("c_mktsegment"))
+    gone = table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ID"), F.col("s_name").alias("c_name"), F.lit("none").alias("c_mktsegment"))
+    now = customers.select(F.col("c_custkey").cast("string").alias("ID"), "c_name", "c_mktsegment")
+    job = Job("base", {"title": "c_name", "kind": "c_mktsegment"}, "node", {"ID": "string"}, tags=[ORPHANS_TAG])
+    for sheet in (old.unionByName(gone), now):
+        import_group(store, Group([job], sheet))
+    target = store.read("targets/node", "base")
+    return store.id_map("base").join(target, F.col("dest_id") == F.col("id"), "left").select("src_key", "status", "title", "kind")
+
+
 def ingest_rollback(spark, sf):
     """Import all customers, then undo the ignored rows only: the id map that is left."""
     store = Store(spark, scratch_path(spark, "rollback"))
@@ -291,6 +306,10 @@ QUERIES = {
                   CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'FURNITURE' THEN 'f' WHEN 'MACHINERY' THEN 'm' END AS kind
            FROM customer""",
     ),
+    "ingest_incremental": (
+        ingest_incremental,
+        "SELECT CAST(c_custkey AS VARCHAR) AS src_key, 'imported' AS status, c_name AS title, c_mktsegment AS kind FROM customer",
+    ),
     "ingest_rollback": (
         ingest_rollback,
         """SELECT 'base' AS migration, CAST(c_custkey AS VARCHAR) AS src_key, sha256('base' || chr(31) || c_custkey) AS dest_id,

@@ -260,6 +260,20 @@ def copy_manifest_query(spark, sf):
     return copy_manifest(parts, "src", "dest", ["p_partkey"])
 
 
+def step_file_copy(spark, sf):
+    """Pages copied to one folder by language and extension; clashing names are numbered in key order."""
+    pages = table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("src_key"), "url", F.regexp_extract("url", "/(de|en|es|fr)/", 1).alias("lang")
+    )
+    mapping = {
+        "_name": [{"plugin": "concat", "source": ["lang", "lang"], "delimiter": "."}],
+        "_dir": [{"plugin": "default_value", "default_value": "repo-bin:/"}],
+        "_dest": [{"plugin": "concat", "source": ["@_dir", "@_name"], "delimiter": "/"}],
+        "uri": [{"plugin": "file_copy", "source": ["url", "@_dest"], "file_exists": "rename"}],
+    }
+    return accepted(_run(pages, mapping, "src_key"))
+
+
 _LABELLED = "documents LEFT JOIN labels USING (doc_id)"
 _MAPPED = "CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN 'medium' WHEN '5-LOW' THEN 'low' END"
 _BASENAME = "string_split(rtrim(url, '/'), '/')[-1]"
@@ -375,6 +389,14 @@ QUERIES = {
         default_bundle_query,
         "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'image' ELSE 'file' END AS bundle FROM events",
     ),
+    "step_file_copy": (
+        step_file_copy,
+        """WITH p AS (SELECT page_id, regexp_extract(url, '/(de|en|es|fr)/', 1) AS lang FROM pages),
+                n AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY page_id) AS nth FROM p)
+           SELECT CAST(page_id AS VARCHAR) AS src_key,
+                  'repo-bin://' || lang || CASE WHEN nth > 1 THEN '_' || (nth - 1) ELSE '' END || '.' || lang AS uri
+           FROM n""",
+    ),
     "copy_manifest": (
         copy_manifest_query,
         """WITH n AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS nth FROM part)
