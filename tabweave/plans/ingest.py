@@ -160,9 +160,11 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     result = result.unionByName(bad, allowMissingColumns=True)
     result.write.parquet(staged)
     rows = store.spark.read.schema(result.schema).parquet(staged)
-    _keep_rows(store, job, rows, values)
-    if asks_for_stubs(job.mapping):
-        _keep_stubs(store, group, rows)
+    # Nothing new leaves the tables as they are; a first import makes them even when empty.
+    if not store.has("id_map", job.name) or not rows.isEmpty():
+        _keep_rows(store, job, rows, values)
+        if asks_for_stubs(job.mapping):
+            _keep_stubs(store, group, rows)
     if ORPHANS_TAG in job.tags:
         remove_orphans(store, job, sheet)
     store.discard(staged)
@@ -239,6 +241,9 @@ def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
     path = store.staging("orphans")
     gone.write.parquet(path)
     gone = store.spark.read.schema(ID_MAP).parquet(path)
+    if gone.isEmpty():
+        store.discard(path)
+        return
     target = store.read(table, job.name)
     if target is not None:
         doomed = gone.select(F.col("dest_id").alias("id"))

@@ -89,7 +89,9 @@ def test_second_import_changes_nothing(spark, tmp_path, sheet_path, entities, ru
     import_job(store, g, node, options)
     first = sorted(store.read("targets/node", "node").collect(), key=str)
     maps = sorted(store.id_map("node").collect(), key=str)
+    written = os.listdir(store.folder("targets/node", "node"))
     import_job(store, group(spark, sheet_path, entities), node, options)
+    assert os.listdir(store.folder("targets/node", "node")) == written
     assert sorted(store.read("targets/node", "node").collect(), key=str) == first
     assert sorted(store.id_map("node").collect(), key=str) == maps
 
