@@ -162,9 +162,10 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     rows = store.spark.read.schema(result.schema).parquet(staged)
     # Nothing new leaves the tables as they are; a first import makes them even when empty.
     if not store.has("id_map", job.name) or not rows.isEmpty():
-        _keep_rows(store, job, rows, values)
+        # Stubs first: a run repeated after a failure sees the rows as new until their id map is written.
         if asks_for_stubs(job.mapping):
             _keep_stubs(store, group, rows)
+        _keep_rows(store, job, rows, values)
     if ORPHANS_TAG in job.tags:
         remove_orphans(store, job, sheet)
     store.discard(staged)

@@ -212,3 +212,17 @@ def test_later_rows_of_a_key_win(spark, tmp_path):
     loose = Job("loose", {"title": "Title"}, "node", KEYS)
     import_job(store, Group([loose], sheet.drop("row")), loose)
     assert store.id_map("loose").count() == 3 and store.read("targets/node", "loose").count() == 3
+
+
+def test_stubs_in_the_own_sheet(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "state"))
+    mapping = {"title": "Title", "parent": [{"plugin": "get", "source": "Ref"}, {"plugin": "migration_lookup", "migration": "own"}]}
+    job = Job("own", mapping, "node", KEYS)
+    cells = spark.createDataFrame([("1", "2", "a"), ("2", "9", "b"), ("3", "", "c")], "ID string, Ref string, Title string")
+    import_job(store, Group([job], cells), job)
+    known = {r.src_key: r for r in store.id_map("own").collect()}
+    assert {k: r.status for k, r in known.items()} == {"1": "imported", "2": "imported", "3": "imported", "9": "needs_update"}
+    rows = {r.id: r for r in store.read("targets/node", "own").collect()}
+    assert len(rows) == 4 and rows[known["9"].dest_id].is_stub
+    assert rows[known["1"].dest_id].parent == known["2"].dest_id and rows[known["2"].dest_id].parent == known["9"].dest_id
+    assert rows[known["3"].dest_id].parent is None
