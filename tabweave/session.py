@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,12 +36,14 @@ _OWN_BASES: dict[str, str] = {}
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named."""
+    """The shared folder the cluster names. Only a local master, which has one disk, gets a folder of our own."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     named = named or context.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if context.applicationId not in _OWN_BASES:
         _OWN_BASES[context.applicationId] = tempfile.mkdtemp(prefix="tabweave-")
     return _OWN_BASES[context.applicationId]
@@ -51,9 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_base(spark).rstrip('/')}/tabweave/{name}-{uuid.uuid4().hex}"
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver delete ``path`` when the application ends; its readers may be lazy until then."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a written table, so that lost executors never change an assigned value."""
     path = scratch_path(df.sparkSession, name)
+    delete_on_exit(df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
