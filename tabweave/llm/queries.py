@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import mixing, sharding, urls
+from tabweave.llm import mixing, sharding, simhash, urls
 from tabweave.sources.tables import table
 
 SHARDS = 16
@@ -38,6 +38,13 @@ def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op9_segment_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component that links at 2 or fewer bits reach."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document, in the order of their first use."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -91,5 +98,6 @@ def registered() -> dict[str, tuple]:
     return {
         "op1_hash_tree": (op1_hash_tree, None),
         "op4_url_ratio": (op4_url_ratio, None),
+        "op9_segment_grid": (op9_segment_grid, None),
         "op10_curriculum": (op10_curriculum, OP10_SQL),
     }
