@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import mixing, sharding, simhash, urls
+from tabweave.llm import decontaminate, mixing, sharding, simhash, topk, urls
 from tabweave.sources.tables import table
 
 SHARDS = 16
@@ -32,12 +32,57 @@ def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item that it holds."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, items)
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+    FROM d WHERE len(w) > 0)),
+its AS (
+  SELECT DISTINCT item_id, s FROM (
+    SELECT item_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+    FROM i WHERE len(w) > 0)),
+n AS (SELECT item_id, count(*) AS n FROM its GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, count(*)::DOUBLE / any_value(n) AS containment
+FROM its JOIN ds USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8 - 1e-9)
+"""
+
+
 def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on every page's URL."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op8_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best vectors for every 50th vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op9_segment_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the component that links at 2 or fewer bits reach."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -97,7 +142,9 @@ def registered() -> dict[str, tuple]:
     """Name to (query, SQL or None)."""
     return {
         "op1_hash_tree": (op1_hash_tree, None),
+        "op3_containment": (op3_containment, OP3_SQL),
         "op4_url_ratio": (op4_url_ratio, None),
+        "op8_tiled_topk": (op8_tiled_topk, OP8_SQL),
         "op9_segment_grid": (op9_segment_grid, None),
         "op10_curriculum": (op10_curriculum, OP10_SQL),
     }
