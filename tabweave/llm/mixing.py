@@ -166,4 +166,4 @@ def training_order(mixed: DataFrame, text: str = "text") -> DataFrame:
     cut = F.when(F.col(left) >= F.col("size"), words).otherwise(F.array_join(head, " "))
     gone = {"size", "source_size", "target", "taken", "positions"}
     kept = [cut.alias(text) if c == text else F.col(f"`{c}`") for c in mixed.columns if c not in gone]
-    return passes.repartitionByRange(F.col(at)).sortWithinPartitions(at).select(*kept)
+    return passes.repartitionByRange(F.col(at), F.col(n)).sortWithinPartitions(at, n).select(*kept)

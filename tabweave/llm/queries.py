@@ -96,9 +96,9 @@ def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(docs, CURRICULUM)
     mixed = mixed.withColumn("position", F.round(F.get("positions", F.lit(0)), 9))
     mixed = mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
-    return mixed.repartitionByRange(F.col("position").asc_nulls_last()).sortWithinPartitions(
-        F.col("position").asc_nulls_last()
-    )
+    # Documents that are never taken have no position; their ids spread them over the ranges behind.
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 OP10_SQL = r"""
