@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import decontaminate, mixing, sharding, simhash, topk, urls
+from tabweave.llm import decontaminate, licenses, mixing, sharding, simhash, topk, urls
 from tabweave.sources.tables import table
 
 SHARDS = 16
@@ -66,6 +66,28 @@ def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license labels of every document."""
+    scan = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda b: b["first"].cast("bigint"))
+
+    def labels(*fields: str) -> Column:
+        every = F.concat(*[F.transform(f, lambda d: d["label"]) for f in fields])
+        return F.array_join(F.array_sort(F.array_distinct(every)), ",")
+
+    best = F.array_max(F.transform(F.concat("base", "detections"), lambda d: d["score"]))
+    return scan.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels("base").alias("base_labels"),
+        labels("base", "detections").alias("labels"),
+        F.coalesce(best, F.lit(0.0)).alias("score"),
+    )
+
+
 def op8_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best vectors for every 50th vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
@@ -144,6 +166,7 @@ def registered() -> dict[str, tuple]:
         "op1_hash_tree": (op1_hash_tree, None),
         "op3_containment": (op3_containment, OP3_SQL),
         "op4_url_ratio": (op4_url_ratio, None),
+        "op6_signature_rules": (op6_signature_rules, None),
         "op8_tiled_topk": (op8_tiled_topk, OP8_SQL),
         "op9_segment_grid": (op9_segment_grid, None),
         "op10_curriculum": (op10_curriculum, OP10_SQL),
