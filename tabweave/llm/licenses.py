@@ -8,7 +8,9 @@ license identifier.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -84,22 +86,22 @@ _PLAIN = {
     "beerware": "beer ?ware license",
     "proprietary": "(?:proprietary|commercial) licen[sc]e(?: agreement)?",
 }
-# Sentences that licenses and notices are known by, each with its keyword.
+# Sentences that licenses and notices are known by.
 _NOTICES = [
-    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person"),
-    ("isc", "permission to use", "permission to use copy modify and or distribute this software"),
-    ("bsd", "redistribution and use", "redistribution and use in source and binary forms"),
-    ("apache", "licensed under the apache", "licensed under the apache license(?: version \\d+(?: \\d+)?)?"),
-    ("gpl", "gnu general public license", "under the terms of the gnu general public license"),
-    ("lgpl", "lesser general public license", "under the terms of the gnu lesser general public license"),
-    ("mpl", "mozilla public license", "subject to the terms of the mozilla public license"),
-    ("warranty", "without warranty", "without warranty of any kind(?: express or implied)?"),
-    ("warranty", "without any warranty", "without any warranty without even the implied warranty"),
-    ("copyright", "copyright", "copyright (?:c )?(?:19|20)\\d\\d(?: (?:19|20)\\d\\d)*"),
-    ("copyright", "copyright", "(?:c|©) copyright(?: (?:19|20)\\d\\d)?"),
-    ("public-domain", "public domain", "(?:released into|dedicated to|placed in|in) the public domain"),
-    ("reserved", "reserved", "(?:all|some|no) rights (?:are )?reserved"),
-    ("proprietary", "licensed material", "confidential and licensed material"),
+    ("mit", "permission is hereby granted free of charge to any person"),
+    ("isc", "permission to use copy modify and or distribute this software"),
+    ("bsd", "redistribution and use in source and binary forms"),
+    ("apache", "licensed under the apache license(?: version \\d+(?: \\d+)?)?"),
+    ("gpl", "under the terms of the gnu general public license"),
+    ("lgpl", "under the terms of the gnu lesser general public license"),
+    ("mpl", "subject to the terms of the mozilla public license"),
+    ("warranty", "without warranty of any kind(?: express or implied)?"),
+    ("warranty", "without any warranty without even the implied warranty"),
+    ("copyright", "copyright (?:c )?(?:19|20)\\d\\d(?: (?:19|20)\\d\\d)*"),
+    ("copyright", "(?:c|©) copyright(?: (?:19|20)\\d\\d)?"),
+    ("public-domain", "(?:released into|dedicated to|placed in|in) the public domain"),
+    ("reserved", "(?:all|some|no) rights (?:are )?reserved"),
+    ("proprietary", "confidential and licensed material"),
 ]
 # The licenses of Creative Commons and their versions.
 _COMMONS = {
@@ -112,55 +114,58 @@ _COMMONS = {
 }
 _COMMONS_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 
-# One of these is part of every keyword; a text without any is not looked at further.
-GATES = ["licen", "copyright", "reserved", "spdx", "cc ", "cc0", "creative", "public domain", "redistribution", "permission", "warrant"]
+# One of these is part of every match; a text without any is not looked at further.
+GATES = ["licen", "copyright", "reserved", "cc", "creative", "public", "redistribution", "permission", "warrant"]
 
 
 def _version(number: str) -> str:
-    """Pattern of a version's words; ``.0`` may be missing."""
+    """Pattern of a version's words; a last 0 may be missing."""
     major, _, minor = number.partition(".")
-    return f"v?{major}" + (" ?0?" if minor == "0" else f" {minor}").replace(" ?0?", "(?: 0)?")
+    return f"v?{major}(?: 0)?" if minor == "0" else f"v?{major} {minor}"
+
+
+def _plain_part(pattern: str) -> str:
+    """The longest stretch of a pattern that stands for itself, which any text that matches it has."""
+    fixed = re.sub(r"\(\?:[^()]*(?:\([^()]*\)[^()]*)*\)\??|\[[^]]*\]\??|.\?|\\\\.", "|", pattern)
+    return max(fixed.split("|"), key=len)
 
 
 def rules() -> list[Rule]:
     """All signature rules, some hundreds, made from the tables of families, versions and sentences."""
     made = []
+
+    def add(label: str, pattern: str, priority: int, score: float) -> None:
+        made.append(Rule(label, _plain_part(pattern), pattern, priority, score))
+
+    later = "(?: or (?:any )?(?:later|newer)(?: version)?)?"
     for family, name, short, versions in _VERSIONED:
         for number in versions:
             label, v = f"{family}-{number}", _version(number)
-            later = "(?: or (?:any )?(?:later|newer)(?: version)?)?"
-            made += [
-                Rule(label, "license", f"{name}(?: {short})?(?: version| v)? {v}{later}", TITLE, 0.95),
-                Rule(label, "licen", f"(?:version )?{v} of the {name}{later}", TITLE, 0.95),
-                Rule(label, "licen", f"licen[sc]ed? (?:under )?(?:the )?{short} ?{v}{later}", TITLE, 0.9),
-                Rule(label, "spdx license identifier", f"spdx license identifier {short} {v}(?: only| or later)?", IDENTIFIER, 1.0),
-            ]
-        made.append(Rule(family, "license", name, FAMILY, 0.7))
+            add(label, f"{name}(?: {short})?(?: version| v)? {v}{later}", TITLE, 0.95)
+            add(label, f"(?:version )?{v} of the {name}{later}", TITLE, 0.95)
+            add(label, f"licen[sc]ed? (?:under )?(?:the )?{short} ?{v}{later}", TITLE, 0.9)
+            add(label, f"spdx license identifier {short} {v}(?: only| or later)?", IDENTIFIER, 1.0)
+        add(family, name, FAMILY, 0.7)
     for family, name in _PLAIN.items():
         spoken = family.replace("-", " ")
-        made += [
-            Rule(family, "licen", name, TITLE, 0.9),
-            Rule(family, "licen", f"(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?{spoken}(?: license)?", NOTICE, 0.8),
-            Rule(family, "spdx license identifier", f"spdx license identifier {spoken}", IDENTIFIER, 1.0),
-        ]
+        under = "licen[sc]ed under (?:the )?(?:terms of )?(?:the )?"
+        add(family, name, TITLE, 0.9)
+        add(family, f"{under}{spoken}(?: license)?", NOTICE, 0.8)
+        add(family, f"spdx license identifier {spoken}", IDENTIFIER, 1.0)
     for (code, name), number in product(_COMMONS.items(), _COMMONS_VERSIONS):
         label, v, words = f"cc-{code}-{number}", _version(number), code.replace("-", " ")
-        made += [
-            Rule(label, "creative commons", f"creative commons {name}(?: license)?(?: version)? {v}(?: international| unported| generic)?", TITLE, 0.95),
-            Rule(label, "cc by", f"cc {words} {v}", TITLE, 0.95),
-            Rule(label, "spdx license identifier", f"spdx license identifier cc {words} {v}", IDENTIFIER, 1.0),
-        ]
+        place = "(?: international| unported| generic)?"
+        add(label, f"creative commons {name}(?: license)?(?: version)? {v}{place}", TITLE, 0.95)
+        add(label, f"cc {words} {v}", TITLE, 0.95)
+        add(label, f"spdx license identifier cc {words} {v}", IDENTIFIER, 1.0)
     for code, name in _COMMONS.items():
-        made += [
-            Rule(f"cc-{code}", "creative commons", f"creative commons {name}", FAMILY, 0.8),
-            Rule(f"cc-{code}", "cc by", f"cc {code.replace('-', ' ')}", FAMILY, 0.8),
-        ]
-    made += [
-        Rule("cc0-1.0", "cc0", "cc0(?: 1(?: 0)?)?(?: universal)?", TITLE, 0.95),
-        Rule("cc0-1.0", "creative commons", "creative commons (?:zero|cc0)(?: 1(?: 0)?)?(?: universal)?", TITLE, 0.95),
-        Rule("public-domain", "public domain", "public domain", FAMILY, 0.5),
-    ]
-    made += [Rule(label, keyword, pattern, NOTICE, 0.85) for label, keyword, pattern in _NOTICES]
+        add(f"cc-{code}", f"creative commons {name}", FAMILY, 0.8)
+        add(f"cc-{code}", f"cc {code.replace('-', ' ')}", FAMILY, 0.8)
+    add("cc0-1.0", "cc0(?: 1(?: 0)?)?(?: universal)?", TITLE, 0.95)
+    add("cc0-1.0", "creative commons (?:zero|cc0)(?: 1(?: 0)?)?(?: universal)?", TITLE, 0.95)
+    add("public-domain", "public domain", FAMILY, 0.5)
+    for label, pattern in _NOTICES:
+        add(label, pattern, NOTICE, 0.85)
     return made
 
 
@@ -172,25 +177,27 @@ def _spans(words: Column, pattern: Column) -> Column:
     """First and last word, from 0, of each place where the pattern matches whole words; places do not overlap."""
     whole = F.concat(F.lit("(?<![^ ])(?:"), pattern, F.lit(")(?![^ ])"))
     empty = F.array().cast("array<struct<first:int,last:int>>")
-    found = F.struct(F.regexp_extract_all(words, whole, F.lit(0)).alias("hits"), F.split(words, whole, F.lit(-1)).alias("gaps"))
 
-    def walk(f: Column) -> Column:
-        def step(state: Column, i: Column) -> Column:
-            first = state["at"] + _spaces(F.get(f["gaps"], i))
-            return F.transform(F.array(first), lambda a: F.struct(
-                (a + _spaces(F.get(f["hits"], i))).alias("at"),
-                F.concat(state["spans"], F.array(F.struct(a.alias("first"), (a + _spaces(F.get(f["hits"], i))).alias("last")))).alias("spans"),
-            ))[0]
+    def walk(hits: Column) -> Column:
+        def step(state: Column, part: Column) -> Column:
+            first = state["at"] + part["gap"]
+            span = F.struct(first.alias("first"), (first + part["hit"]).alias("last"))
+            return F.struct((first + part["hit"]).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-        steps = F.sequence(F.lit(0), F.size(f["hits"]) - 1)
+        gaps = F.split(words, whole, F.lit(-1))
+        parts = F.zip_with(
+            F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(_spaces(g).alias("gap"), _spaces(h).alias("hit"))
+        )
         start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-        return F.when(F.size(f["hits"]) > 0, F.aggregate(steps, start, step, lambda s: s["spans"])).otherwise(empty)
+        return F.aggregate(parts, start, step, lambda s: s["spans"])
 
-    return F.transform(F.array(found), walk)[0]
+    # The text is cut at the places only if there are any.
+    hits = F.filter(F.array(F.regexp_extract_all(words, whole, F.lit(0))), lambda h: F.size(h) > 0)
+    return F.flatten(F.transform(hits, walk))
 
 
 def _detections(words: Column, table: Column) -> Column:
-    """Detections of all rules of an array whose keywords the words contain."""
+    """Detections of all rules of an array of (keyword, rules) whose keywords the words contain."""
 
     def of(rule: Column) -> Column:
         return F.transform(_spans(words, rule["pattern"]), lambda s: F.struct(
@@ -198,7 +205,8 @@ def _detections(words: Column, table: Column) -> Column:
             rule["place"].alias("place"), rule["label"].alias("label"), rule["score"].alias("score"),
         ))
 
-    return F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), of))
+    held = F.flatten(F.transform(F.filter(table, lambda t: F.contains(words, t["keyword"])), lambda t: t["rules"]))
+    return F.flatten(F.transform(held, of))
 
 
 def suppressed(detections: Column) -> Column:
@@ -222,13 +230,13 @@ def suppressed(detections: Column) -> Column:
 
 
 def _table(made: list[Rule]) -> Column:
-    kind = "array<struct<pattern:string,keyword:string,priority:int,place:int,label:string,score:double>>"
-    rows = [
-        F.struct(F.lit(r.pattern).alias("pattern"), F.lit(r.keyword).alias("keyword"), F.lit(r.priority).alias("priority"),
-                 F.lit(i).alias("place"), F.lit(r.label).alias("label"), F.lit(r.score).alias("score"))
-        for i, r in enumerate(made)
-    ]
-    return F.array(*rows).cast(kind)
+    """The rules by keyword, as a constant."""
+    by_keyword: dict[str, list[Column]] = {}
+    for i, r in enumerate(made):
+        fields = {"pattern": r.pattern, "priority": r.priority, "place": i, "label": r.label, "score": r.score}
+        rule = F.struct(*[F.lit(v).alias(n) for n, v in fields.items()])
+        by_keyword.setdefault(r.keyword, []).append(rule)
+    return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*v).alias("rules")) for k, v in by_keyword.items()])
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", made: list[Rule] | None = None) -> DataFrame:
@@ -244,12 +252,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", made: list[Rule] | None =
     phrases = [Rule(label, phrase, phrase, 0, 0.5) for phrase, label in BASE.items()]
     kind = "array<struct<first:int,minus_last:int,priority:int,place:int,label:string,score:double>>"
     none = F.array().cast(kind)
-    lowered = F.lower(source)
     # Lower-casing by Unicode only lets more texts through than that of A-Z.
-    gate = F.lit(False)
-    for g in GATES:
-        parts = [F.contains(lowered, F.lit(w)) for w in g.split()]
-        gate = gate | (parts[0] if len(parts) == 1 else parts[0] & parts[1])
+    gate = F.exists(F.array(F.lower(source)), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(g)) for g in GATES]))
     joined = F.array_join(F.regexp_extract_all(lower_ascii(source), F.lit(WORDS), F.lit(0)), " ")
     scanned = base.withColumns({
         "n_words": F.coalesce(F.regexp_count(source, F.lit(_ANY_CASE)), F.lit(0)).cast("bigint"),

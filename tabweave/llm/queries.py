@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import decontaminate, licenses, mixing, sharding, simhash, topk, urls
+from tabweave.llm import decontaminate, licenses, mixing, quality, sharding, simhash, topk, urls
 from tabweave.sources.tables import table
 
 SHARDS = 16
@@ -88,6 +88,24 @@ def op6_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Documents with at least this score count as good.
+GOOD = 0.3
+
+
+def held_out() -> Column:
+    """Whether a document is kept from learning; a null key counts as the empty text."""
+    digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return F.pmod(digest, F.lit(5)) == 0
+
+
+def op7_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learnt from labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels.filter(~held_out()))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op8_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best vectors for every 50th vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
@@ -167,6 +185,7 @@ def registered() -> dict[str, tuple]:
         "op3_containment": (op3_containment, OP3_SQL),
         "op4_url_ratio": (op4_url_ratio, None),
         "op6_signature_rules": (op6_signature_rules, None),
+        "op7_neighbour_vote": (op7_neighbour_vote, None),
         "op8_tiled_topk": (op8_tiled_topk, OP8_SQL),
         "op9_segment_grid": (op9_segment_grid, None),
         "op10_curriculum": (op10_curriculum, OP10_SQL),
