@@ -180,7 +180,10 @@ FROM timed
 
 def registered() -> dict[str, tuple]:
     """Name to (query, SQL or None)."""
+    import corpus_pipeline
+
     return {
+        "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op1_hash_tree": (op1_hash_tree, None),
         "op3_containment": (op3_containment, OP3_SQL),
         "op4_url_ratio": (op4_url_ratio, None),

@@ -161,3 +161,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
     named = placed.join(least, "root").select("fp", "component")
     return prints.join(named, "fp").select(F.col("key").alias(key), "fp", "component")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """``docs`` with one document of each component, that with the least key; the rest as they are.
+
+    Rows that share a key are one document, of which the least row stays. A row without a key cannot be named
+    as a component's document, nor told from others, and stays.
+    """
+    found = near_duplicates(docs, key, text, shingle)
+    kept = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias("_kept")).distinct()
+    named = docs.filter(F.col(f"`{key}`").isNotNull())
+    named = named.join(kept, named[key] == kept["_kept"], "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = named.groupBy(F.col(f"`{key}`").alias("_kept")).agg(F.min(row).alias("_row")).select("_row.*")
+    return least.unionByName(docs.filter(F.col(f"`{key}`").isNull()))
