@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm import decontaminate, licenses, mixing, quality, sharding, simhash, topk, urls
+from tabweave.llm import (
+    decontaminate,
+    fm_dedup,
+    licenses,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    topk,
+    urls,
+)
 from tabweave.sources.tables import table
 
 SHARDS = 16
@@ -32,6 +43,30 @@ def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def _removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, r: n + r["high"] - r["low"])
+
+
+def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without windows of 20 words that also start earlier."""
+    found = fm_dedup.remove_repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.col("size").alias("n_words"), _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that also start elsewhere."""
+    found = suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("size").alias("n_bytes"),
+        _removed().alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with every benchmark item that it holds."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -185,8 +220,10 @@ def registered() -> dict[str, tuple]:
     return {
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op1_hash_tree": (op1_hash_tree, None),
+        "op2_fm_index": (op2_fm_index, None),
         "op3_containment": (op3_containment, OP3_SQL),
         "op4_url_ratio": (op4_url_ratio, None),
+        "op5_suffix_array": (op5_suffix_array, None),
         "op6_signature_rules": (op6_signature_rules, None),
         "op7_neighbour_vote": (op7_neighbour_vote, None),
         "op8_tiled_topk": (op8_tiled_topk, OP8_SQL),
