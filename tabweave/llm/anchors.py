@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabweave.llm.text import free_name
+
 # Bits of the map of repeated anchors, a power of 2: 8 MiB for every task, whatever the corpus.
 MAP_BITS = 1 << 26
 # Bytes of unit symbols that a task holds before it sends them on.
@@ -309,10 +311,11 @@ def remove_repeated(
     rows = base.select(named[0].alias("key"), named[1].alias("text"))
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(rows, scheme))
     ranges = _solve(_cut(rows, scheme, bits), scheme)
-    spans = ranges.groupBy("key", "hash").agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
-    wide = base.withColumns({"_key": named[0], "_hash": F.xxhash64(named[1]), "_text": named[1]})
-    found = wide.join(spans, wide["_key"].eqNullSafe(spans["key"]) & (wide["_hash"] == spans["hash"]), "left")
-    found = found.select(*[wide[c] for c in base.columns], wide["_text"], spans["_spans"])
+    spans = ranges.groupBy("key", "hash").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    k, h, t = (free_name(x, base.columns) for x in ("_key", "_hash", "_text"))
+    wide = base.withColumns({k: named[0], h: F.xxhash64(named[1]), t: named[1]})
+    found = wide.join(spans, wide[k].eqNullSafe(spans["key"]) & (wide[h] == spans["hash"]), "left")
+    found = found.select(*[wide[c] for c in base.columns], wide[t], spans["spans"])
     schema = base.schema.fields
     width = len(schema)
 

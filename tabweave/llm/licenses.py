@@ -16,7 +16,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.llm.text import lower_ascii
+from tabweave.llm.text import free_name, lower_ascii
 
 # A word is a run of ASCII letters and digits and of all characters beyond ASCII.
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -248,6 +248,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", made: list[Rule] | None =
     """
     made = rules() if made is None else made
     base = docs.drop(*[c for c in ("n_words", "base", "detections") if c != text])
+    words, hits = (free_name(x, base.columns) for x in ("_words", "_found"))
     source = F.col(f"`{text}`")
     phrases = [Rule(label, phrase, phrase, 0, 0.5) for phrase, label in BASE.items()]
     kind = "array<struct<first:int,minus_last:int,priority:int,place:int,label:string,score:double>>"
@@ -257,15 +258,15 @@ def scan_licenses(docs: DataFrame, text: str = "text", made: list[Rule] | None =
     joined = F.array_join(F.regexp_extract_all(lower_ascii(source), F.lit(WORDS), F.lit(0)), " ")
     scanned = base.withColumns({
         "n_words": F.coalesce(F.regexp_count(source, F.lit(_ANY_CASE)), F.lit(0)).cast("bigint"),
-        "_words": F.when(gate, joined),
+        words: F.when(gate, joined),
     })
-    found = F.transform(F.array(F.col("_words")), lambda w: F.struct(
+    found = F.transform(F.array(F.col(words)), lambda w: F.struct(
         _detections(w, _table(phrases)).alias("base"), suppressed(_detections(w, _table(made))).alias("rest")))[0]
-    scanned = scanned.withColumn("_found", F.when(F.col("_words").isNotNull(), found))
+    scanned = scanned.withColumn(hits, F.when(F.col(words).isNotNull(), found))
 
     def plain(field: str) -> Column:
-        spans = F.coalesce(F.col("_found")[field], none)
+        spans = F.coalesce(F.col(hits)[field], none)
         return F.transform(spans, lambda d: F.struct(
             d["first"].alias("first"), (-d["minus_last"]).alias("last"), d["label"].alias("label"), d["score"].alias("score")))
 
-    return scanned.withColumns({"base": plain("base"), "detections": plain("rest")}).drop("_words", "_found")
+    return scanned.withColumns({"base": plain("base"), "detections": plain("rest")}).drop(words, hits)

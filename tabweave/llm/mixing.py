@@ -114,8 +114,10 @@ def mix_sources(
         _checked(schedule)
     added = ("size", "source_size", "target", "taken", "positions")
     base = docs.drop(*[a for a in added if a not in (key, text, source)])
-    names = [*base.columns, *added, "rank"]
-    sk, h, stretch, start, done = (free_name(x, names) for x in ("_source", "_hash", "_stretch", "_start", "_done"))
+    names = [*base.columns, *added]
+    sk, h, stretch, start, done, rank = (
+        free_name(x, names) for x in ("_source", "_hash", "_stretch", "_start", "_done", "_rank")
+    )
     doc, words, kind = (F.col(f"`{c}`") for c in (key, text, source))
     # '1' alone sorts behind '0' and any name.
     keyed = base.withColumn(sk, F.when(kind.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), kind)))
@@ -125,7 +127,7 @@ def mix_sources(
     targets = source_targets(sums, sk, "_n", schedules, share, most)
     earlier = Window.partitionBy(sk).orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn(start, F.coalesce(F.sum("_n").over(earlier), F.lit(0))).join(targets, sk)
-    starts = starts.select(sk, stretch, start, "source_size", "target", "rank")
+    starts = starts.select(sk, stretch, start, "source_size", "target", F.col("rank").alias(rank))
     within = Window.partitionBy(sk, stretch).orderBy(h, doc.asc_nulls_last(), "size")
     within = within.rowsBetween(Window.unboundedPreceding, -1)
     laid = keyed.withColumn(done, F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, [sk, stretch])
@@ -139,7 +141,7 @@ def mix_sources(
 
     def time(n: Column) -> Column:
         share_spent = (n * F.col("source_size") + F.col(start)).cast("double") / budget.cast("double")
-        return _by_rank(schedules, F.col("rank"), lambda s: _time_of(s, share_spent))
+        return _by_rank(schedules, F.col(rank), lambda s: _time_of(s, share_spent))
 
     times = F.transform(F.sequence(F.lit(0).cast("bigint"), visits - 1), time)
     return laid.select(

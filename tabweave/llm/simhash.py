@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.llm.graph import components, local_stars
+from tabweave.llm.text import free_name
 from tabweave.session import materialize
 
 SEED = 42
@@ -170,9 +171,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     as a component's document, nor told from others, and stays.
     """
     found = near_duplicates(docs, key, text, shingle)
-    kept = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias("_kept")).distinct()
+    name, whole = free_name("_kept", docs.columns), free_name("_row", docs.columns)
+    kept = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias(name)).distinct()
     named = docs.filter(F.col(f"`{key}`").isNotNull())
-    named = named.join(kept, named[key] == kept["_kept"], "left_semi")
+    named = named.join(kept, named[key] == kept[name], "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    least = named.groupBy(F.col(f"`{key}`").alias("_kept")).agg(F.min(row).alias("_row")).select("_row.*")
+    least = named.groupBy(F.col(f"`{key}`").alias(name)).agg(F.min(row).alias(whole)).select(f"{whole}.*")
     return least.unionByName(docs.filter(F.col(f"`{key}`").isNull()))
