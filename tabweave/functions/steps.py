@@ -7,6 +7,8 @@ row, or leave a message. A frame step needs the whole frame, for a join or a num
 from __future__ import annotations
 
 import datetime
+import json
+import zlib
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -19,12 +21,11 @@ from tabweave.constants import FAILED, IGNORED
 from tabweave.functions import text
 from tabweave.operators import lookups
 from tabweave.operators.manifest import number_clashes
-from tabweave.session import bounded_broadcast
 
 VALUE, CHECK, FRAME = "value", "check", "frame"
 
-# A static map above this size is joined instead of searched per row.
-MAP_LITERAL = 64
+# Entries of a static map that share a bucket; a value is searched in its bucket only.
+BUCKET = 8
 
 
 @dataclass
@@ -41,6 +42,10 @@ class Context:
     targets: Mapping[str, DataFrame] = field(default_factory=dict)
     files: DataFrame | None = None
     key: str = "src_key"
+    # Keys of the sheet's rows that count as targets of the running job; without it, all rows that have not ended.
+    own: DataFrame | None = None
+    # Jobs for which a lookup may ask for a stub; without it, all.
+    stub_jobs: Sequence[str] | None = None
 
 
 @dataclass
@@ -108,8 +113,18 @@ def _default_value(value, dtype, cfg, ctx):
     return F.when(text.is_empty(value, dtype), other.cast(dtype)).otherwise(value)
 
 
-def _map_literal(mapping: Mapping) -> Column:
-    return F.create_map(*[F.lit(str(x)) for pair in mapping.items() for x in pair])
+def _mapped(value: Column, mapping: Mapping) -> Column:
+    """What a map of any size has for a value, both as text; of keys that are equal as text the last counts.
+
+    The map is one constant: entries are dealt out to buckets by a checksum of their key.
+    """
+    entries = {str(k): str(v) for k, v in mapping.items()}
+    buckets: list[dict[str, str]] = [{} for _ in range(max(1, len(entries) // BUCKET))]
+    for k, v in entries.items():
+        buckets[zlib.crc32(k.encode()) % len(buckets)][k] = v
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    place = F.pmod(F.crc32(value.cast("string").cast("binary")), F.lit(len(buckets))).cast("int")
+    return F.try_element_at(F.get(table, place), value.cast("string"))
 
 
 def _no_mapping(value: Column, mapped: Column) -> Column:
@@ -118,16 +133,11 @@ def _no_mapping(value: Column, mapped: Column) -> Column:
 
 
 def _static_map_kind(cfg: dict) -> str:
-    if len(cfg["map"]) > MAP_LITERAL:
-        return FRAME
     return VALUE if cfg.get("bypass") or "default_value" in cfg else CHECK
 
 
-def _static_map(value, *rest):
-    if isinstance(value, DataFrame):
-        return _static_map_joined(value, *rest)
-    dtype, cfg, ctx = rest
-    mapped = F.try_element_at(_map_literal(cfg["map"]), value.cast("string"))
+def _static_map(value, dtype, cfg, ctx):
+    mapped = _mapped(value, cfg["map"])
     if cfg.get("bypass"):
         return F.coalesce(mapped, value.cast("string"))
     if "default_value" in cfg:
@@ -135,20 +145,6 @@ def _static_map(value, *rest):
     return StepResult(mapped, halt=_no_mapping(value, mapped))
 
 
-def _static_map_joined(df, value, out, cfg, ctx):
-    rows = [(str(k), str(v)) for k, v in cfg["map"].items()]
-    table = df.sparkSession.createDataFrame(rows, "_map_from string, _map_to string")
-    joined = df.join(
-        bounded_broadcast(table, len(rows)), F.col(value).cast("string") == F.col("_map_from"), "left"
-    ).drop("_map_from")
-    mapped = F.col("_map_to")
-    if cfg.get("bypass"):
-        mapped = F.coalesce(mapped, F.col(value).cast("string"))
-    elif "default_value" in cfg:
-        mapped = F.coalesce(mapped, F.lit(cfg["default_value"]).cast("string"))
-    return joined.withColumn(out, mapped).drop("_map_to")
-
-
 def _skip_on_empty(value, dtype, cfg, ctx):
     empty = text.is_empty(value, dtype)
     method = cfg.get("method", "row")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
+import datetime
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -54,22 +57,40 @@ MEDIA_TYPES = {
 }
 UNKNOWN_MEDIA_TYPE = "application/octet-stream"
 
-# Date letters of a cell format and the strftime code that prints each.
-DATE_LETTERS = {
-    "Y": "%Y",
-    "y": "%y",
-    "m": "%m",
-    "d": "%d",
-    "H": "%H",
-    "i": "%M",
-    "s": "%S",
-    "D": "%a",
-    "l": "%A",
-    "M": "%b",
-    "F": "%B",
-    "A": "%p",
-    "h": "%I",
-}
+# English names, whatever the driver's locale.
+DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+]
+
+
+def date_letters(at: datetime.datetime) -> dict[str, str]:
+    """What each letter of a date format prints for a moment; a moment without a zone is taken as UTC."""
+    at = at if at.tzinfo else at.replace(tzinfo=datetime.timezone.utc)
+    day, month, shift = DAYS[at.weekday()], MONTHS[at.month - 1], at.utcoffset() or datetime.timedelta()
+    minutes = int(shift.total_seconds()) // 60
+    zone = f"{'-' if minutes < 0 else '+'}{abs(minutes) // 60:02}:{abs(minutes) % 60:02}"
+    year, week, weekday = at.isocalendar()
+    hour, leap = at.hour % 12 or 12, calendar.isleap(at.year)
+    name = at.tzname() or zone
+    name = zone if name.startswith("UTC") and name != "UTC" else name
+    suffix = "th" if 11 <= at.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(at.day % 10, "th")
+    # The day in thousandths, counted an hour east of Greenwich.
+    middle = (at.astimezone(datetime.timezone.utc) + datetime.timedelta(hours=1)).time()
+    beat = int((middle.hour * 3600 + middle.minute * 60 + middle.second) / 86.4)
+    letters = {
+        "d": f"{at.day:02}", "D": day[:3], "j": str(at.day), "l": day, "N": str(weekday), "S": suffix,
+        "w": str(weekday % 7), "z": str(at.timetuple().tm_yday - 1), "W": f"{week:02}", "F": month, "m": f"{at.month:02}",
+        "M": month[:3], "n": str(at.month), "t": str(calendar.monthrange(at.year, at.month)[1]), "L": str(int(leap)),
+        "o": str(year), "Y": f"{at.year:04}", "y": f"{at.year % 100:02}", "a": "pm" if at.hour > 11 else "am",
+        "A": "PM" if at.hour > 11 else "AM", "B": f"{beat:03}", "g": str(hour), "G": str(at.hour), "h": f"{hour:02}",
+        "H": f"{at.hour:02}", "i": f"{at.minute:02}", "s": f"{at.second:02}", "u": f"{at.microsecond:06}",
+        "v": f"{at.microsecond // 1000:03}", "e": name, "I": str(int(bool(at.dst()))), "O": zone.replace(":", ""),
+        "P": zone, "p": "Z" if minutes == 0 else zone, "T": name, "Z": str(minutes * 60), "U": str(int(at.timestamp())),
+    }
+    letters["c"] = f"{at.year:04}-{at.month:02}-{at.day:02}T{at.hour:02}:{at.minute:02}:{at.second:02}{zone}"
+    letters["r"] = f"{day[:3]}, {at.day:02} {month[:3]} {at.year:04} {at.hour:02}:{at.minute:02}:{at.second:02} {letters['O']}"
+    return letters
 
 
 def source_col(name: str) -> Column:
@@ -200,11 +221,18 @@ def media_type(value: Column) -> Column:
     return F.when(value.isNotNull(), F.coalesce(known, F.lit(UNKNOWN_MEDIA_TYPE)))
 
 
-def run_date(fmt: Column, run_ts) -> Column:
-    """Print the run's moment by a letter format; the moment is an argument so that runs repeat."""
-    printed = [F.lit(x) for k, code in DATE_LETTERS.items() for x in (k, run_ts.strftime(code))]
-    letters = F.create_map(*printed)
-    return F.array_join(F.transform(F.split(fmt, "", -1), lambda ch: F.coalesce(F.try_element_at(letters, ch), ch)), "")
+def run_date(fmt: Column, run_ts: datetime.datetime) -> Column:
+    """Print the run's moment by a letter format; the moment is an argument so that runs repeat.
+
+    A backslash keeps the character behind it as it is; so do characters that are no letters of a format.
+    """
+    letters = F.create_map(*[F.lit(x) for pair in date_letters(run_ts).items() for x in pair])
+    parts = F.regexp_extract_all(fmt, F.lit(r"(?s)\\.|\\$|[^\\]"), F.lit(0))
+    kept = F.transform(
+        parts,
+        lambda p: F.when(F.char_length(p) == 2, F.substring(p, 2, 1)).otherwise(F.coalesce(F.try_element_at(letters, p), p)),
+    )
+    return F.array_join(kept, "")
 
 
 def scheme_of(value: Column) -> Column:

@@ -21,9 +21,16 @@ DROP_MAP, DELETE_TARGET, KEEP_TARGET = "drop_map", "delete_target", "keep_target
 def classify_rows(source: DataFrame, known: DataFrame, key: str = "src_key", digest: str = "row_hash") -> DataFrame:
     """Compare a sheet with its id map by key and hash, as ``(key, change)``.
 
-    Both sides are stacked and aggregated by key, which combines before the shuffle and needs no join.
     A known row marked for update counts as changed.
     """
+    return _compared(source, known, key, digest).select(key, "change")
+
+
+def _compared(source: DataFrame, known: DataFrame, key: str, digest: str) -> DataFrame:
+    """``(key, change, _stale)``; stale are the known rows marked for update.
+
+    Both sides are stacked and aggregated by key, which combines before the shuffle and needs no join.
+    """
     # Two numbers stand for a digest: aggregates over numbers hash, those over text would have to sort.
     one, two = F.xxhash64(F.lit(1), F.col(digest)), F.xxhash64(F.lit(2), F.col(digest))
     stale = F.col("status") == NEEDS_UPDATE if "status" in known.columns else F.lit(False)
@@ -50,7 +57,7 @@ def classify_rows(source: DataFrame, known: DataFrame, key: str = "src_key", dig
         .when(F.col("_stale") | ~same, CHANGED)
         .otherwise(UNCHANGED)
     )
-    return sides.select(key, change.alias("change"))
+    return sides.select(key, change.alias("change"), "_stale")
 
 
 def rows_to_import(
@@ -64,12 +71,14 @@ def rows_to_import(
 ) -> DataFrame:
     """The sheet's rows an import has to process.
 
-    ``update`` takes all known rows again, ``limit`` the first rows by key; 0 means no limit.
+    ``update`` takes all known rows again, ``limit`` the first rows by key; 0 means no limit. Rows marked for
+    update, stubs among them, are taken whether changes are tracked or not.
     """
     if not update:
-        changes = classify_rows(source, known, key, digest)
+        changes = _compared(source, known, key, digest)
         wanted = [NEW, CHANGED] if track_changes else [NEW]
-        source = source.join(changes.filter(F.col("change").isin(*wanted)).select(key), key, "left_semi")
+        taken = F.col("change").isin(*wanted) | (F.col("_stale") & (F.col("change") == CHANGED))
+        source = source.join(changes.filter(taken).select(key), key, "left_semi")
     if limit:
         source = source.orderBy(F.col(key).try_cast("bigint"), key).limit(limit)
     return source

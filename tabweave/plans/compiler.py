@@ -7,10 +7,11 @@ pipelines advance together, so a round adds the columns of every pipeline in one
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,7 @@ from tabweave.operators.multivalue import explode_values
 
 STATUS, MESSAGES, STUBS = "_status", "_messages", "_stubs"
 _STUB_TYPE = "struct<migration:string,src_key:string>"
+_ELEMENT_KEY = "_element_key"
 
 # Nested pipelines, and the option that holds the child steps of each.
 NESTED_STEPS = {"sub_process": ("process", "values")}
@@ -64,6 +66,9 @@ class _Field:
     halt: str | None = None
     logs: list[str] = field(default_factory=list)
     stubs: list[str] = field(default_factory=list)
+    # Columns with lists of messages and of stubs.
+    many_logs: list[str] = field(default_factory=list)
+    many_stubs: list[str] = field(default_factory=list)
 
     @property
     def done(self) -> bool:
@@ -132,7 +137,8 @@ class MappingPlan:
         if step["plugin"] == "migration_lookup":
             return S.FRAME
         if step["plugin"] in NESTED_STEPS:
-            return S.CHECK
+            children = next(step[k] for k in NESTED_STEPS[step["plugin"]] if k in step)
+            return S.FRAME if needs_frame(children) else S.CHECK
         return S.find_step(step["plugin"]).kind(step)
 
     def _guarded(self, f: _Field, value: Column) -> Column:
@@ -228,22 +234,93 @@ class MappingPlan:
         self.df = self.df.withColumn(asked, f.value if alive is None else F.when(alive, f.value))
         if step["plugin"] == "migration_lookup":
             self._migration_lookup(f, step, asked, out)
+        elif step["plugin"] in NESTED_STEPS:
+            self._nested(f, step, asked, out)
         else:
-            self.df = S.find_step(step["plugin"]).build(self.df, asked, out, step, self.ctx)
-            if step["plugin"] == "static_map" and not step.get("bypass") and "default_value" not in step:
-                missed = F.when(~F.col(f.stop), True).otherwise(False) if f.stop else F.lit(True)
-                missed = F.when(missed, S._no_mapping(F.col(asked), F.col(out)))
-                name = f"_halt{f.at}_{f.cursor}"
-                self.df = self.df.withColumn(name, F.coalesce(F.col(f.halt), missed) if f.halt else missed)
-                f.halt = name
+            found = S.find_step(step["plugin"])
+            if isinstance(self.df.schema[asked].dataType, T.ArrayType) and not found.whole_list:
+                self.df = self._each(asked, out, lambda df, v, o, ctx: found.build(df, v, o, step, ctx))
+            else:
+                self.df = found.build(self.df, asked, out, step, self.ctx)
         self.df = self.df.withColumn(f.column, self._guarded(f, F.col(out))).drop(asked, out)
         f.value, f.stored = F.col(f.column), True
         f.cursor += 1
 
+    def _elements(self, value: str, element: str) -> DataFrame:
+        """The elements of a list, one row each: ``_row_key``, place ``_at``, ``element``, and a key of their own."""
+        parts = self.df.select(source_col(self.ctx.key).alias("_row_key"), F.posexplode(F.col(value)).alias("_at", element))
+        own = F.concat(F.col("_row_key").cast("string"), F.lit(KEY_SEPARATOR), F.col("_at").cast("string"))
+        return parts.withColumn(_ELEMENT_KEY, own)
+
+    def _each(self, value: str, out: str, run) -> DataFrame:
+        """A frame step for every element of a list, with the results in the list's order."""
+        ctx = dataclasses.replace(self.ctx, key=_ELEMENT_KEY)
+        done = run(self._elements(value, "_element"), "_element", "_result", ctx)
+        listed = done.groupBy("_row_key").agg(F.array_sort(F.collect_list(F.struct("_at", "_result"))).alias("_list"))
+        listed = listed.select("_row_key", F.transform("_list", lambda s: s["_result"]).alias("_list"))
+        joined = self.df.join(listed, source_col(self.ctx.key) == F.col("_row_key"), "left")
+        none = F.when(F.size(value) == 0, F.array().cast(listed.schema["_list"].dataType))
+        return joined.withColumn(out, F.coalesce("_list", none)).drop("_row_key", "_list")
+
+    def _nested(self, f: _Field, step: dict, asked: str, out: str) -> None:
+        """Pipelines over the elements of a list, each a row of a mapping of its own.
+
+        Their values come back as structs in the list's order. The first element that ends ends the row; messages
+        and stubs of all elements are those of the row.
+        """
+        children = next(step[k] for k in NESTED_STEPS[step["plugin"]] if k in step)
+        dtype = self.df.schema[asked].dataType
+        if not isinstance(dtype, T.ArrayType):
+            raise ValueError("A nested pipeline runs over a list")
+        parts = self._elements(asked, "_element")
+        if isinstance(dtype.elementType, T.StructType):
+            names = dtype.elementType.fieldNames()
+        elif isinstance(dtype.elementType, T.MapType):
+            names = [n for n in read_sources(children) if not n.startswith("@")]
+        else:
+            raise ValueError("A nested pipeline runs over a list of maps or structs")
+        read = [_child(F.col("_element"), dtype.elementType, n, {}).alias(n) for n in names]
+        parts = parts.select("_row_key", "_at", _ELEMENT_KEY, *read)
+        own = self.ctx.own
+        if own is None:
+            own = self.df.filter(first_halt(self.fields).isNull()).select(source_col(self.ctx.key).alias("src_key"))
+        ctx = dataclasses.replace(self.ctx, key=_ELEMENT_KEY, own=own)
+        done = compile_mapping(parts, children, ctx, ["_row_key", "_at"])
+        values = [c for c in done.columns if c not in ("_row_key", "_at", STATUS, MESSAGES, STUBS)]
+        # The message of the end is the last of the element's, if it has one; the row tells it as its own.
+        said_end = F.element_at(F.concat(F.array(F.lit("")), F.transform(MESSAGES, lambda m: m["text"])), -1)
+        ended = F.when(F.col(STATUS) != IMPORTED, F.struct(F.col(STATUS).alias("status"), said_end.alias("text")))
+        logs = F.when(F.col(STATUS) == IMPORTED, F.col(MESSAGES)).otherwise(
+            F.slice(MESSAGES, F.lit(1), F.greatest(F.size(MESSAGES) - 1, F.lit(0)))
+        )
+        one = F.struct("_at", F.struct(*[source_col(v) for v in values]).alias("v"), ended.alias("h"), logs.alias("m"), F.col(STUBS).alias("s"))
+        listed = done.groupBy("_row_key").agg(F.array_sort(F.collect_list(one)).alias("_list"))
+        made = F.transform("_list", lambda x: x["v"])
+        halt, said, stub = (f"_{n}{f.at}_{f.cursor}" for n in ("halt", "said", "stubs"))
+        listed = listed.select(
+            "_row_key",
+            made.alias("_made"),
+            F.get(F.filter(F.transform("_list", lambda x: x["h"]), lambda h: h.isNotNull()), F.lit(0)).alias("_end"),
+            F.flatten(F.transform("_list", lambda x: x["m"])).alias(said),
+            F.flatten(F.transform("_list", lambda x: x["s"])).alias(stub),
+        )
+        kind = listed.schema["_made"].dataType
+        joined = self.df.join(listed, source_col(self.ctx.key) == F.col("_row_key"), "left").drop("_row_key")
+        none = F.when(F.size(asked) == 0, F.array().cast(kind))
+        joined = joined.withColumn(out, F.coalesce("_made", none))
+        joined = joined.withColumn(halt, F.coalesce(F.col(f.halt), F.col("_end")) if f.halt else F.col("_end"))
+        self.df = joined.drop("_made", "_end")
+        f.halt = halt
+        f.many_logs.append(said)
+        f.many_stubs.append(stub)
+
     def _migration_lookup(self, f: _Field, step: dict, asked: str, out: str) -> None:
         names = step["migration"]
         names = [names] if isinstance(names, str) else list(names)
         key, composite = self.ctx.key, isinstance(self.df.schema[asked].dataType, T.ArrayType)
+        if composite and step.get("each"):
+            self._lookup_each(f, step, names, asked, out)
+            return
         if composite:
             self.df = self.df.withColumn(asked, F.array_join(asked, KEY_SEPARATOR, ""))
         else:
@@ -254,18 +331,39 @@ class MappingPlan:
         own = None
         if self.ctx.migration in names:
             # Rows that have ended get no target, so they are no parents.
-            own = (self.ctx.migration, self.df.filter(first_halt(self.fields).isNull()).select(F.col(key).alias("src_key")))
+            rows = self.ctx.own
+            if rows is None:
+                rows = self.df.filter(first_halt(self.fields).isNull()).select(source_col(key).alias("src_key"))
+            own = (self.ctx.migration, rows)
         elif self.ctx.id_map is None:
             raise ValueError(f"No id map to look up {', '.join(names)}")
         self.df = lookups.migration_lookup(self.df, asked, self.ctx.id_map, names, out, source_ids, key, own)
-        if not step.get("no_stub"):
-            target = step.get("stub_id") or names[0]
-            wanted = F.struct(F.lit(target).alias("migration"), F.col(asked).alias("src_key"))
-            stub = f"_stub{f.at}_{f.cursor}"
-            placeholder = F.when(F.col(stub).isNotNull(), target_id(F.lit(target), F.col(asked)))
-            self.df = self.df.withColumn(stub, F.when(F.col(asked).isNotNull() & F.col(out).isNull(), wanted))
-            self.df = self.df.withColumn(out, F.coalesce(F.col(out), placeholder))
-            f.stubs.append(stub)
+        if step.get("no_stub"):
+            return
+        target = step.get("stub_id") or names[0]
+        missed = F.col(asked).isNotNull() & F.col(out).isNull()
+        if self.ctx.stub_jobs is not None and target not in self.ctx.stub_jobs:
+            # Nobody would write the stub, so the reference stays empty and the row tells why.
+            log = f"_log{f.at}_{f.cursor}"
+            words = F.concat(F.lit(f"No row of {target} has the key "), F.col(asked).cast("string"))
+            self.df = self.df.withColumn(log, F.when(missed, S.message("warning", words)))
+            f.logs.append(log)
+            return
+        wanted = F.struct(F.lit(target).alias("migration"), F.col(asked).alias("src_key"))
+        stub = f"_stub{f.at}_{f.cursor}"
+        placeholder = F.when(F.col(stub).isNotNull(), target_id(F.lit(target), F.col(asked)))
+        self.df = self.df.withColumn(stub, F.when(missed, wanted))
+        self.df = self.df.withColumn(out, F.coalesce(F.col(out), placeholder))
+        f.stubs.append(stub)
+
+    def _lookup_each(self, f: _Field, step: dict, names: list[str], asked: str, out: str) -> None:
+        """Every value of a list looked up by itself; values without a hit or a stub are left out of the list."""
+        child = {k: v for k, v in step.items() if k not in ("each", "source")}
+        values = F.transform(asked, lambda e: F.struct(e.cast("string").alias("value")))
+        self.df = self.df.withColumn(asked, values)
+        self._nested(f, {"plugin": "sub_process", "process": {"id": [{"plugin": "get", "source": "value"}, child]}}, asked, out)
+        hits = F.array_compact(F.transform(out, lambda s: s["id"]))
+        self.df = self.df.withColumn(out, F.when(F.size(hits) > 0, hits))
 
     def _plain_name(self, source: str) -> str:
         return self.by_name[source[1:]].column if source.startswith("@") else source
@@ -342,8 +440,15 @@ class MappingPlan:
             words = F.struct(level.alias("level"), end["text"].alias("text"))
             said.append(F.when(end.isNotNull() & (end["text"] != ""), words))
         messages = F.array_compact(F.array(*said)) if said else F.array()
+        lists = [
+            F.when(at.isNull() | (F.lit(f.at) <= at), F.col(name)) if halted else F.col(name)
+            for f in fields
+            for name in f.many_logs
+        ]
+        messages = _before(messages, lists, "struct<level:string,text:string>")
         stubs = [F.col(name) for f in fields for name in f.stubs]
         stubs = F.array_compact(F.array(*stubs)) if stubs else F.array()
+        stubs = _before(stubs, [F.col(name) for f in fields for name in f.many_stubs], _STUB_TYPE)
         return df.select(
             *[source_col(k) for k in keep],
             *destinations(fields, scratch),
@@ -353,6 +458,35 @@ class MappingPlan:
         )
 
 
+def _before(own: Column, lists: Sequence[Column], kind: str) -> Column:
+    """The elements of ``lists``, then those of ``own``."""
+    every = [F.coalesce(x, F.array().cast(f"array<{kind}>")) for x in lists]
+    return F.concat(*every, own.cast(f"array<{kind}>")) if every else own
+
+
+def read_sources(children: Mapping) -> list[str]:
+    """The names that nested pipelines read from an element."""
+    found: dict[str, None] = {}
+    for pipeline in children.values():
+        for step in normalize_steps(pipeline):
+            named = step.get("source", []) if step["plugin"] == "get" else []
+            named = [named] if isinstance(named, str) else list(named)
+            named += [c for ids in step.get("source_ids", {}).values() for c in ids]
+            found.update(dict.fromkeys(named))
+    return list(found)
+
+
+def needs_frame(children: Mapping) -> bool:
+    """Do nested pipelines look anything up, nest further, or leave messages? They then run as rows of their own."""
+    for pipeline in children.values():
+        for step in normalize_steps(pipeline):
+            if step["plugin"] in ("migration_lookup", "log", "file_is_accessible", *NESTED_STEPS):
+                return True
+            if step["plugin"] != "get" and S.find_step(step["plugin"]).kind(step) == S.FRAME:
+                return True
+    return False
+
+
 def first_halt(fields: Sequence[_Field]) -> Column:
     """Why a row ended, by the first destination that ended it; NULL while it goes on."""
     halts = [F.col(f.halt) for f in fields if f.halt]
@@ -403,17 +537,27 @@ def nested(value: Column, dtype: T.DataType, step: dict, ctx: S.Context) -> S.St
         raise ValueError("A nested pipeline runs over a list")
     children = next(step[k] for k in NESTED_STEPS[step["plugin"]] if k in step)
     plans = {name: normalize_steps(p) for name, p in children.items()}
+    probing = SparkSession.active().range(0)
+    kinds: dict[tuple[str, int], T.DataType] = {}
+    at: list[tuple[str, int]] = [("", 0)]
+
+    def type_of(current: Column) -> T.DataType:
+        # The first run is over a null element, outside of any lambda, where types can be asked for.
+        if at[0] not in kinds:
+            kinds[at[0]] = probing.select(current.alias("v")).schema["v"].dataType
+        return kinds[at[0]]
 
     def run(element: Column) -> tuple[dict[str, Column], list[Column]]:
         done: dict[str, Column] = {}
         halts: list[Column] = []
         for name, pipeline in plans.items():
             current, stop = None, None
-            for s in pipeline:
+            for number, s in enumerate(pipeline):
+                at[0] = (name, number)
                 if s["plugin"] == "get":
                     source = s.get("source")
                     if source is None:
-                        new = current
+                        new = drop_empty(current, type_of(current))
                     elif isinstance(source, str):
                         new = _child(element, dtype.elementType, source, done)
                     else:
@@ -422,9 +566,14 @@ def nested(value: Column, dtype: T.DataType, step: dict, ctx: S.Context) -> S.St
                     found = S.find_step(s["plugin"])
                     if found.kind(s) == S.FRAME:
                         raise ValueError(f"{s['plugin']} cannot run inside a nested pipeline")
-                    many = s["plugin"] == "concat"
-                    kind = T.ArrayType(T.StringType()) if many else T.StringType()
-                    result = found.build(current, kind, s, ctx)
+                    kind = None if current is None else type_of(current)
+                    if isinstance(kind, T.ArrayType) and not found.whole_list:
+                        if found.kind(s) == S.CHECK:
+                            result = check_elements(found, current, kind.elementType, s, ctx)
+                        else:
+                            result = F.transform(current, lambda e, f=found, s=s, k=kind: f.build(e, k.elementType, s, ctx))
+                    else:
+                        result = found.build(current, kind, s, ctx)
                     if not isinstance(result, S.StepResult):
                         result = S.StepResult(result)
                     if result.halt is not None:
@@ -476,10 +625,44 @@ def compile_mapping(
     return MappingPlan(df, mapping, ctx or S.Context()).run(keep, scratch)
 
 
+def _all_steps(mapping: Mapping) -> list[dict]:
+    """All steps of a mapping, nested ones included."""
+    found = []
+    for pipeline in mapping.values():
+        for step in normalize_steps(pipeline):
+            found.append(step)
+            for option in NESTED_STEPS.get(step["plugin"], ()):
+                if option in step:
+                    found += _all_steps(step[option])
+    return found
+
+
 def asks_for_stubs(mapping: Mapping) -> bool:
     """May the mapping leave placeholder rows for other jobs?"""
-    steps = [s for pipeline in mapping.values() for s in normalize_steps(pipeline)]
-    return any(s["plugin"] == "migration_lookup" and not s.get("no_stub") for s in steps)
+    return any(s["plugin"] == "migration_lookup" and not s.get("no_stub") for s in _all_steps(mapping))
+
+
+def may_end(step: dict) -> bool:
+    """May a step end its row?"""
+    if step["plugin"] in ("get", "log", "migration_lookup", *NESTED_STEPS):
+        return False
+    if step["plugin"] == "skip_on_empty":
+        return step.get("method", "row") == "row"
+    return S.find_step(step["plugin"]).kind(step) == S.CHECK
+
+
+def ends_after_own(mapping: Mapping, migration: str) -> bool:
+    """May a row end after a lookup in its own job? Other rows may then have referred to it already."""
+    seen = False
+    for pipeline in mapping.values():
+        for step in normalize_steps(pipeline):
+            inner = [step] + [s for o in NESTED_STEPS.get(step["plugin"], ()) if o in step for s in _all_steps(step[o])]
+            if seen and any(may_end(s) for s in inner):
+                return True
+            for s in inner:
+                names = s.get("migration", []) if s["plugin"] == "migration_lookup" else []
+                seen = seen or migration in ([names] if isinstance(names, str) else names)
+    return False
 
 
 def accepted(rows: DataFrame) -> DataFrame:

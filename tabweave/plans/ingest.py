@@ -9,12 +9,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.constants import FAILED, IMPORTED, NEEDS_UPDATE, ORPHANS_TAG
+from tabweave.constants import FAILED, IMPORTED, KEY_SEPARATOR, NEEDS_UPDATE, ORPHANS_TAG
 from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, source_col, target_id
 from tabweave.operators import state
 from tabweave.operators.routing import default_bundle
-from tabweave.plans.compiler import MESSAGES, STATUS, STUBS, asks_for_stubs, compile_mapping
+from tabweave.plans.compiler import MESSAGES, STATUS, STUBS, asks_for_stubs, compile_mapping, ends_after_own
 from tabweave.plans.ordering import levels_of
 from tabweave.plans.store import ID_MAP, Store
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
@@ -76,6 +76,9 @@ def staged_sheet(store: Store, group: Group) -> DataFrame:
 
     Each job then reads the hash and the columns it maps, not the whole sheet.
     """
+    if group._staged.get("root") != store.root:
+        group._staged.clear()
+        group._staged["root"] = store.root
     if "sheet" not in group._staged:
         path = store.staging("sheet")
         cells = [source_col(c) for c in group.sheet.columns if c != group.row_column]
@@ -110,12 +113,18 @@ def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
         id_map=store.all_rows("id_map", ID_MAP),
         targets=targets,
         files=group.files,
+        stub_jobs=[other.name for other in group.jobs],
         **extra,
     )
 
 
 def _keyed(store: Store, group: Group, job: Job) -> DataFrame:
+    """The sheet's rows by key, the last of each. Rows without any key go by their number, or their hash."""
     keyed = with_keys(staged_sheet(store, group).withColumnRenamed(_HASH, "row_hash"), job.keys, error=_ERROR)
+    number = F.col("row_hash") if group.row_column is None else source_col(group.row_column).cast("string")
+    bad = F.col(_ERROR).isNotNull() & (F.coalesce(F.replace("src_key", F.lit(KEY_SEPARATOR), F.lit("")), F.lit("")) == "")
+    keyed = keyed.withColumn(_ERROR, F.when(bad, F.concat(F.lit("Row "), number, F.lit(": "), F.col(_ERROR))).otherwise(F.col(_ERROR)))
+    keyed = keyed.withColumn("src_key", F.when(bad, F.concat(F.lit("row "), number)).otherwise(F.col("src_key")))
     # Jobs with the same key columns need to look for repeated keys once only.
     known = ("unique", *job.keys.items())
     if known in group._staged:
@@ -142,9 +151,20 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         update=options.update or not store.has("id_map", job.name),
         limit=options.limit,
     )
-    result = compile_mapping(
-        todo.filter(F.col(_ERROR).isNull()), job.mapping, _context(store, group, job, options), ["src_key", "row_hash"]
-    )
+    context = _context(store, group, job, options)
+    good, imported = todo.filter(F.col(_ERROR).isNull()), None
+    while True:
+        result = compile_mapping(good, job.mapping, context, ["src_key", "row_hash"])
+        if not ends_after_own(job.mapping, job.name):
+            break
+        # Rows may end because of what they refer to; those that referred to them are looked at again, until
+        # the rows that stay are the rows that were referred to. Each round goes a step along the references.
+        path = store.staging(f"{job.name}-kept")
+        result.filter(F.col(STATUS) == IMPORTED).select("src_key").write.parquet(path)
+        context.own = store.spark.read.schema("src_key string").parquet(path)
+        before, imported = imported, context.own.count()
+        if imported == before:
+            break
     values = [c for c in result.columns if c not in ("src_key", "row_hash", STATUS, MESSAGES, STUBS)]
     if "bundle" in values and job.default_bundle:
         result = result.withColumn("bundle", default_bundle(F.col("bundle"), job.default_bundle))
@@ -262,19 +282,34 @@ def import_group(
     if options.run_ts is None:
         # One moment for the whole run.
         options = replace(options, run_ts=datetime.datetime.now(datetime.timezone.utc))
-    for level in group.levels():
-        for job in level:
-            if tag is not None and tag not in job.tags:
-                continue
-            absent = [r for r in job.requires if not store.exists(store.folder("id_map", r))]
-            if absent and not options.force:
-                raise ValueError(f"{job.name} requires {', '.join(absent)}")
-            import_job(store, group, job, options)
-            done.append(job.name)
-    release_sheet(store, group)
+    try:
+        for level in group.levels():
+            for job in level:
+                if tag is not None and tag not in job.tags:
+                    continue
+                unmet = [r for r in job.requires if not _is_met(store, group, r)]
+                if unmet and not options.force:
+                    raise ValueError(f"{job.name} requires {', '.join(unmet)}")
+                import_job(store, group, job, options)
+                done.append(job.name)
+    finally:
+        # A later import, a retry among them, stages the sheet as it is then.
+        release_sheet(store, group)
     return done
 
 
+def _is_met(store: Store, group: Group, name: str) -> bool:
+    """Has a required job been imported? A job of the group must know every row of its sheet, any other some row."""
+    if not store.has("id_map", name):
+        return False
+    known = store.id_map(name)
+    for job in group.jobs:
+        if job.name == name:
+            sheet = _keyed(store, group, job).select("src_key")
+            return sheet.join(known.select("src_key"), "src_key", "left_anti").isEmpty()
+    return not known.isEmpty()
+
+
 def rollback_job(store: Store, job: Job, statuses: Sequence[str] | str | None = None) -> None:
     """Undo a job, or only its rows in some states: targets go, or stay if so marked; map rows go in any case."""
     known, table = store.id_map(job.name), f"targets/{job.target}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ def levels_of(requires: Mapping[str, Iterable[str]]) -> list[list[str]]:
     return levels
 
 
-def job_levels(jobs: DataFrame, depends: DataFrame, max_levels: int = 10_000) -> DataFrame:
+def job_levels(jobs: DataFrame, depends: DataFrame) -> DataFrame:
     """The level of every job of a whole catalog, for ``jobs(job)`` and ``depends(job, requires)``.
 
     A requirement stays open while the required job has open requirements of its own. Each round
@@ -42,7 +43,7 @@ def job_levels(jobs: DataFrame, depends: DataFrame, max_levels: int = 10_000) ->
     )
     root = scratch_path(spark, "levels")
     before = None
-    for number in range(max_levels):
+    for number in itertools.count():
         path = f"{root}/round={number}"
         edges.write.parquet(path)
         edges = spark.read.schema(edges.schema).parquet(path)
@@ -54,8 +55,6 @@ def job_levels(jobs: DataFrame, depends: DataFrame, max_levels: int = 10_000) ->
         before = left
         waiting = edges.select(F.col("job").alias("requires")).distinct()
         edges = edges.join(waiting, "requires", "left_semi").select("job", "requires")
-    else:
-        raise ValueError(f"The chain of requirements is longer than {max_levels}")
     schema = T.StructType([edges.schema["job"], T.StructField("round", T.LongType())])
     waited = spark.read.schema(schema).parquet(root).select("job", (F.col("round") + 1).alias("level"))
     every = known.select("job", F.lit(0).cast("bigint").alias("level")).unionByName(waited)

@@ -96,7 +96,14 @@ class Store:
         return self.read("messages", migration, MESSAGES)
 
     def all_rows(self, table: str, schema: T.StructType) -> DataFrame:
-        """The table of all jobs, with the job as partition column ``migration``."""
+        """The table of all jobs, with the job as partition column ``migration``.
+
+        Tables that a cut-short swap left aside are put back first.
+        """
+        fs, aside = self._fs(f"{self.root}/_old/{table}")
+        if fs.exists(aside):
+            for status in fs.listStatus(aside):
+                self.exists(f"{self.root}/{table}/{status.getPath().getName()}")
         whole = T.StructType(list(schema.fields) + [T.StructField("migration", T.StringType())])
         path = f"{self.root}/{table}"
         if not self.exists(path):

@@ -15,8 +15,8 @@ from tabweave.functions.text import key_text, source_col, split_limited
 from tabweave.session import bounded_broadcast
 
 ROW = "_row"
-# Fixed value: the columns a sheet can have at most.
-WIDEST_SHEET = 16_384
+# Lines that are looked at first for a header whose cells may hold line breaks.
+FIRST_LINES = 100
 
 _FILE, _BLOCK, _POS = "_file", "_block", "_pos"
 
@@ -94,15 +94,7 @@ def peek_header(
     listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     first = sorted(listing.text(path).inputFiles())[0]
     if multiline:
-        # Without a schema the first record sets the width; a later header row may be wider.
-        wide = None if header_row == 1 else text_schema([f"_c{i}" for i in range(WIDEST_SHEET)])
-        rows = spark.read.csv(first, schema=wide, sep=delimiter, escape='"', multiLine=True).take(header_row)
-        if len(rows) < header_row:
-            raise ValueError("Failed to find header row.")
-        cells = list(rows[-1])
-        while cells and cells[-1] is None:
-            cells.pop()
-        return [c or "" for c in cells]
+        return _record(spark, first, header_row, delimiter)
     lines = (
         spark.read.text(first)
         .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
@@ -113,6 +105,38 @@ def peek_header(
     return header_cells(lines[-1].value, delimiter)
 
 
+def _record(spark: SparkSession, file: str, number: int, delimiter: str) -> list[str]:
+    """Cells of a file's non-blank record, counted from 1, however many lines and cells it has."""
+    wanted = FIRST_LINES
+    while True:
+        lines = [r.value for r in spark.read.text(file).filter(F.col("_metadata.file_block_start") == 0).take(wanted)]
+        reader, found = csv.reader([f"{line}\n" for line in lines], delimiter=delimiter), 0
+        for cells in reader:
+            found += any(c.strip() for c in cells) or len(cells) > 1
+            # A record that ends with the lines at hand may go on behind them.
+            if found == number and (reader.line_num < len(lines) or len(lines) < wanted):
+                return cells
+        if len(lines) < wanted:
+            raise ValueError("Failed to find header row.")
+        wanted *= 2
+
+
+def check_headers(
+    spark: SparkSession, path: str | Sequence[str], header_row: int, glob: str | None = None
+) -> None:
+    """Refuse files whose header rows differ, since one header binds the cells of all."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    if header_row == 1:
+        # Only the first block of a file is looked at.
+        lines = reader.text(path).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        lines = lines.select("value", F.col("_metadata.file_path").alias(_FILE), F.monotonically_increasing_id().alias(_POS))
+        heads = lines.groupBy(_FILE).agg(F.min_by("value", _POS).alias("value"))
+    else:
+        heads = read_lines(spark, path, glob).filter(F.col(ROW) == header_row)
+    if len(heads.select("value").distinct().take(2)) > 1:
+        raise ValueError("The files have different headers; read them one by one")
+
+
 def header_cells(line: str, delimiter: str = ",") -> list[str]:
     """Cells of one header line on the driver."""
     return next(csv.reader([line], delimiter=delimiter))
@@ -184,6 +208,9 @@ def read_sheet(
         raise ValueError("Without a header row the columns must be given")
     if header_row >= 1 and not (columns and mode == "position"):
         header = peek_header(spark, path, header_row, delimiter, glob, multiline)
+        listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+        if len(listing.text(path).inputFiles()) > 1:
+            check_headers(spark, path, header_row, glob)
     else:
         header = list(columns)
     bound = bind_columns(header, columns, mode)
