@@ -8,6 +8,7 @@ and ``requests(id, label, active, file, sheet, original_mapping, owner)``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,15 +181,13 @@ def sync_import(inbound: DataFrame, current: DataFrame, prefixes: Sequence[str])
     return inbound.filter(~protected).unionByName(current.filter(protected))
 
 
-# Permission a user needs for each operation on an own request.
-OPERATIONS = {
-    "view": "view requests",
-    "update": "edit requests",
-    "map": "edit request mappings",
-    "activate": "activate requests",
-    "delete": "delete requests",
-}
-ADMINISTER = "administer requests"
+@dataclass(frozen=True)
+class Permissions:
+    """The permission for each operation on an own request, that to create one, and that to do all."""
+
+    operations: Mapping[str, str]
+    create: str
+    admin: str
 
 
 def derived_access(items: DataFrame, user: Column) -> DataFrame:
@@ -197,31 +196,28 @@ def derived_access(items: DataFrame, user: Column) -> DataFrame:
     return items.filter(derived & F.coalesce(F.col("owner") == user, F.lit(False)))
 
 
-def check_access(
-    checks: DataFrame,
-    requests: DataFrame,
-    grants: DataFrame,
-    operations: Mapping[str, str] = OPERATIONS,
-    admin: str = ADMINISTER,
-) -> DataFrame:
+def check_access(checks: DataFrame, requests: DataFrame, grants: DataFrame, permissions: Permissions) -> DataFrame:
     """The allowed ones of ``checks(user, id, operation)``, for ``grants(user, permission)``.
 
-    An owner needs the permission of the operation; an administrator may do all.
+    An owner needs the permission of the operation; to ``create`` needs no ownership; an administrator may do all.
     """
-    table = F.create_map(*[F.lit(x) for op, p in operations.items() for x in (op, p)])
+    needed = {**permissions.operations, "create": permissions.create}
+    table = F.create_map(*[F.lit(x) for op, p in needed.items() for x in (op, p)])
     asked = checks.withColumn("permission", F.try_element_at(table, F.col("operation")))
     owned = requests.select("id", F.col("owner").alias("user"))
     held = grants.select("user", "permission").distinct()
-    own = asked.join(owned, ["id", "user"], "left_semi").join(held, ["user", "permission"], "left_semi")
-    ruled = asked.join(held.filter(F.col("permission") == admin), "user", "left_semi")
-    return own.unionByName(ruled).select("user", "id", "operation").distinct()
+    granted = asked.join(held, ["user", "permission"], "left_semi")
+    own = granted.filter(F.col("operation") != "create").join(owned, ["id", "user"], "left_semi")
+    made = granted.filter(F.col("operation") == "create")
+    ruled = asked.join(held.filter(F.col("permission") == permissions.admin), "user", "left_semi")
+    return own.unionByName(made).unionByName(ruled).select("user", "id", "operation").distinct()
 
 
-def may(requests: DataFrame, user: str, operation: str, granted: Sequence[str]) -> DataFrame:
+def may(requests: DataFrame, user: str, operation: str, granted: Sequence[str], permissions: Permissions) -> DataFrame:
     """Requests on which one user may do an operation, given the user's permissions."""
-    if ADMINISTER in granted:
+    if permissions.admin in granted:
         return requests
-    if operation not in OPERATIONS or OPERATIONS[operation] not in granted:
+    if operation not in permissions.operations or permissions.operations[operation] not in granted:
         return requests.filter(F.lit(False))
     return requests.filter(F.col("owner") == user)
 

@@ -36,6 +36,8 @@ class Job:
     tags: Sequence[str] = ()
     track_changes: bool = True
     rollback_action: str | None = None
+    # A derived job keeps its keys instead of taking those of the request's template.
+    keep_source: bool = False
 
 
 @dataclass

@@ -108,10 +108,18 @@ def source_settings(request: Request, template: Template) -> dict[str, Any]:
 
 
 def derive_jobs(request: Request, template: Template) -> list[Job]:
-    """The template's jobs under the request's names; an inactive request has none."""
+    """The template's jobs under the request's names; an inactive request has none.
+
+    A request with mappings of its own has the jobs that it maps, any other all of the template. A job that keeps
+    its source keeps its keys.
+    """
     if not request.active:
         return []
-    names = {j.name: MIGRATION_NAME_FORMAT.format(group=request.group, migration=j.name) for j in template.jobs}
+    absent = set(request.mappings) - {j.name for j in template.jobs}
+    if absent:
+        raise ValueError(f"No job of the template has the name {', '.join(sorted(absent))}")
+    mapped = [j for j in template.jobs if not request.mappings or j.name in request.mappings]
+    names = {j.name: MIGRATION_NAME_FORMAT.format(group=request.group, migration=j.name) for j in mapped}
     source = source_settings(request, template)
     own = (DERIVED_MARK, DERIVED_TAG, request.tag)
     return [
@@ -119,12 +127,12 @@ def derive_jobs(request: Request, template: Template) -> list[Job]:
             job,
             name=names[job.name],
             mapping=renamed_mapping(request.mappings.get(job.name, job.mapping), names),
-            keys=source["keys"],
+            keys=job.keys if job.keep_source else source["keys"],
             requires=[names[r] for r in job.requires if r in names],
             tags=list(dict.fromkeys([*job.tags, *template.tags, *own])),
             track_changes=source["track_changes"],
         )
-        for job in template.jobs
+        for job in mapped
     ]
 
 

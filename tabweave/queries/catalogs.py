@@ -102,19 +102,20 @@ def cat_dependencies(spark, sf):
     return C.request_dependencies(requests, mappings, existing)
 
 
-def _big_lines(spark, sf) -> DataFrame:
-    return table(spark, sf, "lineitem").filter(F.col("l_quantity") > 49).select(F.col("l_partkey").alias("p_partkey"))
+def _supplied(spark, sf) -> DataFrame:
+    """Supplier numbers of all lines, read as part numbers."""
+    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("p_partkey"))
 
 
 def cat_unused(spark, sf):
-    parts = table(spark, sf, "part").select("p_partkey", "p_name")
-    return C.unused_destinations(parts, _big_lines(spark, sf), ["p_partkey"])
+    """Part numbers that no line has as its supplier's."""
+    return C.unused_destinations(table(spark, sf, "part").select("p_partkey", "p_name"), _supplied(spark, sf), ["p_partkey"])
 
 
 def cat_auto_map(spark, sf):
-    """Unused part numbers that a supplier number matches."""
+    """Unused part numbers that an order number matches."""
     unused = cat_unused(spark, sf).withColumnRenamed("p_partkey", "name")
-    sources = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("name"), F.col("s_name").alias("source"))
+    sources = table(spark, sf, "orders").select(F.col("o_orderkey").alias("name"), F.col("o_orderpriority").alias("source"))
     return C.auto_map(unused, sources, ["name"])
 
 
@@ -130,7 +131,7 @@ def cat_sources(spark, sf):
     layers = [
         table(spark, sf, "customer").select(F.col("c_custkey").alias("name"), F.lit("sheet").alias("origin"), F.col("c_name").alias("label")),
         table(spark, sf, "supplier").select(F.col("s_suppkey").alias("name"), F.lit("processed").alias("origin"), F.col("s_name").alias("label")),
-        table(spark, sf, "part").filter(F.col("p_size") == 50).select(F.col("p_partkey").alias("name"), F.lit("system").alias("origin"), F.col("p_name").alias("label")),
+        table(spark, sf, "part").select(F.col("p_partkey").alias("name"), F.lit("system").alias("origin"), F.col("p_name").alias("label")),
     ]
     return C.available_sources(layers, ["name"], ["origin", "label"])
 
@@ -139,15 +140,14 @@ PROTECTED = ("https://www.", "http://blog.", "https://m.")
 
 
 def _inbound(spark, sf) -> DataFrame:
-    """Items of another site: its pages in English and French."""
-    pages = table(spark, sf, "pages").filter(F.col("url").rlike("/(en|fr)/"))
-    return pages.select(F.col("url").alias("name"), F.md5("html").alias("body"))
+    """Items of another site: all its pages, without the host's prefix."""
+    short = F.regexp_replace("url", "^https?://(www|blog)[.]", "http://")
+    return table(spark, sf, "pages").select(short.alias("name"), F.md5("html").alias("body"))
 
 
 def _current(spark, sf) -> DataFrame:
-    """Items of this site: its pages in English and German, with bodies of its own."""
-    pages = table(spark, sf, "pages").filter(F.col("url").rlike("/(en|de)/"))
-    return pages.select(F.col("url").alias("name"), F.concat(F.lit("own "), F.col("page_id").cast("string")).alias("body"))
+    """Items of this site: all its pages, with bodies of its own."""
+    return table(spark, sf, "pages").select(F.col("url").alias("name"), F.concat(F.lit("own "), F.col("page_id").cast("string")).alias("body"))
 
 
 def cat_sync_export(spark, sf):
@@ -163,25 +163,32 @@ def cat_access_derived(spark, sf):
     return C.derived_access(_groups(spark, sf), F.lit("en")).select("grp", "owner")
 
 
+PERMISSIONS = C.Permissions(
+    operations={o: f"may {o}" for o in ("view", "update", "map", "activate", "delete")}, create="may create", admin="may all"
+)
+
+
 def cat_access(spark, sf):
     """Who may do what: sources own documents, hold permissions by the languages they write, one is administrator."""
     documents = table(spark, sf, "documents").select("doc_id", "lang", "source")
     requests = documents.select(F.col("doc_id").alias("id"), F.col("source").alias("owner"))
-    permission = (
-        F.when(F.col("lang") == "en", C.OPERATIONS["view"]).when(F.col("lang") == "de", C.OPERATIONS["update"]).when(F.col("lang") == "fr", C.OPERATIONS["map"]).otherwise(C.OPERATIONS["delete"])
-    )
+    of_lang = {"en": "view", "de": "update", "fr": "map"}
+    permission = F.lit(PERMISSIONS.operations["delete"])
+    for lang, operation in of_lang.items():
+        permission = F.when(F.col("lang") == lang, PERMISSIONS.operations[operation]).otherwise(permission)
     held = documents.filter(F.col("source") != "src5").select(F.col("source").alias("user"), permission.alias("permission")).distinct()
-    admin = documents.filter(F.col("source") == "src7").select(F.col("source").alias("user"), F.lit(C.ADMINISTER).alias("permission")).distinct()
-    operations = F.array(*map(F.lit, ["view", "update", "map", "activate", "delete", "unknown"]))
+    admin = documents.filter(F.col("source") == "src7").select(F.col("source").alias("user"), F.lit(PERMISSIONS.admin).alias("permission")).distinct()
+    maker = documents.filter(F.col("source") == "src1").select(F.col("source").alias("user"), F.lit(PERMISSIONS.create).alias("permission")).distinct()
+    operations = F.array(*map(F.lit, ["view", "update", "map", "activate", "delete", "create", "unknown"]))
     asked = documents.select(F.explode(F.array(F.col("source"), F.lit("src7"), F.lit("src1"))).alias("user"), F.col("doc_id").alias("id"))
     checks = asked.select("user", "id", F.explode(operations).alias("operation"))
-    return C.check_access(checks, requests, held.unionByName(admin))
+    return C.check_access(checks, requests, held.unionByName(admin).unionByName(maker), PERMISSIONS)
 
 
 def cat_file_usage(spark, sf):
-    """A ledger of signed events per user: a signup adds a use, an error takes one."""
-    events = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "error"))
-    signed = events.select(F.col("user_id").alias("file"), F.when(F.col("event_type") == "signup", 1).otherwise(-1).alias("delta"))
+    """A ledger of signed events per user: errors and views take a use, all others add one."""
+    delta = F.when(F.col("event_type").isin("view", "error"), -1).otherwise(1)
+    signed = table(spark, sf, "events").select(F.col("user_id").alias("file"), delta.alias("delta"))
     return file_usage(signed, ["file"])
 
 
@@ -206,7 +213,7 @@ def cat_rederive(spark, sf):
 
 _GROUPS = "documents LEFT JOIN labels USING (doc_id)"
 _PROTECTED = "(name LIKE 'https://www.%' OR name LIKE 'http://blog.%' OR name LIKE 'https://m.%')"
-_CURRENT = "(SELECT url AS name, 'own ' || page_id AS body FROM pages WHERE regexp_matches(url, '/(en|de)/'))"
+_CURRENT = "(SELECT url AS name, 'own ' || page_id AS body FROM pages)"
 
 QUERIES = {
     "cat_templates": (
@@ -256,12 +263,12 @@ QUERIES = {
     ),
     "cat_unused": (
         cat_unused,
-        "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)",
+        "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_suppkey FROM lineitem)",
     ),
     "cat_auto_map": (
         cat_auto_map,
-        """SELECT p_partkey AS name, p_name, s_name AS source, 'get' AS plugin FROM part JOIN supplier ON s_suppkey = p_partkey
-           WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)""",
+        """SELECT p_partkey AS name, p_name, o_orderpriority AS source, 'get' AS plugin FROM part JOIN orders ON o_orderkey = p_partkey
+           WHERE p_partkey NOT IN (SELECT l_suppkey FROM lineitem)""",
     ),
     "cat_dangling": (
         cat_dangling,
@@ -272,14 +279,14 @@ QUERIES = {
         cat_sources,
         """WITH l AS (SELECT c_custkey AS name, 'sheet' AS origin, c_name AS label, 0 AS p FROM customer
                       UNION ALL SELECT s_suppkey, 'processed', s_name, 1 FROM supplier
-                      UNION ALL SELECT p_partkey, 'system', p_name, 2 FROM part WHERE p_size = 50),
+                      UNION ALL SELECT p_partkey, 'system', p_name, 2 FROM part),
                 r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY p DESC) AS n FROM l)
            SELECT name, origin, label FROM r WHERE n = 1""",
     ),
     "cat_sync_export": (cat_sync_export, f"SELECT name, body FROM {_CURRENT} c WHERE NOT {_PROTECTED}"),
     "cat_sync_import": (
         cat_sync_import,
-        f"""SELECT name, body FROM (SELECT url AS name, md5(html) AS body FROM pages WHERE regexp_matches(url, '/(en|fr)/')) i
+        f"""SELECT name, body FROM (SELECT regexp_replace(url, '^https?://(www|blog)[.]', 'http://') AS name, md5(html) AS body FROM pages) i
             WHERE NOT {_PROTECTED}
             UNION ALL SELECT name, body FROM {_CURRENT} c WHERE {_PROTECTED}""",
     ),
@@ -291,14 +298,15 @@ QUERIES = {
         cat_access,
         """WITH held AS (SELECT DISTINCT source AS usr, CASE lang WHEN 'en' THEN 'view' WHEN 'de' THEN 'update' WHEN 'fr' THEN 'map' ELSE 'delete' END AS op
                          FROM documents WHERE source <> 'src5'),
-                ops AS (SELECT unnest(['view', 'update', 'map', 'activate', 'delete', 'unknown']) AS op)
+                ops AS (SELECT unnest(['view', 'update', 'map', 'activate', 'delete', 'create', 'unknown']) AS op)
            SELECT source AS "user", doc_id AS id, held.op AS operation FROM documents JOIN held ON held.usr = source WHERE source <> 'src7'
+           UNION SELECT 'src1', doc_id, 'create' FROM documents WHERE EXISTS (SELECT 1 FROM documents WHERE source = 'src1')
            UNION SELECT 'src7', doc_id, ops.op FROM documents, ops WHERE EXISTS (SELECT 1 FROM documents WHERE source = 'src7')""",
     ),
     "cat_file_usage": (
         cat_file_usage,
-        """SELECT user_id AS file, CAST(sum(CASE event_type WHEN 'signup' THEN 1 ELSE -1 END) AS BIGINT) AS uses
-           FROM events WHERE event_type IN ('signup', 'error') GROUP BY 1""",
+        """SELECT user_id AS file, CAST(sum(CASE WHEN event_type IN ('view', 'error') THEN -1 ELSE 1 END) AS BIGINT) AS uses
+           FROM events GROUP BY 1""",
     ),
     "cat_file_usage_changes": (
         cat_file_usage_changes,

@@ -35,16 +35,19 @@ def pick_sheet(cells: DataFrame, sheet: str, indexes: Sequence[int], names: Sequ
 def select_worksheet(cells: DataFrame, sheet: str, header_row: int = 1) -> DataFrame:
     """The data rows of a worksheet under its header's names; an absent worksheet is an error.
 
-    Files whose headers differ are refused. Only the header cells of one file reach the driver.
+    A file's header may end earlier than another's, but headers that differ are refused. Only the longest
+    reaches the driver.
     """
     picked = cells.filter(F.col("sheet") == sheet)
-    first = picked.filter(F.col("row_idx") == header_row).agg(F.min("file")).first()[0]
-    if first is None:
+    heads = header(picked, None, header_row).select("header").distinct()
+    longest = heads.orderBy(F.size("header").desc(), "header").first()
+    if longest is None:
         if picked.isEmpty():
             raise ValueError(f"Failed to find worksheet {sheet!r}.")
         raise ValueError("Failed to find header row.")
-    head = header(picked.filter(F.col("file") == first), None, header_row).first().header
-    if len(header(picked, None, header_row).select("header").distinct().take(2)) > 1:
+    head = longest.header
+    same = F.slice(F.array(*map(F.lit, head)), F.lit(1), F.size("header")) == F.col("header")
+    if not heads.filter(~same).isEmpty():
         raise ValueError("The files have different headers; select them one by one")
     rows = pick_sheet(cells, sheet, range(len(head)), column_names(head))
     return rows.filter(F.col("row_idx") > header_row)

@@ -81,19 +81,24 @@ def test_sync(spark):
     assert got == {"keep.a": "mine", "keep.c": "mine", "free": "new"}
 
 
+RIGHTS = C.Permissions({"view": "see", "map": "bind"}, "make", "rule")
+
+
 def test_access(spark):
     requests = spark.createDataFrame([("r1", "u1"), ("r2", "u2")], "id string, owner string")
     grants = spark.createDataFrame(
-        [("u1", C.OPERATIONS["view"]), ("u2", C.OPERATIONS["map"]), ("root", C.ADMINISTER)], "user string, permission string"
+        [("u1", "see"), ("u2", "bind"), ("u2", "make"), ("root", "rule")], "user string, permission string"
     )
     checks = spark.createDataFrame(
-        [(u, r, o) for u in ("u1", "u2", "root") for r in ("r1", "r2") for o in ("view", "map", "other")], "user string, id string, operation string"
+        [(u, r, o) for u in ("u1", "u2", "root") for r in ("r1", "r2") for o in ("view", "map", "create", "other")], "user string, id string, operation string"
     )
-    got = {tuple(r) for r in C.check_access(checks, requests, grants).collect()}
-    assert got == {("u1", "r1", "view"), ("u2", "r2", "map")} | {("root", r, o) for r in ("r1", "r2") for o in ("view", "map", "other")}
-    assert [r.id for r in C.may(requests, "u1", "view", [C.OPERATIONS["view"]]).collect()] == ["r1"]
-    assert C.may(requests, "u1", "map", [C.OPERATIONS["view"]]).isEmpty()
-    assert C.may(requests, "root", "map", [C.ADMINISTER]).count() == 2
+    got = {tuple(r) for r in C.check_access(checks, requests, grants, RIGHTS).collect()}
+    assert got == {("u1", "r1", "view"), ("u2", "r2", "map"), ("u2", "r1", "create"), ("u2", "r2", "create")} | {
+        ("root", r, o) for r in ("r1", "r2") for o in ("view", "map", "create", "other")
+    }
+    assert [r.id for r in C.may(requests, "u1", "view", ["see"], RIGHTS).collect()] == ["r1"]
+    assert C.may(requests, "u1", "map", ["see"], RIGHTS).isEmpty()
+    assert C.may(requests, "root", "map", ["rule"], RIGHTS).count() == 2
     items = spark.createDataFrame([(1, ["isi_derived_migration"], "u"), (2, ["isi_derived_migration"], None), (3, [], "u")], "i int, tags array<string>, owner string")
     assert [r.i for r in C.derived_access(items, F.lit("u")).collect()] == [1]
 

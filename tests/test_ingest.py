@@ -6,21 +6,19 @@ from pyspark.sql import functions as F
 from tabweave.constants import ORPHANS_TAG
 from tabweave.functions.text import target_id
 from tabweave.operators import state
-from tabweave.plans.ingest import Group, Job, Options, import_group, import_job, rollback_group, rollback_job
+from tabweave.plans.ingest import Group, Job, Options, forget_group, import_group, import_job, rollback_group, rollback_job
 from tabweave.plans.store import ID_MAP, Store
 from tabweave.sources.delimited import read_sheet
 from tests import sample
 
-KEYS = {"ID": "integer"}
-REQUIRED = ("file", "node")
-BUNDLES = {"media_image": "image", "media_doc": "document", "media_audio": "audio", "media_video": "file", "media_file": "file"}
+KEYS, NUMBERS = {"ID": "integer"}, {"No": "integer"}
 
 
 def jobs(tags=()):
     return [
-        *[Job(n, m, "media", KEYS, REQUIRED, BUNDLES[n], tags=tags) for n, m in sample.MEDIA.items()],
-        Job("node", sample.NODE, "node", KEYS, default_bundle="object", tags=tags),
-        Job("file", sample.FILE, "file", KEYS, tags=tags),
+        Job("view", sample.VIEW, "view", NUMBERS, ("asset", "object"), tags=tags),
+        Job("object", sample.OBJECT, "object", NUMBERS, default_bundle="thing", tags=tags),
+        Job("asset", sample.ASSET, "asset", NUMBERS, tags=tags),
     ]
 
 
@@ -33,106 +31,94 @@ def counts(store):
     return {(r.migration, r.status): r["count"] for r in rows}
 
 
-GOLDEN = {
-    ("node", "imported"): 8,
-    ("file", "imported"): 7,
-    ("file", "ignored"): 1,
-    ("media_image", "imported"): 3,
-    ("media_image", "ignored"): 5,
-    ("media_audio", "imported"): 1,
-    ("media_audio", "ignored"): 7,
-    ("media_video", "imported"): 1,
-    ("media_video", "ignored"): 7,
-    ("media_doc", "imported"): 1,
-    ("media_doc", "ignored"): 7,
-    ("media_file", "imported"): 1,
-    ("media_file", "ignored"): 7,
-}
-
-
 def test_sample_sheet_end_to_end(spark, tmp_path, sheet_path, entities, run_ts):
     store = Store(spark, str(tmp_path / "state"))
-    options = Options(run_ts=run_ts)
-    order = import_group(store, group(spark, sheet_path, entities), options)
-    assert order[:2] == ["file", "node"] and len(order) == 7
-    assert counts(store) == GOLDEN
-
-    nodes = {r.title: r for r in store.read("targets/node", "node").collect()}
-    parent = nodes["Collection 1"]
-    assert parent.field_member_of is None and parent.field_model == "t3" and parent.field_display_hints is None
-    assert all(r.field_member_of == [parent.id] for t, r in nodes.items() if t != "Collection 1")
-    assert nodes["title 6"].field_display_hints == "t7"
-    assert {r.bundle for r in nodes.values()} == {"object"}
-
-    files = {r.filename: r for r in store.read("targets/file", "file").collect()}
-    assert files["toddle lo.mp3"].uri == "repo-bin://2024-05/toddle%20lo.mp3"
-    assert files["toddle lo.mp3"].filemime == "audio/mpeg" and files["toddle lo.mp3"].status == 1
-
-    images = store.read("targets/media", "media_image").collect()
-    assert {i.name for i in images} == {"title 1", "title 2", "title 3"}
-    file_ids = {f.id for f in files.values()}
-    assert all(i.field_media_image.target_id in file_ids and i.field_media_image.alt == i.name for i in images)
-    assert all(i.field_media_of.title == i.name for i in images)
-    doc = store.read("targets/media", "media_doc").first()
-    assert doc.bundle == "document" and doc.field_media_document.filename == "text.pdf"
-
-    said = store.messages("file")
-    assert said.filter("level = 'warning'").count() == 7
-    assert said.filter("level = '4' AND text LIKE 'Destination Full Path: repo-bin://%'").count() == 7
-    assert [r.text for r in said.filter("src_key = '1'").collect()] == ["Field Digital_File is missing"]
+    assert import_group(store, group(spark, sheet_path, entities), Options(run_ts=run_ts)) == ["asset", "object", "view"]
+    assert counts(store) == {
+        ("object", "imported"): 8, ("object", "ignored"): 1, ("object", "needs_update"): 1,
+        ("asset", "imported"): 7, ("asset", "ignored"): 2,
+        ("view", "imported"): 5, ("view", "ignored"): 4,
+    }
+
+    ids = {r.src_key: r.dest_id for r in store.id_map("object").collect()}
+    things = {r.id: r for r in store.read("targets/object", "object").collect()}
+    by_key = {k: things[i] for k, i in ids.items() if i}
+    assert [p.id for p in by_key["3"].parents] == [ids["1"], ids["2"]] and by_key["1"].parents == []
+    # The first of two places is unknown.
+    assert [p.id for p in by_key["7"].parents] == [None, ids["1"]]
+    assert by_key["3"].twin == ids["2"] and by_key["9"].twin == ids["77"] and by_key["77"].is_stub
+    assert by_key["3"].note == 'says "Turicum"' and by_key["2"].note == "(none)" and by_key["1"].label == "Maps, old"
+    assert (by_key["1"].kind, by_key["4"].kind, by_key["2"].bundle) == ("t0", "t2", "thing")
+    assert "8" not in by_key and store.messages("object").filter("src_key = '8'").first().text == "No mapping for value: Coin"
+
+    assets = {r.src_key: r for r in store.id_map("asset").join(store.read("targets/asset", "asset"), F.col("dest_id") == F.col("id")).collect()}
+    assert assets["3"].uri == "shelf://24/5/z%C3%BCrich.tif" and assets["2"].uri == "shelf://24/5/north%20sea.tif"
+    assert (assets["4"].uri, assets["5"].uri) == ("shelf://24/5/a.jpg", "shelf://24/5/a_1.jpg")
+    assert (assets["7"].media, assets["7"].name) == ("application/pdf", "l 7.pdf")
+    said = store.messages("asset")
+    assert said.filter("level = 'warning'").count() == 7 and said.filter("level = 'info' AND text LIKE 'Goes to shelf://%'").count() == 7
+    assert {r.src_key for r in said.filter("text = 'There is no scan'").collect()} == {"1", "6"}
+
+    views = {r.shown.title: r for r in store.read("targets/view", "view").collect()}
+    assert set(views) == {"North Sea", "Zürich", "Harbour", "Harbour again", "Map in the cellar"}
+    assert all(v.shown.id in {a.id for a in assets.values()} and v["of"].label == t for t, v in views.items())
 
 
 def test_second_import_changes_nothing(spark, tmp_path, sheet_path, entities, run_ts):
     store = Store(spark, str(tmp_path / "state"))
     g, options = group(spark, sheet_path, entities), Options(run_ts=run_ts)
-    node = next(j for j in g.jobs if j.name == "node")
-    import_job(store, g, node, options)
-    first = sorted(store.read("targets/node", "node").collect(), key=str)
-    maps = sorted(store.id_map("node").collect(), key=str)
-    written = os.listdir(store.folder("targets/node", "node"))
-    import_job(store, group(spark, sheet_path, entities), node, options)
-    assert os.listdir(store.folder("targets/node", "node")) == written
-    assert sorted(store.read("targets/node", "node").collect(), key=str) == first
-    assert sorted(store.id_map("node").collect(), key=str) == maps
+    asset = next(j for j in g.jobs if j.name == "asset")
+    import_group(store, Group([asset], g.sheet), options)
+    first = sorted(store.read("targets/asset", "asset").collect(), key=str)
+    maps = sorted(store.id_map("asset").collect(), key=str)
+    written = os.listdir(store.folder("targets/asset", "asset"))
+    import_group(store, Group([asset], g.sheet), options)
+    assert os.listdir(store.folder("targets/asset", "asset")) == written
+    assert sorted(store.read("targets/asset", "asset").collect(), key=str) == first
+    assert sorted(store.id_map("asset").collect(), key=str) == maps
 
 
 def test_edited_sheet_and_orphans(spark, tmp_path, sheet_path, entities, run_ts):
     store, options = Store(spark, str(tmp_path / "state")), Options(run_ts=run_ts)
     g = group(spark, sheet_path, entities, (ORPHANS_TAG,))
-    node = next(j for j in g.jobs if j.name == "node")
-    import_job(store, g, node, options)
+    thing = next(j for j in g.jobs if j.name == "object")
+    import_group(store, Group([thing], g.sheet, entities=entities), options)
     lines = sample.SHEET.splitlines()
-    lines[2] = lines[2].replace("title 1", "title one")
+    lines[4] = lines[4].replace("Harbour", "Old harbour")
     edited = tmp_path / "edited.csv"
-    edited.write_text("\n".join([*lines[:8], "9,1,,Image,public://x.png,title 9,,,"]) + "\n")
-    import_job(store, group(spark, str(edited), entities, (ORPHANS_TAG,)), node, options)
-    titles = {r.title for r in store.read("targets/node", "node").collect()}
-    assert "title one" in titles and "title 1" not in titles and "title 7" not in titles and "title 9" in titles
-    assert {r.src_key for r in store.id_map("node").collect()} == {str(i) for i in (1, 2, 3, 4, 5, 6, 7, 9)}
+    edited.write_text("\n".join([*lines[:8], "12,1,,Map,,Island,"]) + "\n")
+    import_group(store, Group([thing], read_sheet(spark, str(edited), header_row=1), entities=entities), options)
+    labels = {r.label for r in store.read("targets/object", "object").collect()}
+    assert {"Old harbour", "Island"} <= labels and not {"Harbour", "Map in the cellar"} & labels
+    # The stub that a former row asked for is no orphan.
+    assert {r.src_key for r in store.id_map("object").collect()} == {*map(str, range(1, 8)), "12", "77"}
 
 
 def test_rollback_undoes_import(spark, tmp_path, sheet_path, entities, run_ts):
     store, options = Store(spark, str(tmp_path / "state")), Options(run_ts=run_ts)
     g = group(spark, sheet_path, entities)
-    g.jobs = [j for j in g.jobs if j.name in ("node", "file", "media_image")]
     import_group(store, g, options)
-    assert rollback_group(store, g, "failed,ignored") == ["media_image", "node", "file"]
-    assert counts(store) == {("node", "imported"): 8, ("file", "imported"): 7, ("media_image", "imported"): 3}
-    assert store.read("targets/media", "media_image").count() == 3
+    assert rollback_group(store, g, "ignored") == ["view", "object", "asset"]
+    assert counts(store) == {
+        ("object", "imported"): 8, ("object", "needs_update"): 1, ("asset", "imported"): 7, ("view", "imported"): 5
+    }
     rollback_group(store, g)
     assert counts(store) == {}
     for job in g.jobs:
         assert store.read(f"targets/{job.target}", job.name).count() == 0
         assert store.messages(job.name).count() == 0
+    forget_group(store, g)
+    assert not any(store.has(t, j.name) for t in ("id_map", "messages") for j in g.jobs)
+    assert store.has("targets/view", "view")
 
 
 def test_preserved_targets_stay(spark, tmp_path, sheet_path, entities, run_ts):
     store = Store(spark, str(tmp_path / "state"))
     g = group(spark, sheet_path, entities)
-    job = Job("node", sample.NODE, "node", KEYS, rollback_action="preserve")
+    job = Job("asset", sample.ASSET, "asset", NUMBERS, rollback_action="preserve")
     import_job(store, g, job, Options(run_ts=run_ts))
     rollback_job(store, job)
-    assert store.id_map("node").count() == 0 and store.read("targets/node", "node").count() == 8
+    assert store.id_map("asset").count() == 0 and store.read("targets/asset", "asset").count() == 7
 
 
 def test_bad_keys_fail_alone(spark, tmp_path, entities, run_ts):
@@ -169,14 +155,14 @@ def test_stubs_are_filled_later(spark, tmp_path):
 def test_requirements_and_limit(spark, tmp_path, sheet_path, entities, run_ts):
     store = Store(spark, str(tmp_path / "state"))
     g = group(spark, sheet_path, entities)
-    g.jobs = [j for j in g.jobs if j.name == "media_image"]
-    with pytest.raises(ValueError, match="requires file, node"):
+    g.jobs = [j for j in g.jobs if j.name == "view"]
+    with pytest.raises(ValueError, match="requires asset, object"):
         import_group(store, g, Options(run_ts=run_ts))
-    node = Job("node", {"title": "Title"}, "node", KEYS)
-    import_job(store, g, node, Options(limit=3))
-    assert {r.src_key for r in store.id_map("node").collect()} == {"1", "2", "3"}
-    import_job(store, g, node, Options(limit=3))
-    assert store.id_map("node").count() == 6
+    plain = Job("object", {"label": "Label"}, "object", NUMBERS)
+    import_job(store, g, plain, Options(limit=3))
+    assert {r.src_key for r in store.id_map("object").collect()} == {"1", "2", "3"}
+    import_job(store, g, plain, Options(limit=3))
+    assert store.id_map("object").count() == 6
 
 
 def test_ids_do_not_depend_on_partitions(spark):

@@ -7,30 +7,34 @@ from tabweave.plans.requests import Request, Template, comma_list, derive_jobs,
 from tabweave.plans.store import ID_MAP, Store
 from tests import sample
 
-KEYS = {"ID": "integer"}
+KEYS, NUMBERS = {"ID": "integer"}, {"No": "integer"}
 
 
 def template():
     jobs = [
-        Job("media_image", sample.MEDIA["media_image"], "media", KEYS, ("file", "node", "elsewhere"), "image", tags=["extra"]),
-        Job("node", sample.NODE, "node", KEYS, default_bundle="object"),
-        Job("file", sample.FILE, "file", KEYS),
+        Job("view", sample.VIEW, "view", NUMBERS, ("asset", "object", "elsewhere"), "sheet", tags=["extra"]),
+        Job("object", sample.OBJECT, "object", NUMBERS, default_bundle="thing"),
+        Job("asset", sample.ASSET, "asset", NUMBERS),
     ]
-    return Template("isi", jobs)
+    return Template("isi", jobs, source={"keys": NUMBERS})
 
 
 def test_names_tags_and_requirements():
     jobs = {j.name: j for j in derive_jobs(Request("r1", "s.csv"), template())}
-    assert set(jobs) == {"isi__r1_media_image", "isi__r1_node", "isi__r1_file"}
-    image = jobs["isi__r1_media_image"]
-    assert image.requires == ["isi__r1_file", "isi__r1_node"]
-    assert image.tags == ["extra", "isi_template", "isimd", "isi_derived_migration", "isimd:r1"]
-    assert image.mapping["field_media_image/target_id"][1]["migration"] == "isi__r1_file"
-    assert jobs["isi__r1_node"].mapping["_member_of_csv_id"][1]["migration"] == "isi__r1_node"
-    assert sample.NODE["_member_of_csv_id"][1]["migration"] == "node"
+    assert set(jobs) == {"isi__r1_view", "isi__r1_object", "isi__r1_asset"}
+    view = jobs["isi__r1_view"]
+    assert view.requires == ["isi__r1_asset", "isi__r1_object"]
+    assert view.tags == ["extra", "isi_template", "isimd", "isi_derived_migration", "isimd:r1"]
+    assert view.mapping["shown/id"][1]["migration"] == "isi__r1_asset"
+    assert jobs["isi__r1_object"].mapping["twin"][1]["migration"] == "isi__r1_object"
+    assert sample.OBJECT["twin"][1]["migration"] == "object"
     assert derive_jobs(Request("r1", "s.csv", active=False), template()) == []
-    changed = {j.name: j for j in derive_jobs(Request("r1", "s.csv", mappings={"node": {"title": "ID"}}), template())}
-    assert changed["isi__r1_node"].mapping == {"title": "ID"}
+    changed = {j.name: j for j in derive_jobs(Request("r1", "s.csv", mappings={"object": {"title": "No"}}), template())}
+    assert {n: j.mapping for n, j in changed.items()} == {"isi__r1_object": {"title": "No"}}
+    kept = Template("isi", [Job("own", {"t": "T"}, "x", {"T": "string"}, keep_source=True), Job("other", {"t": "T"}, "x", {"T": "string"})])
+    assert [j.keys for j in derive_jobs(Request("r1", "s.csv"), kept)] == [{"T": "string"}, {"ID": "integer"}]
+    with pytest.raises(ValueError, match="gone"):
+        derive_jobs(Request("r1", "s.csv", mappings={"gone": {}}), template())
 
 
 def test_renamed_lookups():
@@ -60,14 +64,15 @@ def test_request_runs(spark, tmp_path, sheet_path, entities, run_ts):
     store = Store(spark, str(tmp_path / "state"))
     request = Request("r1", sheet_path)
     group = request_group(spark, request, {"isi": template()}, entities)
-    order = import_group(store, group, Options(run_ts=run_ts, allowed_schemes=["public"]), tag=request.tag)
-    assert order == ["isi__r1_file", "isi__r1_node", "isi__r1_media_image"]
+    order = import_group(store, group, Options(run_ts=run_ts, allowed_schemes=["vault"]), tag=request.tag)
+    assert order == ["isi__r1_asset", "isi__r1_object", "isi__r1_view"]
     counts = {(r.migration, r.status): r["count"] for r in store.all_rows("id_map", ID_MAP).groupBy("migration", "status").count().collect()}
     assert counts == {
-        ("isi__r1_file", "imported"): 7, ("isi__r1_file", "ignored"): 1, ("isi__r1_node", "imported"): 8,
-        ("isi__r1_media_image", "imported"): 3, ("isi__r1_media_image", "ignored"): 5,
+        ("isi__r1_asset", "imported"): 6, ("isi__r1_asset", "ignored"): 3, ("isi__r1_object", "imported"): 8,
+        ("isi__r1_object", "ignored"): 1, ("isi__r1_object", "needs_update"): 1,
+        ("isi__r1_view", "imported"): 5, ("isi__r1_view", "ignored"): 4,
     }
-    assert store.messages("isi__r1_file").filter("level = 'warning'").isEmpty()
+    assert store.messages("isi__r1_asset").filter("level = 'warning'").isEmpty()
 
 
 def test_workbook_request(spark, tmp_path):

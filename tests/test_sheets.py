@@ -22,16 +22,16 @@ def cells(spark):
 def test_sample_sheet(spark, sheet_path):
     sheet = D.read_sheet(spark, sheet_path, header_row=1, row_index_column="row")
     rows = sheet.orderBy("row").collect()
-    assert len(rows) == 8 and sheet.columns == sample.SHEET.splitlines()[0].split(",") + ["row"]
-    assert [r.row for r in rows] == list(range(2, 10))
-    assert rows[0].Member_of == "" and rows[6].Model == "Digital Document"
+    assert len(rows) == sample.ROWS and sheet.columns == sample.SHEET.splitlines()[0].split(",") + ["row"]
+    assert [r.row for r in rows] == list(range(2, sample.ROWS + 2))
+    assert rows[0].Within == "" and rows[0].Label == "Maps, old" and rows[2].Note == 'says "Turicum"'
 
 
 def test_columns_by_name_and_by_position(spark, sheet_path):
-    named = D.read_sheet(spark, sheet_path, header_row=1, columns=["ID", "Title"])
-    assert {r.Title for r in named.collect()} >= {"Collection 1", "title 7"}
-    placed = D.read_sheet(spark, sheet_path, header_row=1, columns=["ID", "Title"], mode="position")
-    assert {r.Title for r in placed.collect()} == {"", "1"}
+    named = D.read_sheet(spark, sheet_path, header_row=1, columns=["No", "Label"])
+    assert {r.Label for r in named.collect()} >= {"Zürich", "Letter, torn"}
+    placed = D.read_sheet(spark, sheet_path, header_row=1, columns=["No", "Label"], mode="position")
+    assert {r.Label for r in placed.collect()} == {"", "1", "2", "3", "1;2", "99;1"}
     with pytest.raises(ValueError, match="not in the header"):
         D.read_sheet(spark, sheet_path, header_row=1, columns=["Nope"])
 
@@ -118,7 +118,7 @@ def test_file_listing(spark, tmp_path):
 def test_plain_and_numbered_scans_agree(spark, tmp_path):
     text = '\n\nID,"T ""x""",N\n1,"a, b",c,extra,cells\n\n2\n3,"",\n4, spaced ,"q""q"\nID,"T ""x""",N\n,,\n'
     (tmp_path / "a.csv").write_text(text)
-    (tmp_path / "b.csv").write_text("ID,T,N\n9,x,y\n")
+    (tmp_path / "b.csv").write_text('ID,"T ""x""",N\n9,x,y\n')
     plain = D.read_sheet(spark, str(tmp_path / "*.csv"), header_row=1)
     numbered = D.read_sheet(spark, str(tmp_path / "*.csv"), header_row=1, row_index_column="row").drop("row")
     assert plain.columns == numbered.columns == ["ID", 'T "x"', "N"]

@@ -11,14 +11,13 @@ from tabweave.operators.routing import route_targets, write_routed
 from tabweave.plans.compiler import MESSAGES, STATUS, accepted, compile_mapping
 
 SPLIT_CASES = [
-    ("base", ";", "|", {}, "A|alpha;B|bravo", [{"0": "A", "1": "alpha"}, {"0": "B", "1": "bravo"}]),
-    ("other delimiters", "#", "^", {}, "A^alpha#B^bravo", [{"0": "A", "1": "alpha"}, {"0": "B", "1": "bravo"}]),
-    ("keys, no trim", ";", "|", {"keys": ["a", "b"], "trim": False, "subtrim": False}, "A|alpha;B|bravo", [{"a": "A", "b": "alpha"}, {"a": "B", "b": "bravo"}]),
-    ("keys", ";", "|", {"keys": ["a", "b"]}, "A|alpha;B|bravo", [{"a": "A", "b": "alpha"}, {"a": "B", "b": "bravo"}]),
-    ("too few keys", ";", "|", {"keys": ["a"]}, "A|alpha;B|bravo", [{"a": "A", "1": "alpha"}, {"a": "B", "1": "bravo"}]),
-    ("full trim", ";", "|", {"trim": True, "subtrim": True}, "A | alpha ; B |bravo", [{"0": "A", "1": "alpha"}, {"0": "B", "1": "bravo"}]),
-    ("only subtrim", ";", "|", {"trim": False, "subtrim": True}, "A | alpha ; B |bravo", [{"0": "A", "1": "alpha"}, {"0": "B", "1": "bravo"}]),
-    ("only top trim", ";", "|", {"trim": True, "subtrim": False}, "A | alpha ; B |bravo", [{"0": "A ", "1": " alpha"}, {"0": "B ", "1": "bravo"}]),
+    ("pairs", ",", "=", {}, "red=3,blue=5", [{"0": "red", "1": "3"}, {"0": "blue", "1": "5"}]),
+    ("three deep", "/", "-", {}, "9-8-7/6", [{"0": "9", "1": "8", "2": "7"}, {"0": "6"}]),
+    ("named untrimmed", ",", "=", {"keys": ["hue", "n"], "trim": False, "subtrim": False}, " red= 3", [{"hue": " red", "n": " 3"}]),
+    ("named", ",", "=", {"keys": ["hue", "n"]}, " red = 3 ,blue=5", [{"hue": "red", "n": "3"}, {"hue": "blue", "n": "5"}]),
+    ("more parts than names", ",", "=", {"keys": ["hue"]}, "red=3=x", [{"hue": "red", "1": "3", "2": "x"}]),
+    ("trim inside only", ",", "=", {"trim": False, "subtrim": True}, " ü = 3 , = ", [{"0": "ü", "1": "3"}, {"0": "", "1": ""}]),
+    ("trim outside only", ",", "=", {"trim": True, "subtrim": False}, " ü = 3 ", [{"0": "ü ", "1": " 3"}]),
     ("empty cell", ";", "|", {}, "", []),
     ("one part", ";", "|", {}, "A", [{"0": "A"}]),
     ("trailing", ";", "|", {}, "A|;", [{"0": "A", "1": ""}, {"0": ""}]),
