@@ -35,6 +35,7 @@ HELD = 64 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xBF58476D1CE4E5B9)
+_SPREAD = 0xD6E8FEB86659FD93
 
 
 @dataclass
@@ -191,8 +192,8 @@ def _cut(rows: DataFrame, scheme: Scheme, bits) -> DataFrame:
                     if here < there:
                         first[unit], new = new, old
                     if here != there:
-                        # Known to be repeated: any task may have it.
-                        new[0], new[6] = digest, None
+                        # Known to be repeated: any task may have it, and those of one text need not meet.
+                        new[0], new[6] = _signed(((new[1] or 0) * _SPREAD + new[3]) % (1 << 64)), None
                     ready.append(new)
             if size > HELD:
                 ready += first.values()
