@@ -44,6 +44,8 @@ class Context:
     key: str = "src_key"
     # Keys of the sheet's rows that count as targets of the running job; without it, all rows that have not ended.
     own: DataFrame | None = None
+    # Copies planned by former imports, ``(migration, src_key, wanted, to)``: their names stay theirs.
+    copies: DataFrame | None = None
     # Jobs for which a lookup may ask for a stub; without it, all.
     stub_jobs: Sequence[str] | None = None
 
@@ -243,7 +245,16 @@ def _file_copy(df, value, out, cfg, ctx):
         return planned.withColumnRenamed("_copy_to", out)
     # Numeric keys count in numeric order.
     planned = planned.withColumn("_key_number", F.col(ctx.key).try_cast("bigint"))
-    return number_clashes(planned, "_copy_to", ["_key_number", ctx.key], out).drop("_copy_to", "_key_number")
+    order = ["_key_number", ctx.key]
+    if ctx.copies is None:
+        return number_clashes(planned, "_copy_to", order, out).drop("_copy_to", "_key_number")
+    # A row that asks for what it asked for before keeps the name it got.
+    own = ctx.copies.filter(F.col("migration") == ctx.migration)
+    own = own.groupBy(F.col("src_key").alias("_had_key"), F.col("wanted").alias("_had_wanted")).agg(F.min("to").alias("_had"))
+    same = (F.col(ctx.key) == F.col("_had_key")) & (F.col("_copy_to") == F.col("_had_wanted"))
+    planned = planned.join(own, same, "left").drop("_had_key", "_had_wanted")
+    named = number_clashes(planned, "_copy_to", order, out, given=ctx.copies, had="_had")
+    return named.drop("_copy_to", "_key_number", "_had")
 
 
 register_step("default_value", _default_value, whole_list=True)

@@ -12,27 +12,65 @@ from tabweave.operators.numbering import HOT_ROWS, running_number
 _CLAIM, _NTH = "_claim", "_nth"
 
 
-def clash_name(path: Column, nth: Column) -> Column:
-    """The path of the n-th claimant: itself for the first, then ``name_1.ext``, ``name_2.ext``, …"""
+def _cut(path: Column) -> tuple[Column, Column, Column]:
+    """Folder, stem and suffix of a path."""
     folder = F.regexp_extract(path, r"^(.*/)?", 0)
     name = F.substring_index(path, "/", -1)
     suffix = F.regexp_extract(name, r"[^.](\.[^.]+)$", 1)
-    stem = F.substring(name, F.lit(1), F.length(name) - F.length(suffix))
+    return folder, F.substring(name, F.lit(1), F.length(name) - F.length(suffix)), suffix
+
+
+def clash_name(path: Column, nth: Column) -> Column:
+    """The path of the n-th claimant: itself for the first, then ``name_1.ext``, ``name_2.ext``, …"""
+    folder, stem, suffix = _cut(path)
     numbered = F.concat(folder, stem, F.lit("_"), (nth - 1).cast("string"), suffix)
     return F.when(nth == 1, path).otherwise(numbered)
 
 
+def _numbered(paths: DataFrame) -> DataFrame:
+    """``(base, k)`` of the ``path``s that look like the k-th further claimant of a base."""
+    folder, stem, suffix = _cut(F.col("path"))
+    k = F.regexp_extract(stem, r"_([1-9][0-9]{0,8})$", 1)
+    base = F.concat(folder, F.regexp_replace(stem, r"_[1-9][0-9]{0,8}$", ""), suffix)
+    return paths.select(base.alias("base"), k.alias("k")).filter("k <> ''").select("base", F.col("k").cast("bigint").alias("k"))
+
+
 def number_clashes(
-    df: DataFrame, path: str, order: Sequence[str], out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    path: str,
+    order: Sequence[str],
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    given: DataFrame | None = None,
+    had: str | None = None,
 ) -> DataFrame:
     """Give every row of one path a path of its own, in key order.
 
-    Rows without a path are groups of their own, so they gather nowhere.
+    Rows without a path are groups of their own, so they gather nowhere. Names that another row asks for as they
+    are, such as ``a_1.png``, are left to that row. ``given`` has the paths ``to`` that are taken already; numbers go
+    on behind them. Where the column ``had`` has a path, the row keeps it.
     """
     alone = F.concat_ws("\x00", F.lit(""), *order)
-    grouped = df.withColumn(_CLAIM, F.coalesce(F.col(path), alone))
+    asks = F.col(path) if had is None else F.when(F.col(had).isNull(), F.col(path))
+    grouped = df.withColumn(_CLAIM, F.coalesce(asks, alone))
     numbered = running_number(grouped, [_CLAIM], order, _NTH, hot_rows)
-    return numbered.withColumn(out, clash_name(F.col(path), F.col(_NTH))).drop(_NTH, _CLAIM)
+    names = df.select(F.col(path).alias("path")).filter("path IS NOT NULL").distinct()
+    # As many numbers as names of this form are asked for.
+    asked = _numbered(names).groupBy("base").agg(F.array_sort(F.collect_set("k")).alias("_asked"))
+    numbered = numbered.join(asked.withColumnRenamed("base", "_base"), F.col(_CLAIM) == F.col("_base"), "left").drop("_base")
+    start = F.lit(0).cast("bigint")
+    if given is not None:
+        taken = given.select(F.col("to").alias("path")).distinct()
+        taken = taken.select(F.col("path").alias("base"), F.lit(0).cast("bigint").alias("k")).unionByName(_numbered(taken))
+        taken = taken.groupBy(F.col("base").alias("_base")).agg((F.max("k") + 1).alias("_start"))
+        numbered = numbered.join(taken, F.col(_CLAIM) == F.col("_base"), "left").drop("_base")
+        start = F.coalesce(F.col("_start"), start)
+    place = start + F.col(_NTH) - 1
+    asked = F.filter(F.coalesce("_asked", F.array().cast("array<bigint>")), lambda t: t >= start)
+    place = F.aggregate(asked, place, lambda c, t: F.when(t <= c, c + 1).otherwise(c))
+    named = clash_name(F.col(path), place + 1)
+    named = named if had is None else F.coalesce(F.col(had), named)
+    return numbered.withColumn(out, named).drop(_NTH, _CLAIM, "_asked", "_start")
 
 
 def copy_manifest(

@@ -21,7 +21,10 @@ from tabweave.functions.text import is_empty, source_col, target_id
 from tabweave.operators import lookups
 from tabweave.operators.multivalue import explode_values
 
-STATUS, MESSAGES, STUBS = "_status", "_messages", "_stubs"
+STATUS, MESSAGES, STUBS, COPIES = "_status", "_messages", "_stubs", "_copies"
+# What a row says besides its values.
+REPORT = (STATUS, MESSAGES, STUBS, COPIES)
+COPY_TYPE = "struct<field:string,from:string,to:string,wanted:string,move:boolean>"
 _STUB_TYPE = "struct<migration:string,src_key:string>"
 _ELEMENT_KEY = "_element_key"
 
@@ -69,6 +72,7 @@ class _Field:
     # Columns with lists of messages and of stubs.
     many_logs: list[str] = field(default_factory=list)
     many_stubs: list[str] = field(default_factory=list)
+    copies: list[str] = field(default_factory=list)
 
     @property
     def done(self) -> bool:
@@ -242,6 +246,14 @@ class MappingPlan:
                 self.df = self._each(asked, out, lambda df, v, o, ctx: found.build(df, v, o, step, ctx))
             else:
                 self.df = found.build(self.df, asked, out, step, self.ctx)
+        if step["plugin"] == "file_copy":
+            copy = F.struct(
+                F.lit(f.name).alias("field"), F.get(asked, F.lit(0)).alias("from"), F.col(out).alias("to"),
+                F.get(asked, F.lit(1)).alias("wanted"), F.lit(bool(step.get("move"))).alias("move"),
+            )
+            name = f"_copy{f.at}_{f.cursor}"
+            self.df = self.df.withColumn(name, F.when(F.col(out).isNotNull(), copy))
+            f.copies.append(name)
         self.df = self.df.withColumn(f.column, self._guarded(f, F.col(out))).drop(asked, out)
         f.value, f.stored = F.col(f.column), True
         f.cursor += 1
@@ -286,7 +298,7 @@ class MappingPlan:
             own = self.df.filter(first_halt(self.fields).isNull()).select(source_col(self.ctx.key).alias("src_key"))
         ctx = dataclasses.replace(self.ctx, key=_ELEMENT_KEY, own=own)
         done = compile_mapping(parts, children, ctx, ["_row_key", "_at"])
-        values = [c for c in done.columns if c not in ("_row_key", "_at", STATUS, MESSAGES, STUBS)]
+        values = [c for c in done.columns if c not in ("_row_key", "_at", *REPORT)]
         # The message of the end is the last of the element's, if it has one; the row tells it as its own.
         said_end = F.element_at(F.concat(F.array(F.lit("")), F.transform(MESSAGES, lambda m: m["text"])), -1)
         ended = F.when(F.col(STATUS) != IMPORTED, F.struct(F.col(STATUS).alias("status"), said_end.alias("text")))
@@ -393,7 +405,7 @@ class MappingPlan:
         if self.ended is None:
             return result
         ended = self._result(self.ended, self.fields[: self.split_at], keep, scratch)
-        values = [c for c in ended.columns if c not in (*keep, STATUS, MESSAGES, STUBS)]
+        values = [c for c in ended.columns if c not in (*keep, *REPORT)]
         return result.unionByName(ended.drop(*values), allowMissingColumns=True)
 
     def _set_ended_aside(self) -> None:
@@ -449,12 +461,15 @@ class MappingPlan:
         stubs = [F.col(name) for f in fields for name in f.stubs]
         stubs = F.array_compact(F.array(*stubs)) if stubs else F.array()
         stubs = _before(stubs, [F.col(name) for f in fields for name in f.many_stubs], _STUB_TYPE)
+        copies = [F.col(name) for f in fields for name in f.copies]
+        copies = F.array_compact(F.array(*copies)) if copies else F.array()
         return df.select(
             *[source_col(k) for k in keep],
             *destinations(fields, scratch),
             F.coalesce(end["status"], F.lit(IMPORTED)).alias(STATUS),
             messages.cast("array<struct<level:string,text:string>>").alias(MESSAGES),
             stubs.cast(f"array<{_STUB_TYPE}>").alias(STUBS),
+            copies.cast(f"array<{COPY_TYPE}>").alias(COPIES),
         )
 
 
@@ -619,8 +634,8 @@ def compile_mapping(
 ) -> DataFrame:
     """Rows of ``df`` through the pipelines of ``mapping``.
 
-    The result has the ``keep`` columns, the destinations, the row's status, its messages and the
-    placeholder rows it asks for. Rows that are ignored or failed stay, told apart by their status.
+    The result has the ``keep`` columns, the destinations, the row's status, its messages, the
+    placeholder rows it asks for and the copies it plans. Rows that are ignored or failed stay, told apart by their status.
     """
     return MappingPlan(df, mapping, ctx or S.Context()).run(keep, scratch)
 
@@ -642,6 +657,11 @@ def asks_for_stubs(mapping: Mapping) -> bool:
     return any(s["plugin"] == "migration_lookup" and not s.get("no_stub") for s in _all_steps(mapping))
 
 
+def plans_copies(mapping: Mapping) -> bool:
+    """Does the mapping plan copies of files?"""
+    return any(s["plugin"] == "file_copy" for s in _all_steps(mapping))
+
+
 def may_end(step: dict) -> bool:
     """May a step end its row?"""
     if step["plugin"] in ("get", "log", "migration_lookup", *NESTED_STEPS):
@@ -667,7 +687,7 @@ def ends_after_own(mapping: Mapping, migration: str) -> bool:
 
 def accepted(rows: DataFrame) -> DataFrame:
     """The rows that go to the target."""
-    return rows.filter(F.col(STATUS) == IMPORTED).drop(STATUS, MESSAGES, STUBS)
+    return rows.filter(F.col(STATUS) == IMPORTED).drop(*REPORT)
 
 
 def messages_of(rows: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -14,9 +14,20 @@ from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, source_col, target_id
 from tabweave.operators import state
 from tabweave.operators.routing import default_bundle
-from tabweave.plans.compiler import MESSAGES, STATUS, STUBS, asks_for_stubs, compile_mapping, ends_after_own
+from tabweave.plans.compiler import (
+    COPIES,
+    MESSAGES,
+    REPORT,
+    STATUS,
+    STUBS,
+    asks_for_stubs,
+    compile_mapping,
+    ends_after_own,
+    plans_copies,
+)
 from tabweave.plans.ordering import levels_of
 from tabweave.plans.store import ID_MAP, Store
+from tabweave.plans.store import COPIES as COPY_ROWS
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
 from tabweave.sources.delimited import with_keys
 
@@ -116,6 +127,7 @@ def _context(store: Store, group: Group, job: Job, options: Options) -> Context:
         targets=targets,
         files=group.files,
         stub_jobs=[other.name for other in group.jobs],
+        copies=store.all_rows("copies", COPY_ROWS) if plans_copies(job.mapping) and store.exists(f"{store.root}/copies") else None,
         **extra,
     )
 
@@ -167,7 +179,7 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         before, imported = imported, context.own.count()
         if imported == before:
             break
-    values = [c for c in result.columns if c not in ("src_key", "row_hash", STATUS, MESSAGES, STUBS)]
+    values = [c for c in result.columns if c not in ("src_key", "row_hash", *REPORT)]
     if "bundle" in values and job.default_bundle:
         result = result.withColumn("bundle", default_bundle(F.col("bundle"), job.default_bundle))
     elif job.default_bundle:
@@ -222,6 +234,13 @@ def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -
     if store.has("messages", job.name):
         said = said.unionByName(store.messages(job.name).join(rows.select("src_key"), "src_key", "left_anti"))
     store.replace("messages", job.name, said.select(*MESSAGE_ROWS.names))
+    if plans_copies(job.mapping):
+        planned = rows.filter(F.col(STATUS) == IMPORTED).select("src_key", F.explode(COPIES).alias("_c")).select("src_key", "_c.*")
+        if store.has("copies", job.name):
+            # A row that is no longer imported keeps its file like its target.
+            again = rows.filter(F.col(STATUS) == IMPORTED).select("src_key")
+            planned = planned.unionByName(store.copies(job.name).join(again, "src_key", "left_anti"))
+        store.replace("copies", job.name, planned.select(*COPY_ROWS.names))
     # The id map comes last: what it does not name yet is imported again by a repeated run.
     store.replace("id_map", job.name, entries if kept is None else entries.unionByName(kept))
 
@@ -271,7 +290,10 @@ def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
     if target is not None:
         doomed = gone.select(F.col("dest_id").alias("id"))
         store.replace(table, job.name, target.join(doomed, "id", "left_anti"))
-    store.replace("messages", job.name, store.messages(job.name).join(gone.select("src_key"), "src_key", "left_anti"))
+    for rows, schema in (("messages", MESSAGE_ROWS), ("copies", COPY_ROWS)):
+        if store.has(rows, job.name):
+            kept = store.read(rows, job.name, schema).join(gone.select("src_key"), "src_key", "left_anti")
+            store.replace(rows, job.name, kept)
     store.replace("id_map", job.name, known.join(gone.select("src_key"), "src_key", "left_anti"))
     store.discard(path)
 
@@ -324,7 +346,10 @@ def rollback_job(store: Store, job: Job, statuses: Sequence[str] | str | None =
     rows.write.parquet(fresh_rows)
     entries.select(*ID_MAP.names).write.parquet(fresh_map)
     left = store.spark.read.schema(ID_MAP).parquet(fresh_map)
-    store.replace("messages", job.name, store.messages(job.name).join(left.select("src_key"), "src_key", "left_semi"))
+    for kept, schema in (("messages", MESSAGE_ROWS), ("copies", COPY_ROWS)):
+        if kept == "messages" or store.has(kept, job.name):
+            said = store.read(kept, job.name, schema).join(left.select("src_key"), "src_key", "left_semi")
+            store.replace(kept, job.name, said)
     store.swap(fresh_rows, store.folder(table, job.name))
     store.swap(fresh_map, store.folder("id_map", job.name))
 
@@ -343,9 +368,10 @@ def rollback_group(
 
 
 def forget_group(store: Store, group: Group) -> None:
-    """A deactivated or deleted request: its map and message tables go, the targets stay."""
+    """A deactivated or deleted request: its map, message and copy tables go, the targets stay."""
     for job in group.jobs:
         store.remove("id_map", job.name)
         store.remove("messages", job.name)
+        store.remove("copies", job.name)
 
 

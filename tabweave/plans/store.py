@@ -15,10 +15,11 @@ from tabweave.sources.delimited import text_schema
 
 ID_MAP = text_schema(["src_key", "dest_id", "status", "rollback_action", "row_hash"])
 MESSAGES = text_schema(["src_key", "level", "text"])
+COPIES = text_schema(["src_key", "field", "from", "to", "wanted"]).add("move", T.BooleanType())
 
 
 class Store:
-    """Tables ``id_map``, ``messages`` and ``targets`` below a folder that all executors reach."""
+    """Tables ``id_map``, ``messages``, ``copies`` and ``targets`` below a folder that all executors reach."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -95,6 +96,10 @@ class Store:
     def messages(self, migration: str) -> DataFrame:
         return self.read("messages", migration, MESSAGES)
 
+    def copies(self, migration: str) -> DataFrame:
+        """The job's copy manifest: where from, where to, the name asked for, and whether the source goes away."""
+        return self.read("copies", migration, COPIES)
+
     def all_rows(self, table: str, schema: T.StructType) -> DataFrame:
         """The table of all jobs, with the job as partition column ``migration``.
 

@@ -117,6 +117,22 @@ def ingest_references(spark, sf):
     return found.select(F.col("key").cast("bigint").alias("key"), F.col("parent_key").cast("bigint").alias("parent_key"), F.col("other").isNull().alias("other_is_empty"))
 
 
+def ingest_files_incremental(spark, sf):
+    """Scans of pages whose names clash: an import of some pages, then of all, after which no name is given twice."""
+    lang = F.regexp_extract("url", "/(de|en|es|fr)/", 1)
+    pages = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("ID"), "url", F.concat(F.lit("bin/"), lang, F.lit(".html")).alias("To"))
+    mapping = {"uri": [{"plugin": "file_copy", "source": ["url", "To"], "move": True}]}
+    job = Job("file", mapping, "file", {"ID": "integer"})
+    root = scratch_path(spark, "files")
+    delete_on_exit(spark, root)
+    store = Store(spark, root)
+    for sheet in (pages.filter("CAST(ID AS BIGINT) % 3 = 0"), pages):
+        import_group(store, Group([job], sheet))
+    found = store.copies("file").join(store.id_map("file").select("src_key", "dest_id"), "src_key")
+    rows = found.join(store.read("targets/file", "file").select(F.col("id").alias("dest_id"), "uri"), "dest_id")
+    return rows.select(F.col("src_key").cast("bigint").alias("page_id"), F.col("from").alias("copy_from"), F.col("to").alias("copy_to"), "uri", "move")
+
+
 _CODE = "CASE {} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODES.items()) + " ELSE {} END"
 _PRIORITY = _CODE.format("o_orderpriority", "'-'")
 _BOTH = _CODE.format("o_orderstatus", "o_orderstatus") + " || '|' || " + _CODE.format("o_orderpriority", "o_orderpriority")
@@ -144,6 +160,13 @@ QUERIES = {
         """SELECT CAST(o_orderkey AS VARCHAR) AS key, coalesce(a.c_name, 'none') || ',' || coalesce(b.c_name, 'none') AS names
            FROM orders LEFT JOIN customer a ON a.c_custkey = o_custkey LEFT JOIN customer b ON b.c_custkey = o_orderkey""",
     ),
+    "ingest_files_incremental": (
+        ingest_files_incremental,
+        """WITH p AS (SELECT page_id, url, regexp_extract(url, '/(de|en|es|fr)/', 1) AS lang FROM pages),
+                n AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY page_id % 3 <> 0, page_id) - 1 AS nth FROM p),
+                t AS (SELECT *, 'bin/' || lang || CASE WHEN nth > 0 THEN '_' || nth ELSE '' END || '.html' AS copy_to FROM n)
+           SELECT page_id, url AS copy_from, copy_to, copy_to AS uri, true AS move FROM t""",
+    ),
     "ingest_references": (
         ingest_references,
         """WITH RECURSIVE p AS (

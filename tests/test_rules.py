@@ -193,3 +193,23 @@ def test_headers_of_any_width_and_of_several_files(spark, tmp_path):
     book = spark.createDataFrame(rows, "file string, sheet string, row_idx long, col_idx int, value string")
     with pytest.raises(ValueError, match="different headers"):
         select_worksheet(book, "s")
+
+
+def test_file_names_stay_unique_over_imports(spark, store):
+    mapping = {"uri": [{"plugin": "file_copy", "source": ["Ref", "Title"], "move": True}]}
+    job = Job("file", mapping, "file", KEYS)
+
+    def run(rows):
+        import_group(store, Group([job], cells(spark, rows)))
+        return {r.src_key: (r["from"], r.to, r.move) for r in store.copies("file").collect()}
+
+    first = run([("1", "x", "d/a.png"), ("2", "y", "d/a.png"), ("3", "z", "d/a_1.png"), ("4", "w", "d/a.png")])
+    assert {k: v[1] for k, v in first.items()} == {"1": "d/a.png", "2": "d/a_2.png", "3": "d/a_1.png", "4": "d/a_3.png"}
+    second = run([("1", "x", "d/a.png"), ("2", "new", "d/a.png"), ("3", "z", "d/b.png"), ("5", "v", "d/a.png"), ("6", "u", "d/a_2.png")])
+    assert second["1"] == first["1"] and second["2"] == ("new", "d/a_2.png", True) and second["4"] == first["4"]
+    assert (second["3"][1], second["5"][1], second["6"][1]) == ("d/b.png", "d/a_4.png", "d/a_2_1.png")
+    assert len({v[1] for v in second.values()}) == len(second)
+    rows = store.read("targets/file", "file").join(store.id_map("file"), F.col("id") == F.col("dest_id")).collect()
+    assert {r.src_key: r.uri for r in rows} == {k: v[1] for k, v in second.items()}
+    rollback_job(store, job)
+    assert store.copies("file").count() == 0
