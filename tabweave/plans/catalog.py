@@ -7,6 +7,7 @@ and ``requests(id, label, active, file, sheet, original_mapping, owner)``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -190,6 +191,24 @@ class Permissions:
     admin: str
 
 
+def job_mapping(steps: DataFrame, migration: str) -> dict[str, list[dict]]:
+    """The mapping of one job from catalog rows ``(migration, dest, weight, pos, plugin, sources, options)``.
+
+    Destinations come by weight, their steps by ``pos``. ``options`` maps names to JSON texts; one source is a name,
+    several are a list. The rows of one job, a few for each of its fields, come to the driver.
+    """
+    rows = steps.filter(F.col("migration") == migration)
+    mapping: dict[str, list[dict]] = {}
+    for row in sorted(rows.collect(), key=lambda r: (r.weight, r.dest, r.pos)):
+        step = {"plugin": row.plugin, **{k: json.loads(v) for k, v in (row.options or {}).items()}}
+        if row.sources:
+            step["source"] = row.sources[0] if len(row.sources) == 1 else list(row.sources)
+        mapping.setdefault(row.dest, []).append(step)
+    if not mapping:
+        raise ValueError(f"The catalog has no steps of {migration}")
+    return mapping
+
+
 def derived_access(items: DataFrame, user: Column) -> DataFrame:
     """Derived groups or migrations ``(tags, owner)`` the user owns."""
     derived = F.coalesce(F.array_contains("tags", DERIVED_TAG), F.lit(False))

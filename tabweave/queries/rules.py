@@ -6,12 +6,14 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tabweave.functions.steps import Context
+from tabweave.functions.steps import Context, register_step
+from tabweave.plans.catalog import job_mapping
 from tabweave.plans.compiler import accepted, compile_mapping
-from tabweave.plans.ingest import Group, Job, Options, import_group
-from tabweave.plans.store import Store
+from tabweave.plans.ingest import Group, Job, Options, forget_group, import_group, rollback_group
+from tabweave.plans.store import ID_MAP, Store
 from tabweave.queries.steps import RUN_TS
 from tabweave.session import delete_on_exit, scratch_path
+from tabweave.sources.delimited import read_sheet
 from tabweave.sources.tables import table
 
 CODES = {"1-URGENT": "u", "2-HIGH": "h", "3-MEDIUM": "m", "O": "open", "F": "done"}
@@ -133,6 +135,80 @@ def ingest_files_incremental(spark, sf):
     return rows.select(F.col("src_key").cast("bigint").alias("page_id"), F.col("from").alias("copy_from"), F.col("to").alias("copy_to"), "uri", "move")
 
 
+def sheet_numbered(spark, sf):
+    """Orders as sheets of many rows, read with their row numbers: the header of each file is row 1."""
+    path = scratch_path(spark, "numbered")
+    delete_on_exit(spark, path)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 16).alias("bucket"))
+    sheets = orders.repartition(F.col("bucket")).sortWithinPartitions("bucket", "o_orderkey")
+    sheets.write.partitionBy("bucket").csv(path, header=True)
+    rows = read_sheet(spark, f"{path}/*", header_row=1, row_index_column="row")
+    return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", "row")
+
+
+def _initials(value, dtype, cfg, ctx):
+    return F.concat(F.lit(cfg.get("before", "")), F.substring(value, 1, 1))
+
+
+def step_registered(spark, sf):
+    """A step of the user's own among those of the library."""
+    register_step("initials", _initials)
+    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    mapping = {
+        "one": [{"plugin": "get", "source": "c_mktsegment"}, {"plugin": "initials", "before": "~"}],
+        "two": [{"plugin": "get", "source": ["c_mktsegment", "c_name"]}, {"plugin": "initials"}, {"plugin": "concat", "delimiter": "."}],
+    }
+    return accepted(compile_mapping(rows, mapping, Context(run_ts=RUN_TS), ["c_custkey"]))
+
+
+def _segments(spark, sf):
+    named = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("ID"), "c_name", "c_mktsegment")
+    return named.withColumn("c_mktsegment", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")))
+
+
+_CATALOG = [
+    ("base", "kind", 1, 0, "get", ["c_mktsegment"], None),
+    ("base", "kind", 1, 1, "skip_on_empty", None, {"method": '"row"', "message": '"no segment"'}),
+    ("base", "title", 0, 0, "get", ["c_name"], None),
+    ("child", "base", 0, 0, "get", ["ID"], None),
+    ("child", "base", 0, 1, "migration_lookup", None, {"migration": '"base"', "no_stub": "true"}),
+    ("child", "label", 1, 0, "concat", ["c_mktsegment", "c_name"], {"delimiter": '"/"'}),
+]
+_CATALOG_SCHEMA = "migration string, dest string, weight int, pos int, plugin string, sources array<string>, options map<string,string>"
+
+
+def _catalog_group(spark, sf):
+    steps = spark.createDataFrame(_CATALOG, _CATALOG_SCHEMA)
+    jobs = [
+        Job("base", job_mapping(steps, "base"), "node", {"ID": "integer"}),
+        Job("child", job_mapping(steps, "child"), "media", {"ID": "integer"}, requires=["base"]),
+    ]
+    root = scratch_path(spark, "catalog")
+    delete_on_exit(spark, root)
+    return Store(spark, root), Group(jobs, _segments(spark, sf))
+
+
+def ingest_from_catalog(spark, sf):
+    """Jobs made from catalog rows, imported."""
+    store, group = _catalog_group(spark, sf)
+    import_group(store, group)
+    known = store.id_map("child").join(store.read("targets/media", "child"), F.col("dest_id") == F.col("id"))
+    titles = store.read("targets/node", "base").select(F.col("id").alias("base"), "title")
+    return known.join(titles, "base", "left").select(F.col("src_key").cast("bigint").alias("key"), "label", "title")
+
+
+def ingest_rollback_group(spark, sf):
+    """Import two jobs, undo what was ignored in both, and forget the first: the map rows that are left."""
+    store, group = _catalog_group(spark, sf)
+    import_group(store, group)
+    rollback_group(store, group, "ignored")
+    forget_group(store, Group(group.jobs[:1], group.sheet))
+    left = store.all_rows("id_map", ID_MAP).groupBy("migration", "status").agg(F.count(F.lit(1)).alias("n"))
+    targets = [store.read(f"targets/{j.target}", j.name).agg(F.count(F.lit(1)).alias("n")) for j in group.jobs]
+    kept = [t.select(F.lit(j.name).alias("migration"), F.lit("target").alias("status"), "n") for t, j in zip(targets, group.jobs, strict=True)]
+    return left.unionByName(kept[0]).unionByName(kept[1])
+
+
 _CODE = "CASE {} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODES.items()) + " ELSE {} END"
 _PRIORITY = _CODE.format("o_orderpriority", "'-'")
 _BOTH = _CODE.format("o_orderstatus", "o_orderstatus") + " || '|' || " + _CODE.format("o_orderpriority", "o_orderpriority")
@@ -160,6 +236,25 @@ QUERIES = {
         """SELECT CAST(o_orderkey AS VARCHAR) AS key, coalesce(a.c_name, 'none') || ',' || coalesce(b.c_name, 'none') AS names
            FROM orders LEFT JOIN customer a ON a.c_custkey = o_custkey LEFT JOIN customer b ON b.c_custkey = o_orderkey""",
     ),
+    "sheet_numbered": (
+        sheet_numbered,
+        """SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) + 1 AS row FROM orders""",
+    ),
+    "step_registered": (
+        step_registered,
+        "SELECT c_custkey, '~' || c_mktsegment[1] AS one, c_mktsegment[1] || '.' || c_name[1] AS two FROM customer",
+    ),
+    "ingest_from_catalog": (
+        ingest_from_catalog,
+        """SELECT c_custkey AS key, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END || '/' || c_name AS label,
+                  CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS title FROM customer""",
+    ),
+    "ingest_rollback_group": (
+        ingest_rollback_group,
+        """SELECT 'child' AS migration, 'imported' AS status, count(*) AS n FROM customer
+           UNION ALL SELECT 'child', 'target', count(*) FROM customer
+           UNION ALL SELECT 'base', 'target', count(*) FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+    ),
     "ingest_files_incremental": (
         ingest_files_incremental,
         """WITH p AS (SELECT page_id, url, regexp_extract(url, '/(de|en|es|fr)/', 1) AS lang FROM pages),
