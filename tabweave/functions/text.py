@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,6 +98,11 @@ def source_col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bound(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)``, with the value written once in the plan however often ``build`` uses it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def is_empty(value: Column, dtype: T.DataType) -> Column:
     """The one meaning of empty: NULL, '' or a list without elements."""
     if isinstance(dtype, T.StringType):
@@ -195,15 +200,18 @@ def two_level_split(
 
 def encode_path(value: Column) -> Column:
     """Percent-encode each path segment; the scheme and the slashes stay."""
-    scheme = F.regexp_extract(value, r"^[A-Za-z][A-Za-z0-9+.\-]*:(?=/)", 0)
-    rest = F.substring(value, F.length(scheme) + F.lit(1), F.length(value))
 
     def segment(text: Column) -> Column:
         text = F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
         text = F.replace(text, F.lit("*"), F.lit("%2A"))
         return F.replace(text, F.lit("%7E"), F.lit("~"))
 
-    return F.concat(scheme, F.array_join(F.transform(F.split(rest, "/", -1), segment), "/"))
+    def encoded(path: Column) -> Column:
+        scheme = F.regexp_extract(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(?=/)", 0)
+        rest = F.substring(path, F.length(scheme) + F.lit(1), F.length(path))
+        return F.concat(scheme, F.array_join(F.transform(F.split(rest, "/", -1), segment), "/"))
+
+    return bound(value, encoded)
 
 
 def basename(value: Column) -> Column:

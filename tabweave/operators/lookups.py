@@ -1,7 +1,8 @@
 """Lookups: every dimension is reduced to one row per key, then joined from the left.
 
-No side is hinted for broadcast here, since entity tables and id maps grow with the data: Spark
-broadcasts a side it knows to be small, and adaptive execution splits the hot keys of a large left side.
+Id maps grow with the data, so they are not hinted for broadcast: Spark broadcasts a side it knows to be small,
+and adaptive execution splits the hot keys of a large left side. Vocabularies are counted first, and broadcast
+if they are within the bound.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.text import key_text, source_col, target_id
+from tabweave.session import BROADCAST_ROWS, bounded_broadcast
 
 _KEY, _HIT = "_lookup_key", "_lookup_hit"
 
@@ -67,6 +69,9 @@ def entity_lookup(
     """
     fold = F.lower if ignore_case else (lambda c: c)
     dimension = one_per_key(entities, fold(F.col("value")), F.col("id"))
+    # A vocabulary is counted, up to the bound, so that a small one costs no shuffle of the rows.
+    rows = dimension.limit(BROADCAST_ROWS + 1).count()
+    dimension = bounded_broadcast(dimension, rows)
     if df.schema[value].dataType.typeName() != "array":
         spread = source_col(row_key) if row_key else None
         return left_lookup(df, fold(source_col(value)), dimension, out, spread)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tabweave.constants import FAILED, IMPORTED, KEY_SEPARATOR
 from tabweave.functions import steps as S
-from tabweave.functions.text import is_empty, source_col, target_id
+from tabweave.functions.text import bound, is_empty, source_col, target_id
 from tabweave.operators import lookups
 from tabweave.operators.multivalue import explode_values
 
@@ -531,6 +531,25 @@ def check_elements(found: S.Step, value: Column, dtype: T.DataType, step: dict,
     )
 
 
+def bound_step(found: S.Step, value: Column | None, dtype: T.DataType | None, step: dict, ctx: S.Context):
+    """A step over a value that is written once for each part of the result, so that chains grow in proportion."""
+    if value is None:
+        return found.build(value, dtype, step, ctx)
+
+    def run(v: Column):
+        if isinstance(dtype, T.ArrayType) and not found.whole_list:
+            if found.kind(step) == S.CHECK:
+                return check_elements(found, v, dtype.elementType, step, ctx)
+            return F.transform(v, lambda e: found.build(e, dtype.elementType, step, ctx))
+        return found.build(v, dtype, step, ctx)
+
+    probe = run(F.lit(None).cast(dtype))
+    if not isinstance(probe, S.StepResult):
+        return bound(value, run)
+    parts = {p: bound(value, lambda v, p=p: getattr(run(v), p)) for p in ("value", "halt", "stop", "log") if getattr(probe, p) is not None}
+    return S.StepResult(**parts)
+
+
 def _child(element: Column, dtype: T.DataType, name: str, done: Mapping[str, Column]) -> Column:
     if name.startswith("@"):
         if name[1:] not in done:
@@ -582,13 +601,7 @@ def nested(value: Column, dtype: T.DataType, step: dict, ctx: S.Context) -> S.St
                     if found.kind(s) == S.FRAME:
                         raise ValueError(f"{s['plugin']} cannot run inside a nested pipeline")
                     kind = None if current is None else type_of(current)
-                    if isinstance(kind, T.ArrayType) and not found.whole_list:
-                        if found.kind(s) == S.CHECK:
-                            result = check_elements(found, current, kind.elementType, s, ctx)
-                        else:
-                            result = F.transform(current, lambda e, f=found, s=s, k=kind: f.build(e, k.elementType, s, ctx))
-                    else:
-                        result = found.build(current, kind, s, ctx)
+                    result = bound_step(found, current, kind, s, ctx)
                     if not isinstance(result, S.StepResult):
                         result = S.StepResult(result)
                     if result.halt is not None:

@@ -165,6 +165,12 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         update=options.update or not store.has("id_map", job.name),
         limit=options.limit,
     )
+    compared = None
+    if store.has("id_map", job.name):
+        # What is to be imported again is read several times; the comparison with the id map runs once.
+        compared = store.staging(f"{job.name}-todo")
+        todo.write.parquet(compared)
+        todo = store.spark.read.schema(todo.schema).parquet(compared)
     context = _context(store, group, job, options)
     good, imported = todo.filter(F.col(_ERROR).isNull()), None
     while True:
@@ -203,6 +209,8 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     if ORPHANS_TAG in job.tags:
         remove_orphans(store, job, sheet)
     store.discard(staged)
+    if compared is not None:
+        store.discard(compared)
 
 
 def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -> None:

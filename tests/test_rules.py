@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabweave.functions import text as X
 from tabweave.functions.steps import Context
+from tabweave.operators.lookups import entity_lookup
 from tabweave.plans.compiler import MESSAGES, STATUS, compile_mapping
 from tabweave.plans.ingest import Group, Job, Options, import_group, import_job, rollback_job
 from tabweave.plans.store import ID_MAP, Store
@@ -213,3 +214,40 @@ def test_file_names_stay_unique_over_imports(spark, store):
     assert {r.src_key: r.uri for r in rows} == {k: v[1] for k, v in second.items()}
     rollback_job(store, job)
     assert store.copies("file").count() == 0
+
+
+def plan_size(df):
+    return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_plans_grow_in_proportion(spark):
+    df = spark.createDataFrame([("x", "a b|c")], "src_key string, cell string")
+    explode = {"plugin": "subdelimited_explode", "delimiter": ";", "subdelimiter": "|", "keys": ["a", "b"]}
+
+    def nested(n):
+        steps = [{"plugin": "get", "source": "a"}] + [{"plugin": "default_value", "default_value": str(i + 1)} for i in range(n)]
+        mapping = {"_p": [{"plugin": "get", "source": "cell"}, explode], "out": [{"plugin": "get", "source": "@_p"}, {"plugin": "sub_process", "process": {"v": steps}}]}
+        return compile_mapping(df, mapping, Context(), ["src_key"])
+
+    def encoded(n):
+        return compile_mapping(df, {"v": [{"plugin": "get", "source": "cell"}] + [{"plugin": "urlencode"}] * n}, Context(), ["src_key"])
+
+    for chain in (nested, encoded):
+        sizes = [plan_size(chain(n)) for n in (4, 8, 16)]
+        assert sizes[2] - sizes[1] < 3 * (sizes[1] - sizes[0])
+        chain(16).collect()
+    assert nested(16).first().out[0].v == "a b"
+
+
+def test_small_vocabularies_do_not_shuffle_the_rows(spark):
+    terms = spark.createDataFrame([(f"T{i}", i) for i in range(25)], "value string, id int")
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("src_key"), F.concat(F.lit("t"), F.col("id") % 26).alias("term"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = entity_lookup(rows, "term", terms, "hit", ignore_case=True, row_key="src_key")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r.hit for r in found.collect()} == {*range(25), None}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
