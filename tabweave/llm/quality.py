@@ -8,6 +8,7 @@ nearest labelled texts, each weighted by its cosine.
 
 from __future__ import annotations
 
+import operator
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ for _b in range(256):
         5 if _c in "\r\n" else 6 if _c in ".,;:?'\"()-" else 7 if 32 < _b < 127 else 0
     )
 _PAIRS = 64
-_MARKS = 48
+_MARKS = 64
 TERMS = WORDS + _PAIRS + _MARKS
 # Weight of character pairs and of marks beside that of words.
 _PAIR_WEIGHT, _MARK_WEIGHT = 6.0, 2.0
@@ -46,8 +47,8 @@ def term_vector(text: bytes | None) -> np.ndarray:
     """Term frequencies of a whole text. An empty or null text has marks only."""
     out = np.zeros(TERMS, np.float32)
     text = text or b""
-    words = Counter(text.lower().split())
-    total = sum(words.values())
+    running = text.lower().split()
+    words, total = Counter(running), len(running)
     if words:
         places = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % WORDS
         counts = np.fromiter(words.values(), np.float64, len(words))
@@ -62,6 +63,8 @@ def term_vector(text: bytes | None) -> np.ndarray:
         16 + int(15 * len(words) / max(total, 1)),
         32 + int(7 * len(set(lines)) / max(len(lines), 1)),
         40 + int(7 * max(words.values(), default=0) / max(total, 1)),
+        # Words that stand behind themselves.
+        48 + min(int(60 * sum(map(operator.eq, running, running[1:])) / max(total, 1)), 15),
     )
     for m in marks:
         out[WORDS + _PAIRS + m] = _MARK_WEIGHT
