@@ -217,23 +217,45 @@ def _ranges(unit: np.ndarray, low: np.ndarray, marked: np.ndarray, length: int)
     return unit[at[opens]], low[at[opens]], low[at[closes]] + length
 
 
+def _firsts(values: list[bytes], order: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of equal units of a shard, the one in the first place, with the places of all; and the others.
+
+    Units of equal places, whose documents share a key, are none of them others.
+    """
+    first: dict[bytes, int] = {}
+    kept, later = [], []
+    for i, (value, here) in enumerate(zip(values, zip(order.tolist(), start.tolist(), strict=True), strict=True)):
+        j = first.setdefault(value, i)
+        if j == i:
+            continue
+        there = (int(order[j]), int(start[j]))
+        count[i] = count[j] = count[i] + count[j]
+        if here < there:
+            first[value], i = i, j
+        (kept if here == there else later).append(i)
+    return [*first.values(), *kept], later
+
+
 def _judged(table: pa.Table, scheme: Scheme) -> pa.RecordBatch:
     """Ranges to remove of the units of a shard."""
     values = table.column("symbols").to_pylist()
-    symbols = np.frombuffer(b"".join(values), scheme.kind)
-    sizes = np.array([len(v) for v in values]) // np.dtype(scheme.kind).itemsize
-    keys = table.column("key").combine_chunks()
-    known = keys.fill_null(0).to_numpy()
-    order = np.unique(known, return_inverse=True)[1]
+    keys, hashes = table.column("key").combine_chunks(), table.column("hash").combine_chunks()
+    order = np.unique(keys.fill_null(0).to_numpy(), return_inverse=True)[1]
     order = np.where(keys.is_null().to_numpy(zero_copy_only=False), len(values), order)
-    start, count = table.column("start").to_numpy(), table.column("count").to_numpy()
-    marked = scheme.solver(Units(symbols, sizes, order, start, count), scheme.length)
-    windows = sizes - scheme.length + 1
-    unit = np.repeat(np.arange(len(sizes)), windows)
+    start, count = table.column("start").to_numpy(), table.column("count").to_numpy().copy()
+    firsts, later = _firsts(values, order, start, count)
+    symbols = np.frombuffer(b"".join(values[i] for i in firsts), scheme.kind)
+    every = np.array([len(v) for v in values]) // np.dtype(scheme.kind).itemsize
+    at = np.array(firsts)
+    marked = scheme.solver(Units(symbols, every[at], order[at], start[at], count[at]), scheme.length)
+    windows = every[at] - scheme.length + 1
+    unit = np.repeat(np.arange(len(at)), windows)
     offset = np.arange(len(unit)) - np.repeat(np.cumsum(windows) - windows, windows)
-    owner, low, high = _ranges(unit, start[unit] + offset, marked, scheme.length)
-    columns = [keys.take(pa.array(owner)), table.column("hash").combine_chunks().take(pa.array(owner)), pa.array(low), pa.array(high)]
-    return pa.RecordBatch.from_arrays(columns, _RANGE)
+    owner, low, high = _ranges(unit, start[at][unit] + offset, marked, scheme.length)
+    rest = np.array(later, np.int64)
+    owner = pa.array(np.concatenate([at[owner], rest]))
+    low, high = np.concatenate([low, start[rest]]), np.concatenate([high, start[rest] + every[rest]])
+    return pa.RecordBatch.from_arrays([keys.take(owner), hashes.take(owner), pa.array(low), pa.array(high)], _RANGE)
 
 
 def _shard_end(table: pa.Table, scheme: Scheme) -> int:
