@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.llm.text import free_name, lower_ascii
+from tabweave.session import materialize
 
 # Longest run of characters of the models: a character and the four before it.
 ORDER = 5
@@ -21,8 +22,10 @@ ORDER = 5
 PRIOR = 4.0
 # Runs seen less often are left to shorter ones.
 LEAST = 3
-# Slots of the table by which a scored URL looks up its runs; the more frequent run keeps a slot.
-SLOTS = 1 << 16
+# A run with more than one of so many parts of all places is dealt over several tasks.
+SHARES = 1000
+# Values are added up as whole numbers of this unit, so that sums do not depend on their order.
+UNIT = 1e-9
 # Stands before the first character.
 _START = "\x02"
 
@@ -40,16 +43,6 @@ class Rule:
         return self.host + self.path
 
 
-@dataclass(frozen=True)
-class UrlModel:
-    """What scoring needs: marks and values by slot (texts, or none if a class had no URL), and the threshold."""
-
-    marks: str | None
-    values: str | None
-    threshold: float
-    otherwise: bool
-
-
 def url_parts(df: DataFrame, url: str, host: str, path: str) -> DataFrame:
     """Add host, A-Z in lower case, and path. Both are empty for null and where ``://`` is missing."""
     rest = free_name("_rest", [*df.columns, host, path])
@@ -88,17 +81,18 @@ def _places(chars: Column) -> Column:
     return F.when(F.size(chars) >= ORDER, some).otherwise(F.array().cast("array<int>"))
 
 
-def run_values(labelled: DataFrame, chars: str, allow: str) -> DataFrame:
+def run_values(labelled: DataFrame, chars: str, allow: str, times: str | None = None) -> DataFrame:
     """The models as one table: ``run``, ``seen`` and ``value``, the difference of its log-probabilities.
 
-    All labelled URLs count. The probability of a run's last character is its count after the run's context,
+    All labelled URLs count, each as often as ``times`` tells. The probability of a run's last character is its count after the run's context,
     smoothed towards that of the next shorter run, and at last to 1 / 256.
     """
-    places = labelled.select(chars, allow, F.explode(_places(F.col(chars))).alias("i"))
+    n = F.lit(1) if times is None else F.col(times)
+    places = labelled.select(chars, allow, n.alias("n"), F.explode(_places(F.col(chars))).alias("i"))
     every = F.array(*[_run(F.col(chars), F.col("i"), n) for n in range(1, ORDER + 1)])
-    good = F.sum(F.when(F.col(allow), 1).otherwise(0)).cast("double")
-    bad = F.sum(F.when(F.col(allow), 0).otherwise(1)).cast("double")
-    counts = places.select(allow, F.explode(every).alias("run")).groupBy("run").agg(good.alias("a"), bad.alias("b"))
+    good = F.sum(F.when(F.col(allow), F.col("n")).otherwise(0)).cast("double")
+    bad = F.sum(F.when(F.col(allow), 0).otherwise(F.col("n"))).cast("double")
+    counts = places.select(allow, "n", F.explode(every).alias("run")).groupBy("run").agg(good.alias("a"), bad.alias("b"))
     counts = counts.withColumn("n", F.char_length("run")).withColumn("c", F.expr("substring(run, 1, n - 1)"))
     contexts = counts.groupBy("c").agg(F.sum("a").alias("ca"), F.sum("b").alias("cb"))
     known = counts.join(contexts, "c").select("run", "n", "a", "b", "ca", "cb")
@@ -116,68 +110,83 @@ def run_values(labelled: DataFrame, chars: str, allow: str) -> DataFrame:
     return runs.select("run", "seen", (F.log(chance("a", "ca")) - F.log(chance("b", "cb"))).alias("value"))
 
 
-def _packed(values: DataFrame, least: int) -> tuple[str, str]:
-    """Marks and values by slot; at most ``SLOTS`` rows come to the driver, however many runs there are."""
-    best = values.filter(F.col("seen") >= least).withColumn("slot", F.pmod(F.xxhash64("run"), F.lit(SLOTS)))
-    best = best.groupBy("slot").agg(F.max(F.struct("seen", "run", "value")).alias("best"))
-    marks, numbers = ["0"] * SLOTS, ["0"] * SLOTS
-    for row in best.select("slot", F.hash("best.run").alias("mark"), F.col("best.value").alias("value")).collect():
-        marks[row.slot], numbers[row.slot] = str(row.mark), f"{row.value:.5g}"
-    return ",".join(marks), ",".join(numbers)
-
+def _longest(runs: DataFrame, values: DataFrame) -> DataFrame:
+    """``runs`` with ``units``, the value of the longest end of ``run`` that ``values`` has, or null."""
+    ends = runs.select("run", F.explode(F.expr(f"sequence(1, {ORDER})")).alias("k"))
+    ends = ends.withColumn("end", F.expr(f"substring(run, {ORDER} + 1 - k, k)"))
+    known = values.select(F.col("run").alias("end"), F.round(F.col("value") / UNIT).cast("bigint").alias("units"))
+    best = ends.join(known, "end").groupBy("run").agg(F.max(F.struct("k", "units")).alias("best"))
+    return runs.join(best.select("run", "best.units"), "run", "left")
 
-def _score(chars: Column, marks: str | None, values: str | None) -> Column:
-    """Mean value over the places of a URL, each that of the longest run known there; 0 without characters."""
-    if marks is None:
-        return F.lit(0.0)
-    # Both texts are constants: Spark splits them once, when it plans.
-    by_slot = F.split(F.lit(marks), ",").cast("array<int>"), F.split(F.lit(values), ",").cast("array<double>")
 
-    def value(run: Column) -> Column:
-        slot = F.pmod(F.xxhash64(run), F.lit(SLOTS)).cast("int")
-        return F.when(F.get(by_slot[0], slot) == F.hash(run), F.get(by_slot[1], slot))
+def score_texts(texts: DataFrame, values: DataFrame) -> DataFrame:
+    """``texts``, told apart by ``id``, with ``score``: the mean value over the characters of ``text``, 0 without any.
 
-    def longest(i: Column) -> Column:
-        return F.coalesce(*[value(_run(chars, i, n)) for n in range(ORDER, 0, -1)], F.lit(0.0))
-
-    total = F.aggregate(_places(chars), F.lit(0.0), lambda s, i: s + longest(i))
-    return total / F.greatest(F.size(chars) - (ORDER - 1), F.lit(1))
-
-
-def fit_url_model(labelled: DataFrame, text: str, allow: str, least: int = LEAST) -> UrlModel:
-    """Train both models on all rows of ``labelled`` and set the threshold.
-
-    The threshold lies between the mean scores of the classes, nearer to the one that scatters less. With
-    URLs of one class only there is nothing to compare: all URLs get that class. Without any, all are allowed.
+    Each place has the value of the longest run of ``values`` that ends there. All runs count: they are joined
+    to the places, in which a frequent run goes to as many tasks as its share asks for.
     """
-    chars = labelled.select(_padded(F.col(text)).alias("chars"), F.col(allow).alias("allow")).filter("allow IS NOT NULL")
-    classes = {r.allow for r in chars.select("allow").distinct().collect()}
-    if len(classes) < 2:
-        return UrlModel(None, None, 0.0, classes != {False})
-    marks, values = _packed(run_values(chars, "chars", "allow"), least)
-    scores = chars.select("allow", _score(F.col("chars"), marks, values).alias("s"))
-    stats = scores.groupBy("allow").agg(F.avg("s").alias("mean"), F.stddev_pop("s").alias("spread")).collect()
-    of = {r.allow: r for r in stats}
-    near, far = of[False].spread + 1e-9, of[True].spread + 1e-9
-    return UrlModel(marks, values, (of[False].mean * far + of[True].mean * near) / (near + far), True)
+    chars = texts.select("id", _padded(F.col("text")).alias("chars"))
+    found = F.transform(_places(F.col("chars")), lambda i: _run(F.col("chars"), i, ORDER))
+    places = chars.select("id", F.posexplode(found).alias("i", "run"))
+    runs = materialize(places.groupBy("run").agg(F.count(F.lit(1)).alias("n")), "runs")
+    whole = runs.agg(F.sum("n")).first()[0] or 1
+    runs = runs.select("run", F.ceil(F.col("n") * SHARES / whole).cast("int").alias("parts"))
+    runs = materialize(_longest(runs, values), "values")
+    # Fewer than SHARES rows, however many runs there are.
+    hot = runs.filter("parts > 1").select("run", "parts")
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "i"), F.col("parts"))).cast("int")
+    dealt = places.join(F.broadcast(hot), "run", "left").select("id", "run", part.alias("part"))
+    known = runs.filter("units IS NOT NULL").select("run", "units", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+    sums = dealt.join(known, ["run", "part"]).groupBy("id").agg(F.sum("units").alias("units"))
+    size = F.size(_padded(F.col("text"))) - (ORDER - 1)
+    mean = F.coalesce(F.col("units") * UNIT / F.greatest(size, F.lit(1)), F.lit(0.0))
+    return texts.join(sums, "id", "left").withColumn("score", mean).drop("units")
+
+
+def _threshold(scores: DataFrame) -> float:
+    """Between the mean scores of the classes, nearer to the one that scatters less; ``good`` and ``bad`` are weights."""
+    s = F.col("score")
+    mean = scores.agg(*[(F.sum(F.col(c) * s) / F.sum(c)).alias(c) for c in ("good", "bad")]).first()
+    spread = scores.agg(*[F.sqrt(F.sum(F.col(c) * (s - mean[c]) ** 2) / F.sum(c)).alias(c) for c in ("good", "bad")]).first()
+    near, far = spread["bad"] + 1e-9, spread["good"] + 1e-9
+    return (mean["bad"] * far + mean["good"] * near) / (near + far)
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", least: int = LEAST) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``; columns of these names are replaced.
 
     The models read host and path. URLs with a rule are their examples and keep the rule's verdict; all others
-    are allowed if their score reaches the threshold. A null URL, or one without ``://``, has no characters
-    and scores 0. Repeated URLs count as often as they occur; a table without rows gives none.
+    are allowed if their score reaches the threshold. With examples of one class only there is nothing to
+    compare: all URLs get that class. Without any, all are allowed. A null URL, or one without ``://``, has no
+    characters and scores 0. Repeated URLs count as often as they occur; a table without rows gives none.
+
+    Every distinct URL is scored once, and the scores are joined to the pages; nothing is gathered.
     """
     base = pages.drop(*[c for c in ("host", "path", "rule", "verdict", "score") if c != url])
-    allow, chars = (free_name(x, base.columns) for x in ("_allow", "_chars"))
+    allow, text = (free_name(x, base.columns) for x in ("_allow", "_text"))
     judged = url_parts(base, url, "host", "path")
     name, fits = rule_of(rules, F.col("host"), F.col("path"))
     judged = judged.withColumn("rule", name).withColumn(allow, fits)
-    examples = judged.select(F.concat("host", "path").alias("text"), F.col(allow).alias("allow"))
-    model = fit_url_model(examples, "text", "allow", least)
-    scored = judged.withColumn(chars, _padded(F.concat("host", "path")))
-    scored = scored.withColumn("score", _score(F.col(chars), model.marks, model.values))
-    passed = F.lit(model.otherwise) if model.marks is None else F.col("score") >= F.lit(model.threshold)
+    # Host and path follow from the text, and so do rule and verdict.
+    texts = judged.select(F.concat("host", "path").alias("text"), F.col(allow).alias("allow")).groupBy("text")
+    texts = texts.agg(F.count_if("allow").alias("good"), F.count_if(~F.col("allow")).alias("bad"))
+    texts = materialize(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
+    count = texts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    if not count.good or not count.bad:
+        scored, passed = judged.withColumn("score", F.lit(0.0)), F.lit(bool(count.good) or not count.bad)
+    else:
+        marked = texts.filter("good + bad > 0").select(_padded(F.col("text")).alias("chars"), "good", "bad")
+        examples = marked.select("chars", F.explode(F.expr("array(true, false)")).alias("allow"), "good", "bad")
+        examples = examples.withColumn("n", F.when(F.col("allow"), F.col("good")).otherwise(F.col("bad")))
+        values = run_values(examples.filter("n > 0"), "chars", "allow", "n").filter(F.col("seen") >= least)
+        scores = materialize(score_texts(texts, values), "scores")
+        # No text has a question mark; those that are empty, which may be many, look nothing up.
+        spread = F.concat(F.lit("?"), F.pmod(F.monotonically_increasing_id(), F.lit(1000)).cast("string"))
+        whole = F.concat("host", "path")
+        keyed = judged.withColumn(text, F.when(whole == "", spread).otherwise(whole))
+        of = scores.filter("text <> ''").select(F.col("text").alias(text), F.col("score"))
+        scored = keyed.join(of, text, "left").withColumn("score", F.coalesce("score", F.lit(0.0))).drop(text)
+        passed = F.col("score") >= F.lit(_threshold(scores))
     verdict = F.when(F.coalesce(F.col(allow), passed), F.lit("allow")).otherwise(F.lit("block"))
-    return scored.withColumn("verdict", verdict).drop(allow, chars)
+    columns = [*base.columns, "host", "path", "rule", "score"]
+    return scored.withColumn("verdict", verdict).select(*[F.col(f"`{c}`") for c in columns], "verdict")

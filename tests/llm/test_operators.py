@@ -222,6 +222,39 @@ def test_url_models_are_smoothed_counts(spark):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_url_scores_use_every_run(spark):
+    rng = np.random.default_rng(8)
+    hosts = [("x.com", True), ("y.com", False)]
+    parts = {True: "/fr/", False: "/de/"}
+    texts = [(h + parts[a] + "".join(map(chr, rng.integers(97, 123, 50))), a) for h, a in hosts for _ in range(60)]
+    counts, contexts = (defaultdict(lambda: [0, 0]) for _ in range(2))
+    for text, allow in texts:
+        padded = "\x02" * 4 + text
+        for run in (padded[i - n + 1 : i + 1] for i in range(4, len(padded)) for n in range(1, 6)):
+            counts[run][not allow] += 1
+            contexts[run[:-1]][not allow] += 1
+
+    def chance(run, k):
+        return (counts[run][k] + 4 * chance(run[1:], k)) / (contexts[run[:-1]][k] + 4) if run else 1 / 256
+
+    def score(text):
+        padded, total = "\x02" * 4 + text, 0
+        for i in range(4, len(padded)):
+            run = next((r for r in (padded[i - n + 1 : i + 1] for n in range(5, 0, -1)) if r in counts), None)
+            total += math.log(chance(run, 0) / chance(run, 1)) if run else 0
+        return total / len(text)
+
+    texts += [("z.net/" + "".join(map(chr, rng.integers(97, 123, 50))), None) for _ in range(20)]
+    known = {t: score(t) for t, _ in texts}
+    table = spark.createDataFrame([(i, f"http://{t}") for i, (t, _) in enumerate(texts)], "page_id long, url string")
+    got = urls.filter_urls(table, URL_RULES, least=1).collect()
+    assert len(got) == len(texts) and all(r.score == pytest.approx(known[r.host + r.path], abs=1e-8) for r in got)
+    of = [np.array([known[t] for t, allow in texts if allow is a]) for a in (True, False)]
+    near, far = of[1].std() + 1e-9, of[0].std() + 1e-9
+    threshold = (of[1].mean() * far + of[0].mean() * near) / (near + far)
+    assert all((r.verdict == "allow") == (r.score >= threshold) for r in got if r.rule is None)
+
+
 def test_license_scan(spark):
     scan = licenses.scan_licenses(odd.docs(spark))
     for r in scan.collect():
