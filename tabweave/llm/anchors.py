@@ -56,15 +56,18 @@ class Units:
 class Scheme:
     """What is searched: windows of ``length`` symbols, anchors of ``gram`` (a power of 2), a shard's solver.
 
-    ``symbols`` turns a text into an array, ``kind`` is the type in which units store it. The solver gets units
-    and tells for each of their windows, unit by unit, whether it is to be removed. ``chunk`` is the number of
-    symbols at which a shard is closed; a shard never splits an anchor.
+    ``symbols`` turns a text into an array, by which equal windows meet; it may have equal numbers for different
+    symbols. ``pieces`` gives a function that cuts symbols out of a text as bytes, ``loaded`` turns such bytes into
+    symbols end to end and their number by unit, exactly. The solver gets units and tells for each of their
+    windows, unit by unit, whether it is to be removed. ``chunk`` is the number of bytes at which a shard is
+    closed; a shard never splits an anchor.
     """
 
     length: int
     gram: int
     symbols: Callable[[bytes], np.ndarray]
-    kind: type
+    pieces: Callable[[bytes], Callable[[int, int], bytes]]
+    loaded: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     solver: Callable[[Units, int], np.ndarray]
     chunk: int
 
@@ -178,10 +181,10 @@ def _cut(rows: DataFrame, scheme: Scheme, bits) -> DataFrame:
                 kept = _in_map(bits.value, anchors[start])
                 if not kept.any():
                     continue
-                stored, digest = symbols.astype(scheme.kind), _signed(xxhash.xxh64_intdigest(text, 42))
+                piece, digest = scheme.pieces(text), _signed(xxhash.xxh64_intdigest(text, 42))
                 names = anchors[start[kept]].view(np.int64).tolist()
                 for anchor, s, n in zip(names, start[kept].tolist(), windows[kept].tolist(), strict=True):
-                    unit = stored[s : s + n + scheme.length - 1].tobytes()
+                    unit = piece(s, s + n + scheme.length - 1)
                     new = [anchor, key, digest, s, n, 1, unit]
                     old = first.setdefault(unit, new)
                     if old is new:
@@ -244,10 +247,10 @@ def _judged(table: pa.Table, scheme: Scheme) -> pa.RecordBatch:
     order = np.where(keys.is_null().to_numpy(zero_copy_only=False), len(values), order)
     start, count = table.column("start").to_numpy(), table.column("count").to_numpy().copy()
     firsts, later = _firsts(values, order, start, count)
-    symbols = np.frombuffer(b"".join(values[i] for i in firsts), scheme.kind)
-    every = np.array([len(v) for v in values]) // np.dtype(scheme.kind).itemsize
+    symbols, sizes = scheme.loaded([values[i] for i in firsts])
+    every = table.column("windows").to_numpy() + scheme.length - 1
     at = np.array(firsts)
-    marked = scheme.solver(Units(symbols, every[at], order[at], start[at], count[at]), scheme.length)
+    marked = scheme.solver(Units(symbols, sizes, order[at], start[at], count[at]), scheme.length)
     windows = every[at] - scheme.length + 1
     unit = np.repeat(np.arange(len(at)), windows)
     offset = np.arange(len(unit)) - np.repeat(np.cumsum(windows) - windows, windows)

@@ -9,6 +9,9 @@ statistics are thus known up to the window's length, which is the threshold.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -17,20 +20,36 @@ from tabweave.llm.anchors import Scheme, Units, remove_repeated
 
 LENGTH = 20
 GRAM = 8
-# Bytes of word codes (4 each) at which a shard is closed.
-CHUNK = 4 << 20
+# Bytes of words at which a shard is closed.
+CHUNK = 8 << 20
 
 
 def word_codes(text: bytes) -> np.ndarray:
     """32-bit hashes of the words, unchanged, parted by ASCII white space.
 
-    Two windows are taken for one if all their words have equal hashes: for windows that differ in a single word
-    this happens once in 4 billion, for others practically never.
+    They only bring equal windows together; windows are compared by their words, see :func:`numbered_words`.
     """
     words = text.split()
     return np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words))
 
 
+def word_pieces(text: bytes) -> Callable[[int, int], bytes]:
+    """A function that gives the words from one place to before another, joined by spaces."""
+    words = text.split()
+    return lambda low, high: b" ".join(words[low:high])
+
+
+def numbered_words(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of all units, end to end, equal for equal words only, and the words of each unit."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    found = []
+    for unit in units:
+        words = unit.split()
+        found.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+    return np.concatenate(found), np.array([len(f) for f in found])
+
+
 def _ranks(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Dense ranks from 1 of pairs of ranks, and the order of the pairs."""
     pairs = first.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64)
@@ -150,7 +169,7 @@ def repeated_windows(units: Units, length: int) -> np.ndarray:
     return first[begins[unit] + offset] < place
 
 
-SCHEME = Scheme(LENGTH, GRAM, word_codes, np.uint32, repeated_windows, CHUNK)
+SCHEME = Scheme(LENGTH, GRAM, word_codes, word_pieces, numbered_words, repeated_windows, CHUNK)
 
 
 def _kept_words(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, bytes]:

@@ -8,6 +8,8 @@ neighbours, and neighbours are compared over the string's length.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -111,7 +113,15 @@ def _bytes(text: bytes) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
-SCHEME = Scheme(LENGTH, GRAM, _bytes, np.uint8, repeated_strings, CHUNK)
+def _pieces(text: bytes) -> Callable[[int, int], bytes]:
+    return lambda low, high: text[low:high]
+
+
+def _loaded(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return _bytes(b"".join(units)), np.array([len(u) for u in units])
+
+
+SCHEME = Scheme(LENGTH, GRAM, _bytes, _pieces, _loaded, repeated_strings, CHUNK)
 
 
 def _kept_bytes(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, bytes]:

@@ -123,6 +123,17 @@ def test_repeated_words(spark):
     assert fm_dedup.remove_repeated_windows(odd.none(spark)).count() == 0
 
 
+def test_windows_of_words_with_equal_hashes_differ(spark):
+    pair = ["https://example.org/p/55354", "https://example.org/p/110916"]
+    assert fm_dedup.word_codes(" ".join(pair).encode()).tolist() == fm_dedup.word_codes(" ".join(pair[::-1]).encode()).tolist()
+    fixed = odd.words(19, 9)
+    texts = [(i, " ".join([*fixed[:at], word, *fixed[at:]])) for i, (at, word) in enumerate((a, w) for a in (0, 10, 19) for w in pair)]
+    texts += [(6, texts[3][1])]
+    found = fm_dedup.remove_repeated_windows(spark.createDataFrame(texts, "doc_id long, text string"))
+    got = [(r.doc_id, r.size, sum(s.high - s.low for s in r.spans), hashlib.sha256(r.kept).hexdigest()) for r in found.collect()]
+    assert sorted(got) == sorted(brute.repeated_words(texts)) and [n for _, _, n, _ in sorted(got)] == [0] * 6 + [20]
+
+
 def test_repeated_bytes(spark):
     found = suffix_dedup.remove_repeated_strings(odd.docs(spark))
     got = [
