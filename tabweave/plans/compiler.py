@@ -546,8 +546,12 @@ def bound_step(found: S.Step, value: Column | None, dtype: T.DataType | None, st
     probe = run(F.lit(None).cast(dtype))
     if not isinstance(probe, S.StepResult):
         return bound(value, run)
-    parts = {p: bound(value, lambda v, p=p: getattr(run(v), p)) for p in ("value", "halt", "stop", "log") if getattr(probe, p) is not None}
-    return S.StepResult(**parts)
+
+    def part(name: str) -> Column:
+        # A function of one parameter: a second one would be taken for the element's index.
+        return bound(value, lambda v: getattr(run(v), name))
+
+    return S.StepResult(**{p: part(p) for p in ("value", "halt", "stop", "log") if getattr(probe, p) is not None})
 
 
 def _child(element: Column, dtype: T.DataType, name: str, done: Mapping[str, Column]) -> Column:
