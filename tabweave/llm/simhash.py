@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tabweave.llm.graph import components, local_stars
 from tabweave.llm.text import free_name
-from tabweave.session import materialize
+from tabweave.session import BROADCAST_ROWS, bounded_broadcast, materialize
 
 SEED = 42
 # Segments of a fingerprint, of 4 bits each.
@@ -167,14 +167,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one document of each component, that with the least key; the rest as they are.
 
-    Rows that share a key are one document, of which the least row stays. A row without a key cannot be named
-    as a component's document, nor told from others, and stays.
+    Rows that share a key are one document, of which one row stays, chosen by its hash. A row without a key cannot
+    be named as a component's document, nor told from others, and stays. Null and empty texts are one component.
+    Keys decide, so that texts are neither sorted nor aggregated: those that go are broadcast if they are few.
     """
-    found = near_duplicates(docs, key, text, shingle)
-    name, whole = free_name("_kept", docs.columns), free_name("_row", docs.columns)
-    kept = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias(name)).distinct()
-    named = docs.filter(F.col(f"`{key}`").isNotNull())
-    named = named.join(kept, named[key] == kept[name], "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    least = named.groupBy(F.col(f"`{key}`").alias(name)).agg(F.min(row).alias(whole)).select(f"{whole}.*")
-    return least.unionByName(docs.filter(F.col(f"`{key}`").isNull()))
+    found = near_duplicates(docs, key, text, shingle).filter(F.col(key).isNotNull())
+    name = free_name("_odd", docs.columns)
+    keys = found.groupBy(F.col(key).alias(name)).agg(
+        F.max(F.col(key) == F.col("component")).alias("kept"), F.count(F.lit(1)).alias("n")
+    )
+    odd = materialize(keys.filter("NOT kept OR n > 1"), "odd")
+    rest = _without(docs, key, odd.select(name))
+    repeated = odd.filter("kept").select(name)
+    if repeated.isEmpty():
+        return rest
+    return rest.unionByName(_one_row(docs.join(repeated, docs[key] == repeated[name], "left_semi"), key))
+
+
+def _without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not among the distinct keys ``gone``; rows without a key stay."""
+    rows = gone.count()
+    gone = bounded_broadcast(gone, rows) if rows <= BROADCAST_ROWS else gone.hint("shuffle_hash")
+    return docs.join(gone, docs[key] == gone[gone.columns[0]], "left_anti")
+
+
+def _one_row(docs: DataFrame, key: str) -> DataFrame:
+    """One row of every key, by the hash of the whole row, then by its place in a table written once."""
+    place, order = free_name("_place", docs.columns), free_name("_order", docs.columns)
+    placed = materialize(docs.withColumn(place, F.monotonically_increasing_id()), "repeated")
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    first = placed.groupBy(F.col(f"`{key}`")).agg(F.min(F.struct(digest.alias("h"), F.col(place).alias("p"))).alias(order))
+    first = first.select(F.col(f"{order}.p").alias(order))
+    return placed.join(first, placed[place] == first[order], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
