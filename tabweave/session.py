@@ -61,11 +61,11 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage with a written table, so that lost executors never change an assigned value."""
     path = scratch_path(df.sparkSession, name)
     delete_on_exit(df.sparkSession, path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
