@@ -10,12 +10,15 @@ from tabweave.llm import (
     fm_dedup,
     licenses,
     mixing,
+    phrases,
     quality,
+    secrets,
     sharding,
     simhash,
     suffix_dedup,
     topk,
     urls,
+    vector_codes,
 )
 from tabweave.sources.tables import table
 
@@ -213,6 +216,110 @@ FROM timed
 """
 
 
+def op11_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(spans: Column | str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != "token")
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
+def op12_setm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return phrases.top_collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest([array_to_string(w[x:x+m-1], ' ') FOR x IN range(1, len(w) - m + 2)]) AS phrase
+  FROM words CROSS JOIN range(1, 6) AS r(m) WHERE len(w) >= m),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*)::BIGINT AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, n, k, ((1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k+1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, array_to_string(w[x:x+s-1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS x
+        FROM (SELECT lang, a, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS s FROM f WHERE m > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+  FROM kept)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and error, and the digest of the codebooks."""
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digits = ",".join(str(x) for book in books for entry in book.tolist() for x in entry)
+    return found.select("vec_id", "code", "error", "label_error", F.sha2(F.lit(digits.encode()), 256).alias("codebooks_sha256"))
+
+
+def _op13_sql() -> str:
+    rounds = ""
+    for i in range(vector_codes.ROUNDS + 1):
+        rounds += f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, row, p, v, min(struct_pack(d := list_sum([(x - y) * (x - y) FOR x, y IN list_zip(v, c)])::BIGINT, e := e)) AS s
+  FROM parts JOIN b{i} USING (p) GROUP BY ALL),""".replace(
+            "list_sum([(x - y) * (x - y) FOR x, y IN list_zip(v, c)])", "list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v, c)])"
+        )
+        if i < vector_codes.ROUNDS:
+            rounds += f"""
+m{i} AS (
+  SELECT p, e, list(floor(t / n)::BIGINT ORDER BY j) AS c
+  FROM (SELECT p, s.e AS e, j, sum(v[j])::DOUBLE AS t, count(*)::DOUBLE AS n FROM a{i} CROSS JOIN (SELECT unnest(range(1, 65)) AS j)
+        WHERE j <= len(v) GROUP BY ALL) GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{i}.c, b{i}.c) AS c FROM b{i} LEFT JOIN m{i} USING (p, e)),"""
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER () AS row, [floor(4096 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, row, p, v[len(v) // 8 * p + 1 : len(v) // 8 * (p + 1)] AS v FROM kept CROSS JOIN range(8) AS r(p)),
+b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v AS c FROM parts
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 16),{rounds}
+codes AS (
+  SELECT vec_id, row, string_agg(printf('%02x', s.e), '' ORDER BY p) AS code, sum(s.d)::BIGINT AS error FROM a{last} GROUP BY ALL),
+book AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{last})
+SELECT codes.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (row) CROSS JOIN book
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
 def registered() -> dict[str, tuple]:
     """Name to (query, SQL or None)."""
     import corpus_pipeline
@@ -229,4 +336,7 @@ def registered() -> dict[str, tuple]:
         "op8_tiled_topk": (op8_tiled_topk, OP8_SQL),
         "op9_segment_grid": (op9_segment_grid, None),
         "op10_curriculum": (op10_curriculum, OP10_SQL),
+        "op11_token_efficiency": (op11_token_efficiency, None),
+        "op12_setm": (op12_setm, OP12_SQL),
+        "op13_cover_tree": (op13_cover_tree, OP13_SQL),
     }
