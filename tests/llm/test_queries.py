@@ -1,5 +1,6 @@
 """The registered queries over the whole smallest tables, against brute force and held-out labels."""
 
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -140,3 +141,15 @@ def test_pipeline_stage_by_stage(spark, sf, docs, tables, tmp_path):
     assert all(r.shard == brute.draws(str(r.doc_id), tree) for r in seen["shard"])
     assert len(seen["shard"]) == len(seen["mix"]) and len({(r.shard, r.slot) for r in seen["shard"]}) == len(seen["shard"])
     assert sorted((r.doc_id, r.shard) for r in rows(spark, sf, "pipeline")) == sorted((r.doc_id, r.shard) for r in seen["shard"])
+
+
+def test_op11(spark, sf, docs):
+    got = {r.doc_id: r for r in rows(spark, sf, "op11_token_efficiency")}
+    assert len(got) == len(docs)
+    for d, t in docs:
+        spans = brute.secrets(t)
+        known = [s for s in spans if s[2] != "token"]
+        r, kinds = got[d], Counter(k for *_, k in spans)
+        assert (r.n_assign, r.n_access, r.n_hex) == (kinds["assign"], kinds["access"], kinds["hex"])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in known).encode()).hexdigest()
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
