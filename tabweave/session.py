@@ -61,11 +61,14 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
-def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Cut the lineage with a written table, so that lost executors never change an assigned value."""
+def materialize(df: DataFrame, name: str, **options: str | int) -> DataFrame:
+    """Cut the lineage with a written table, so that lost executors never change an assigned value.
+
+    ``options`` are those of the Parquet writer.
+    """
     path = scratch_path(df.sparkSession, name)
     delete_on_exit(df.sparkSession, path)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
