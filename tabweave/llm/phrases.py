@@ -29,8 +29,11 @@ from tabweave.llm.text import UPPER
 from tabweave.session import BROADCAST_ROWS, bounded_broadcast, materialize
 
 LEAST, LONGEST, COVERED, MOST = 100, 5, 100, 2000
-# Words of a block, besides those of its last document.
-BLOCK = 1 << 20
+# Words of a block, besides those of its last document; and pairs that a task counts at a time.
+BLOCK = 1 << 18
+PAIRS = 1 << 20
+# Relations are long binary values: a reader takes a group of few blocks at a time, and none of a whole file.
+_WRITTEN = {"compression": "zstd", "parquet.block.size": 4 << 20}
 # A language's phrases are ranked in so many parts first.
 SPREAD = 64
 
@@ -39,12 +42,16 @@ _FOLD = bytes.maketrans(UPPER.encode() + _BREAK + b"\t", UPPER.lower().encode()
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """The numbers with all first bytes before all second ones, and so on, which compresses well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """The numbers with all first bytes before all second ones, and so on, as far as there are any; it compresses well."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + values.astype("<u4").view(np.uint8).reshape(-1, 4).T[:width].tobytes()
 
 
 def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    parts = np.frombuffer(planes, np.uint8, offset=1).reshape(planes[0], -1)
+    whole = np.zeros((parts.shape[1], 4), np.uint8)
+    whole[:, : planes[0]] = parts.T
+    return whole.view("<u4").ravel()
 
 
 class _Words:
@@ -125,16 +132,42 @@ def adjacent(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(relation: DataFrame) -> DataFrame:
-    """``block``, and the ``key`` and number ``n`` of every pair in it."""
+    """``key`` and number ``n`` of the pairs of some blocks at a time; a pair may come again."""
+
+    def some(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [np.empty(0, np.int64)], 0
+        for batch in batches:
+            for planes in batch.column("ids"):
+                held.append(adjacent(_numbers(planes.as_py()))[1])
+                size += len(held[-1])
+                if size >= PAIRS:
+                    yield some(held)
+                    held, size = [np.empty(0, np.int64)], 0
+        yield some(held)
+
+    return relation.select("ids").mapInArrow(pairs, "key long, n long")
+
+
+def _by_block(relation: DataFrame) -> DataFrame:
+    """``block``, and the ``key`` of every pair in it."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, planes in zip(batch.column("block").to_pylist(), batch.column("ids"), strict=True):
-                keys, n = np.unique(adjacent(_numbers(planes.as_py()))[1], return_counts=True)
-                columns = [pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "key", "n"])
+                keys = np.unique(adjacent(_numbers(planes.as_py()))[1])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], ["block", "key"])
+
+    return relation.select("block", "ids").mapInArrow(pairs, "block long, key long")
+
 
-    return relation.select("block", "ids").mapInArrow(pairs, "block long, key long, n long")
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one, as each is large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _written(blocks: list[int], relation: list[bytes]) -> pa.RecordBatch:
@@ -156,7 +189,7 @@ def _of_words(blocks: DataFrame, groups: DataFrame, size: int, bound: int) -> Da
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if sent is not None:
                     of = sent.value.get(row["lang"], {})
                     ids = np.array([0, *(of.get(w, 0) for w in row["words"])], np.uint32)
@@ -180,11 +213,11 @@ def _longer(relation: DataFrame, groups: DataFrame, size: int, bound: int) -> Da
         sent = relation.sparkSession.sparkContext.broadcast((keys[order], ids[order].astype(np.uint32)))
     else:
         # In a block, pairs are in order of their keys.
-        rows = _found(rows, _counted(relation).select("block", F.col("key").alias("place"), "key").join(groups, "key"))
+        rows = _found(rows, _by_block(relation).select("block", F.col("key").alias("place"), "key").join(groups, "key"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 ids = _numbers(row["ids"])
                 at, pairs = adjacent(ids)
                 if sent is not None:
@@ -216,7 +249,7 @@ def frequent_phrases(
 
     Groups are sent to all tasks if they are ``bound`` rows at most, else joined with the pairs of the blocks.
     """
-    blocks = materialize(word_blocks(docs, text, lang), "blocks", "zstd")
+    blocks = materialize(word_blocks(docs, text, lang), "blocks", **_WRITTEN)
     totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, c: s + c)).alias("n"))
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", "w.words", "w.counts")
     words = each.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("a")).filter(F.col("a") >= least)
@@ -228,7 +261,7 @@ def frequent_phrases(
         if not size:
             break
         # Written in the order of the text, so that the next join finds both sides in order.
-        relation = materialize(relation, "occurrences", "zstd")
+        relation = materialize(relation, "occurrences", **_WRITTEN)
         pairs = _counted(relation).groupBy("key").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
         groups = numbered(pairs, "pairs")
         size = groups.count()
