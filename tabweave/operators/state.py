@@ -121,19 +121,27 @@ def rollback_plan(id_map: DataFrame, statuses: Sequence[str] | str | None = None
     return rows.withColumn("action", rollback_action())
 
 
+def rolled_back(id_map: DataFrame, statuses: Sequence[str] | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """What a rollback takes away: the ``dest_id`` of targets, and the ``(migration, src_key)`` of id-map rows."""
+    plan = rollback_plan(id_map, statuses)
+    doomed = plan.filter(F.col("action") == DELETE_TARGET).select("dest_id").distinct()
+    if statuses is None:
+        return doomed, id_map.select("migration", "src_key")
+    # A row without a target goes alone; a row with one takes all map rows of that target along.
+    done = plan.filter(F.col("action") != DROP_MAP).select("dest_id").distinct()
+    dropped = plan.filter(F.col("action") == DROP_MAP).select("migration", "src_key")
+    return doomed, id_map.join(done, "dest_id", "left_semi").select("migration", "src_key").unionByName(dropped)
+
+
 def rollback(
     id_map: DataFrame, target: DataFrame, statuses: Sequence[str] | str | None = None, id_column: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
     """The target and the id map as they are after a rollback."""
-    plan = rollback_plan(id_map, statuses)
-    doomed = plan.filter(F.col("action") == DELETE_TARGET).select(F.col("dest_id").alias(id_column)).distinct()
-    kept_rows = target.join(doomed, id_column, "left_anti")
+    doomed, dropped = rolled_back(id_map, statuses)
+    kept_rows = target.join(doomed.withColumnRenamed("dest_id", id_column), id_column, "left_anti")
     if statuses is None:
         return kept_rows, id_map.limit(0)
-    # A row without a target goes alone; a row with one takes all map rows of that target along.
-    done = plan.filter(F.col("action") != DROP_MAP).select("dest_id").distinct()
-    dropped = plan.filter(F.col("action") == DROP_MAP).select("migration", "src_key")
-    kept_map = id_map.join(done, "dest_id", "left_anti").join(dropped, ["migration", "src_key"], "left_anti")
+    kept_map = id_map.join(dropped, ["migration", "src_key"], "left_anti")
     return kept_rows, kept_map.select(id_map.columns)
 
 

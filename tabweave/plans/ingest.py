@@ -214,43 +214,31 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
 
 
 def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -> None:
+    """Write what ``rows`` change: their targets, messages, copies and map rows; all else stays as it is."""
     made = target_id(F.lit(job.name), F.col("src_key"))
-    table = f"targets/{job.target}"
-    fresh = rows.filter(F.col(STATUS) == IMPORTED).select(
-        made.alias("id"), *[source_col(v) for v in values], F.lit(False).alias("is_stub")
-    )
-    before = store.read(table, job.name)
-    if before is not None:
-        kept = before.join(fresh.select("id"), "id", "left_anti")
-        fresh = fresh.unionByName(kept, allowMissingColumns=True)
-    store.replace(table, job.name, fresh)
-
-    first = not store.has("id_map", job.name)
-    known, had, kept = store.id_map(job.name), rows.withColumn("_had", F.lit(None).cast("string")), None
-    if not first:
-        # A row that is no longer imported keeps the target it once had, so that a rollback finds it.
-        had = rows.join(known.select("src_key", F.col("dest_id").alias("_had")), "src_key", "left")
-        kept = known.join(rows.select("src_key"), "src_key", "left_anti")
-    entries = had.select(
-        "src_key",
-        F.coalesce(F.when(F.col(STATUS) == IMPORTED, made), F.col("_had")).alias("dest_id"),
-        F.col(STATUS).alias("status"),
-        F.lit(job.rollback_action).cast("string").alias("rollback_action"),
-        "row_hash",
-    )
+    imported = F.col(STATUS) == IMPORTED
+    again, first = rows.filter(imported).select("src_key"), not store.has("id_map", job.name)
+    # A row that is no longer imported keeps the target it once had, so that a rollback finds it.
+    fresh = rows.filter(imported).select(made.alias("id"), *[source_col(v) for v in values], F.lit(False).alias("is_stub"))
+    store.change(f"targets/{job.target}", job.name, fresh)
+
     said = rows.select("src_key", F.explode(MESSAGES).alias("_m")).select("src_key", "_m.level", "_m.text")
-    if store.has("messages", job.name):
-        said = said.unionByName(store.messages(job.name).join(rows.select("src_key"), "src_key", "left_anti"))
-    store.replace("messages", job.name, said.select(*MESSAGE_ROWS.names))
+    quiet = rows.filter(F.coalesce(F.size(MESSAGES), F.lit(0)) <= 0).select("src_key")
+    store.change("messages", job.name, said.select(*MESSAGE_ROWS.names), quiet)
     if plans_copies(job.mapping):
-        planned = rows.filter(F.col(STATUS) == IMPORTED).select("src_key", F.explode(COPIES).alias("_c")).select("src_key", "_c.*")
-        if store.has("copies", job.name):
-            # A row that is no longer imported keeps its file like its target.
-            again = rows.filter(F.col(STATUS) == IMPORTED).select("src_key")
-            planned = planned.unionByName(store.copies(job.name).join(again, "src_key", "left_anti"))
-        store.replace("copies", job.name, planned.select(*COPY_ROWS.names))
+        planned = rows.filter(imported).select("src_key", F.explode(COPIES).alias("_c")).select("src_key", "_c.*")
+        # A row that is no longer imported keeps its file like its target.
+        store.change("copies", job.name, planned.select(*COPY_ROWS.names), again)
+
+    entry = ["src_key", "dest_id", F.col(STATUS).alias("status"), F.lit(job.rollback_action).cast("string").alias("rollback_action"), "row_hash"]
+    entries = rows.filter(imported).withColumn("dest_id", made).select(*entry)
+    others = rows.filter(~imported)
+    if first:
+        others = others.withColumn("dest_id", F.lit(None).cast("string"))
+    else:
+        others = others.join(store.id_map(job.name).select("src_key", "dest_id"), "src_key", "left")
     # The id map comes last: what it does not name yet is imported again by a repeated run.
-    store.replace("id_map", job.name, entries if kept is None else entries.unionByName(kept))
+    store.change("id_map", job.name, entries.unionByName(others.select(*entry)))
 
 
 def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:
@@ -263,11 +251,6 @@ def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:
         known = store.id_map(job.name)
         new = mine.join(known.filter(F.col("dest_id").isNotNull()), "src_key", "left_anti").select("src_key")
         made = target_id(F.lit(job.name), F.col("src_key"))
-        table = f"targets/{job.target}"
-        stubs = new.select(made.alias("id"), F.lit(True).alias("is_stub"))
-        before = store.read(table, job.name)
-        if before is not None:
-            stubs = before.join(stubs.select("id"), "id", "left_anti").unionByName(stubs, allowMissingColumns=True)
         entries = new.select(
             "src_key",
             made.alias("dest_id"),
@@ -275,13 +258,13 @@ def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:
             F.lit(job.rollback_action).cast("string").alias("rollback_action"),
             F.lit(None).cast("string").alias("row_hash"),
         )
-        entries = known.join(new, "src_key", "left_anti").unionByName(entries)
-        # Both are written before either takes its place, since each is made from the old id map.
-        fresh_map, fresh_rows = store.staging("id_map"), store.staging("stubs")
-        stubs.write.parquet(fresh_rows)
-        entries.write.parquet(fresh_map)
-        store.swap(fresh_rows, store.folder(table, job.name))
-        store.swap(fresh_map, store.folder("id_map", job.name))
+        # Written once for both tables, since it is made from the old id map.
+        path = store.staging("stubs")
+        entries.write.parquet(path)
+        entries = store.spark.read.schema(ID_MAP).parquet(path)
+        store.change(f"targets/{job.target}", job.name, entries.select(F.col("dest_id").alias("id"), F.lit(True).alias("is_stub")))
+        store.change("id_map", job.name, entries)
+        store.discard(path)
 
 
 def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
@@ -291,18 +274,10 @@ def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
     path = store.staging("orphans")
     gone.write.parquet(path)
     gone = store.spark.read.schema(ID_MAP).parquet(path)
-    if gone.isEmpty():
-        store.discard(path)
-        return
-    target = store.read(table, job.name)
-    if target is not None:
-        doomed = gone.select(F.col("dest_id").alias("id"))
-        store.replace(table, job.name, target.join(doomed, "id", "left_anti"))
-    for rows, schema in (("messages", MESSAGE_ROWS), ("copies", COPY_ROWS)):
-        if store.has(rows, job.name):
-            kept = store.read(rows, job.name, schema).join(gone.select("src_key"), "src_key", "left_anti")
-            store.replace(rows, job.name, kept)
-    store.replace("id_map", job.name, known.join(gone.select("src_key"), "src_key", "left_anti"))
+    if not gone.isEmpty():
+        store.change(table, job.name, gone=gone.filter(F.col("dest_id").isNotNull()).select(F.col("dest_id").alias("id")))
+        for rows in ("messages", "copies", "id_map"):
+            store.change(rows, job.name, gone=gone)
     store.discard(path)
 
 
@@ -343,23 +318,27 @@ def _is_met(store: Store, group: Group, name: str) -> bool:
 
 
 def rollback_job(store: Store, job: Job, statuses: Sequence[str] | str | None = None) -> None:
-    """Undo a job, or only its rows in some states: targets go, or stay if so marked; map rows go in any case."""
-    known, table = store.id_map(job.name), f"targets/{job.target}"
-    marked = known.withColumn("migration", F.lit(job.name))
-    target = store.read(table, job.name)
-    if target is None:
-        target = store.spark.createDataFrame([], "id string")
-    rows, entries = state.rollback(marked, target, statuses)
-    fresh_rows, fresh_map = store.staging("rollback"), store.staging("rollback")
-    rows.write.parquet(fresh_rows)
-    entries.select(*ID_MAP.names).write.parquet(fresh_map)
-    left = store.spark.read.schema(ID_MAP).parquet(fresh_map)
-    for kept, schema in (("messages", MESSAGE_ROWS), ("copies", COPY_ROWS)):
-        if kept == "messages" or store.has(kept, job.name):
-            said = store.read(kept, job.name, schema).join(left.select("src_key"), "src_key", "left_semi")
-            store.replace(kept, job.name, said)
-    store.swap(fresh_rows, store.folder(table, job.name))
-    store.swap(fresh_map, store.folder("id_map", job.name))
+    """Undo a job, or only its rows in some states: targets go, or stay if so marked; map rows go in any case.
+
+    Rows are marked as gone; a whole rollback leaves empty tables for the map, the messages and the copies.
+    """
+    marked, table = store.id_map(job.name).withColumn("migration", F.lit(job.name)), f"targets/{job.target}"
+    doomed, dropped = state.rolled_back(marked, statuses)
+    paths = store.staging("rollback"), store.staging("rollback")
+    doomed.select(F.col("dest_id").alias("id")).write.parquet(paths[0])
+    dropped.select("src_key").distinct().write.parquet(paths[1])
+    doomed, dropped = store.spark.read.schema("id string").parquet(paths[0]), store.spark.read.schema("src_key string").parquet(paths[1])
+    if store.has(table, job.name):
+        store.change(table, job.name, gone=doomed)
+    else:
+        store.replace(table, job.name, store.spark.createDataFrame([], "id string"))
+    for rows, schema in (("messages", MESSAGE_ROWS), ("copies", COPY_ROWS), ("id_map", ID_MAP)):
+        if statuses is not None and store.has(rows, job.name):
+            store.change(rows, job.name, gone=dropped)
+        elif rows != "copies" or store.has(rows, job.name):
+            store.replace(rows, job.name, store.spark.createDataFrame([], schema))
+    for path in paths:
+        store.discard(path)
 
 
 def rollback_group(

@@ -1,14 +1,22 @@
-"""Where a run keeps its state: one parquet folder per table and job.
+"""Where a run keeps its state: tables in versions, which are merged when they are read.
 
-A table is never written while it is read: new content goes to a folder beside it, then takes its place.
+A job's table is a folder of versions, each written beside it and then put in its place by one rename. A base
+holds whole rows. A change on top of it holds the rows of some keys as they are now, and the keys that have none
+any more: an import or a rollback writes what it changes, not the table. Of a key that changes name, the rows of
+the latest count; those of the base are the rest. Versions below the latest base are no longer read.
+
+Many changes become one; once they are a share of the base, all becomes a new base.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.sources.delimited import text_schema
@@ -17,6 +25,34 @@ ID_MAP = text_schema(["src_key", "dest_id", "status", "rollback_action", "row_ha
 MESSAGES = text_schema(["src_key", "level", "text"])
 COPIES = text_schema(["src_key", "field", "from", "to", "wanted"]).add("move", T.BooleanType())
 
+# Changes above this share of the base's bytes become a new base; more changes than this become one.
+SHARE = 0.25
+MOST_CHANGES = 8
+
+_GONE, _VERSION = "_gone", "version"
+_BASE, _CHANGE = "base", "change"
+
+
+def table_key(table: str) -> str:
+    """The column by which rows of a table replace each other; one key may have several rows."""
+    return "id" if table.startswith("targets/") else "src_key"
+
+
+def merged(base: DataFrame, changes: DataFrame, keys: Sequence[str], several: bool = True) -> DataFrame:
+    """The rows of ``base`` whose key no change names, and of each other key the rows of its latest change.
+
+    The base is not shuffled for its own sake: it meets the changed keys only, which are few. Without
+    ``several``, the changes are of one version and no key needs a choice.
+    """
+    named, latest = changes.select(*keys), changes
+    if several:
+        last = changes.groupBy(*keys).agg(F.max(_VERSION).alias("_last"))
+        latest = changes.join(last, list(keys)).filter(F.col(_VERSION) == F.col("_last")).drop("_last")
+        named = last.select(*keys)
+    latest = latest.filter(~F.col(_GONE)).drop(_GONE, _VERSION)
+    rows = base.join(named, list(keys), "left_anti").unionByName(latest, allowMissingColumns=True)
+    return rows.select(*base.columns, *[c for c in rows.columns if c not in base.columns])
+
 
 class Store:
     """Tables ``id_map``, ``messages``, ``copies`` and ``targets`` below a folder that all executors reach."""
@@ -29,16 +65,13 @@ class Store:
         at = jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
 
-    def exists(self, path: str) -> bool:
-        """Is there a table? One that a cut-short swap left aside is put back first."""
+    def _names(self, path: str) -> list[str]:
         fs, at = self._fs(path)
-        if fs.exists(at):
-            return True
-        _, old = self._fs(self._aside(path))
-        return fs.exists(old) and fs.rename(old, at)
+        return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
-    def _aside(self, final: str) -> str:
-        return f"{self.root}/_old{final.removeprefix(self.root)}"
+    def exists(self, path: str) -> bool:
+        fs, at = self._fs(path)
+        return fs.exists(at)
 
     def folder(self, table: str, migration: str) -> str:
         if not re.fullmatch(r"[\w.\-]+", migration):
@@ -48,28 +81,86 @@ class Store:
     def staging(self, name: str) -> str:
         return f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
 
-    def replace(self, table: str, migration: str, df: DataFrame) -> None:
-        """Make ``df`` the content of a job's table."""
-        final, fresh = self.folder(table, migration), self.staging(f"{table}-{migration}")
-        df.write.parquet(fresh)
-        self.swap(fresh, final)
+    def _live(self, folder: str) -> list[str]:
+        """The versions that count: the latest base, and the changes after it in order."""
+        names = [n for n in self._names(folder) if n.startswith(f"{_VERSION}=")]
+        bases = [i for i, n in enumerate(names) if n.endswith(_BASE)]
+        return names[bases[-1] :] if bases else []
 
-    def swap(self, fresh: str, final: str) -> None:
-        """Put a written folder in the place of a table; the table there is kept aside until that is done."""
-        fs, at = self._fs(final)
+    def _add(self, folder: str, df: DataFrame, kind: str) -> str:
+        """Write a version, then put it behind all others by a rename, so that it is there whole or not at all."""
+        fresh = self.staging(kind)
+        df.write.parquet(fresh)
+        names = self._names(folder)
+        number = int(re.search(r"=(\d+)-", names[-1])[1]) + 1 if names else 0
+        name = f"{_VERSION}={number:09}-{kind}"
+        fs, at = self._fs(f"{folder}/{name}")
         _, source = self._fs(fresh)
-        _, old = self._fs(self._aside(final))
-        if self.exists(final):
-            if fs.exists(old):
-                fs.delete(old, True)
-            fs.mkdirs(old.getParent())
-            if not fs.rename(at, old):
-                raise OSError(f"Could not set {final} aside")
         fs.mkdirs(at.getParent())
-        if not fs.rename(source, at):
+        if fs.exists(at) or not fs.rename(source, at):
             raise OSError(f"Could not put {fresh} in place")
-        if fs.exists(old):
-            fs.delete(old, True)
+        return name
+
+    def _drop(self, folder: str, below: str, kinds: Sequence[str] = (_BASE, _CHANGE)) -> None:
+        for name in self._names(folder):
+            if name < below and name.endswith(tuple(kinds)):
+                self.discard(f"{folder}/{name}")
+
+    def replace(self, table: str, migration: str, df: DataFrame) -> None:
+        """Make ``df`` the content of a job's table, as its base. ``df`` may read the table."""
+        folder = self.folder(table, migration)
+        self._drop(folder, self._add(folder, df, _BASE))
+
+    def change(self, table: str, migration: str, rows: DataFrame | None = None, gone: DataFrame | None = None) -> None:
+        """Give the keys of ``rows`` these rows, and take all rows from the keys in ``gone`` that are not among them.
+
+        Only what is given is written. A table that is not there yet is made of ``rows``.
+        """
+        key = table_key(table)
+        if not self.has(table, migration):
+            if rows is not None:
+                self.replace(table, migration, rows)
+            return
+        parts = [] if rows is None else [rows.withColumn(_GONE, F.lit(False))]
+        if gone is not None:
+            parts.append(gone.select(key).distinct().withColumn(_GONE, F.lit(True)))
+        if not parts:
+            return
+        folder = self.folder(table, migration)
+        self._add(folder, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), _CHANGE)
+        self._tidy(table, migration)
+
+    def _bytes(self, path: str) -> int:
+        fs, at = self._fs(path)
+        return fs.getContentSummary(at).getLength()
+
+    def _tidy(self, table: str, migration: str) -> None:
+        """Compact a table whose changes are many or a share of it. Sizes are asked of the file system."""
+        folder = self.folder(table, migration)
+        base, *changes = self._live(folder)
+        size = sum(self._bytes(f"{folder}/{c}") for c in changes)
+        if size > SHARE * self._bytes(f"{folder}/{base}"):
+            self.compact(table, migration)
+        elif len(changes) > MOST_CHANGES:
+            rows, last = self._changes(table, migration, changes), table_key(table)
+            latest = rows.groupBy(last).agg(F.max(_VERSION).alias("_last"))
+            rows = rows.join(latest, last).filter(F.col(_VERSION) == F.col("_last")).drop("_last", _VERSION)
+            # With all of them still there, the new one says the same as they do together.
+            self._drop(folder, self._add(folder, rows, _CHANGE), [_CHANGE])
+
+    def compact(self, table: str, migration: str) -> None:
+        """Write the table as it is now as a new base."""
+        if len(self._live(self.folder(table, migration))) > 1:
+            self.replace(table, migration, self.read(table, migration, _SCHEMAS.get(table)))
+
+    def _changes(self, table: str, migration: str, names: Sequence[str]) -> DataFrame:
+        """All rows of some changes, with their version. Without a known schema, each has columns of its own."""
+        folder = self.folder(table, migration)
+        if table in _SCHEMAS:
+            whole = T.StructType([*_SCHEMAS[table].fields, *_CHANGED])
+            return self.spark.read.schema(whole).option("basePath", folder).parquet(*[f"{folder}/{n}" for n in names])
+        parts = [self.spark.read.parquet(f"{folder}/{n}").withColumn(_VERSION, F.lit(n.partition("=")[2])) for n in names]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def discard(self, path: str) -> None:
         fs, at = self._fs(path)
@@ -81,14 +172,18 @@ class Store:
 
     def read(self, table: str, migration: str, schema: T.StructType | None = None) -> DataFrame | None:
         """A job's table; without one, an empty frame if the schema is known, else None."""
-        path = self.folder(table, migration)
-        if self.exists(path):
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(path)
-        return None if schema is None else self.spark.createDataFrame([], schema)
+        folder = self.folder(table, migration)
+        live = self._live(folder)
+        if not live:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        base = reader.parquet(f"{folder}/{live[0]}")
+        if len(live) == 1:
+            return base
+        return merged(base, self._changes(table, migration, live[1:]), [table_key(table)], len(live) > 2)
 
     def has(self, table: str, migration: str) -> bool:
-        return self.exists(self.folder(table, migration))
+        return bool(self._live(self.folder(table, migration)))
 
     def id_map(self, migration: str) -> DataFrame:
         return self.read("id_map", migration, ID_MAP)
@@ -101,16 +196,23 @@ class Store:
         return self.read("copies", migration, COPIES)
 
     def all_rows(self, table: str, schema: T.StructType) -> DataFrame:
-        """The table of all jobs, with the job as partition column ``migration``.
-
-        Tables that a cut-short swap left aside are put back first.
-        """
-        fs, aside = self._fs(f"{self.root}/_old/{table}")
-        if fs.exists(aside):
-            for status in fs.listStatus(aside):
-                self.exists(f"{self.root}/{table}/{status.getPath().getName()}")
-        whole = T.StructType(list(schema.fields) + [T.StructField("migration", T.StringType())])
-        path = f"{self.root}/{table}"
-        if not self.exists(path):
+        """The table of all jobs, with the job as partition column ``migration``: one scan, and one merge if there are changes."""
+        whole = T.StructType([*schema.fields, T.StructField("migration", T.StringType())])
+        path, bases, changes, several = f"{self.root}/{table}", [], [], False
+        for job in self._names(path):
+            live = [f"{path}/{job}/{name}" for name in self._live(f"{path}/{job}")]
+            bases += live[:1]
+            changes += live[1:]
+            several = several or len(live) > 2
+        if not bases:
             return self.spark.createDataFrame([], whole)
-        return self.spark.read.schema(whole).parquet(path)
+        base = self.spark.read.schema(whole).option("basePath", path).parquet(*bases)
+        base = base.select(*whole.names)
+        if not changes:
+            return base
+        rows = self.spark.read.schema(T.StructType([*whole.fields, *_CHANGED])).option("basePath", path).parquet(*changes)
+        return merged(base, rows, ["migration", table_key(table)], several)
+
+
+_SCHEMAS = {"id_map": ID_MAP, "messages": MESSAGES, "copies": COPIES}
+_CHANGED = [T.StructField(_GONE, T.BooleanType()), T.StructField(_VERSION, T.StringType())]

@@ -86,13 +86,14 @@ def test_workbook_request(spark, tmp_path):
     assert [(r.title) for r in store.read("targets/node", "isi__r_node").collect()] == ["four"]
 
 
-def test_swap_cut_short_is_mended(spark, tmp_path):
+def test_a_replaced_table_is_there_whole_or_not_at_all(spark, tmp_path):
     store = Store(spark, str(tmp_path / "state"))
     rows = spark.createDataFrame([("1", "d", "imported", None, "h")], ID_MAP)
     store.replace("id_map", "m", rows)
     final = store.folder("id_map", "m")
-    os.makedirs(os.path.dirname(store._aside(final)))
-    os.rename(final, store._aside(final))
-    assert store.id_map("m").count() == 1 and os.path.exists(final)
+    # A folder that no rename completed is no version.
+    os.makedirs(f"{final}/_temporary")
+    assert store.id_map("m").count() == 1
     store.replace("id_map", "m", rows.limit(0))
-    assert store.id_map("m").count() == 0 and not os.path.exists(store._aside(final))
+    assert store.id_map("m").count() == 0 and len(store._live(final)) == 1
+    assert [n for n in os.listdir(final) if n.startswith("version=")] == store._live(final)

@@ -137,15 +137,17 @@ def test_every_row_without_a_key_is_reported(spark, store, tmp_path):
     assert sorted(r.text for r in store.messages("plain").collect())[0].startswith("Row 2: ")
 
 
-def test_tables_set_aside_are_found_again(spark, store):
+def test_a_compaction_cut_short_changes_nothing(spark, store):
     job = Job("plain", {"title": "Title"}, "node", KEYS)
-    import_group(store, Group([job], cells(spark, [("1", "", "a")])))
-    at, aside = store.folder("id_map", "plain"), f"{store.root}/_old/id_map/migration=plain"
-    fs, place = store._fs(at)
-    _, old = store._fs(aside)
-    fs.mkdirs(old.getParent())
-    assert fs.rename(place, old)
-    assert store.all_rows("id_map", ID_MAP).count() == 1
+    import_group(store, Group([job], cells(spark, [("1", "", "a"), ("2", "", "b")])))
+    before = sorted(store.all_rows("id_map", ID_MAP).collect())
+    # The new base is there, the old one not yet deleted; and a version that was never put in its place.
+    folder = store.folder("id_map", "plain")
+    rows = store.read("id_map", "plain", ID_MAP)
+    store._add(folder, rows, "base")
+    rows.limit(1).write.parquet(store.staging("base"))
+    assert len(store._names(folder)) == 2
+    assert sorted(store.all_rows("id_map", ID_MAP).collect()) == before == sorted(store.id_map("plain").withColumn("migration", F.lit("plain")).collect())
 
 
 def test_a_retry_reads_the_sheet_anew(spark, store):
