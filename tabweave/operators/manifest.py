@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabweave.functions.text import source_col
 from tabweave.operators.numbering import HOT_ROWS, running_number
+from tabweave.session import materialize
 
-_CLAIM, _NTH = "_claim", "_nth"
+_CLAIM, _NTH, _START, _PLACE = "_claim", "_nth", "_start", "_place"
 
 
 def _cut(path: Column) -> tuple[Column, Column, Column]:
@@ -35,6 +37,23 @@ def _numbered(paths: DataFrame) -> DataFrame:
     return paths.select(base.alias("base"), k.alias("k")).filter("k <> ''").select("base", F.col("k").cast("bigint").alias("k"))
 
 
+def free_numbers(claims: DataFrame, taken: DataFrame, base: str, nth: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The ``nth`` number, from 1, of those from 0 on that ``taken`` does not hold, as ``out`` of each row of ``claims``.
+
+    ``claims`` has ``base`` and ``nth``, distinct within a base; ``taken`` has distinct ``(base, k)``. The k-th taken
+    number has as many free ones before it as its value less its rank. Claimants and taken numbers are merged by
+    that count, so a row's running number, less its own, is how many taken ones it has to step over. No group is
+    gathered: both running numbers are made by ranges where a group is large.
+    """
+    rank, at, kind, tie, place = "_rank", "_at", "_kind", "_tie", "_order"
+    ranked = running_number(taken.select(base, "k"), [base], ["k"], rank, hot_rows)
+    before = ranked.select(base, (F.col("k") - F.col(rank) + 1).alias(at), F.lit(0).alias(kind), F.col("k").alias(tie))
+    asks = claims.withColumns({at: F.col(nth) - 1, kind: F.lit(1), tie: F.lit(0).cast("bigint")})
+    both = asks.unionByName(before, allowMissingColumns=True)
+    merged = running_number(both, [base], [at, kind, tie], place, hot_rows).filter(F.col(kind) == 1)
+    return merged.withColumn(out, F.col(place) - 1).drop(at, kind, tie, place)
+
+
 def number_clashes(
     df: DataFrame,
     path: str,
@@ -54,10 +73,6 @@ def number_clashes(
     asks = F.col(path) if had is None else F.when(F.col(had).isNull(), F.col(path))
     grouped = df.withColumn(_CLAIM, F.coalesce(asks, alone))
     numbered = running_number(grouped, [_CLAIM], order, _NTH, hot_rows)
-    names = df.select(F.col(path).alias("path")).filter("path IS NOT NULL").distinct()
-    # As many numbers as names of this form are asked for.
-    asked = _numbered(names).groupBy("base").agg(F.array_sort(F.collect_set("k")).alias("_asked"))
-    numbered = numbered.join(asked.withColumnRenamed("base", "_base"), F.col(_CLAIM) == F.col("_base"), "left").drop("_base")
     start = F.lit(0).cast("bigint")
     if given is not None:
         taken = given.select(F.col("to").alias("path")).distinct()
@@ -65,12 +80,24 @@ def number_clashes(
         taken = taken.groupBy(F.col("base").alias("_base")).agg((F.max("k") + 1).alias("_start"))
         numbered = numbered.join(taken, F.col(_CLAIM) == F.col("_base"), "left").drop("_base")
         start = F.coalesce(F.col("_start"), start)
-    place = start + F.col(_NTH) - 1
-    asked = F.filter(F.coalesce("_asked", F.array().cast("array<bigint>")), lambda t: t >= start)
-    place = F.aggregate(asked, place, lambda c, t: F.when(t <= c, c + 1).otherwise(c))
-    named = clash_name(F.col(path), place + 1)
+    numbered = numbered.withColumn(_START, start)
+    # Numbers that are asked for as part of a name, of the names that some row claims; usually there are none.
+    names = df.select(F.col(path).alias("path")).filter("path IS NOT NULL").distinct()
+    asked = materialize(_numbered(names).distinct(), "asked")
+    if asked.isEmpty():
+        placed = numbered.withColumn(_PLACE, F.col(_START) + F.col(_NTH) - 1)
+    else:
+        numbered = materialize(numbered, "claims")
+        starts = numbered.groupBy(_CLAIM).agg(F.max(_START).alias(_START))
+        behind = asked.withColumnRenamed("base", _CLAIM).join(starts, _CLAIM).filter(F.col("k") >= F.col(_START))
+        behind = materialize(behind.select(_CLAIM, (F.col("k") - F.col(_START)).alias("k")), "asked")
+        held = behind.select(_CLAIM).distinct()
+        usual = numbered.join(held, _CLAIM, "left_anti").withColumn(_PLACE, F.col(_NTH) - 1)
+        stepped = free_numbers(numbered.join(held, _CLAIM, "left_semi"), behind, _CLAIM, _NTH, _PLACE, hot_rows)
+        placed = usual.unionByName(stepped).withColumn(_PLACE, F.col(_START) + F.col(_PLACE))
+    named = clash_name(F.col(path), F.col(_PLACE) + 1)
     named = named if had is None else F.coalesce(F.col(had), named)
-    return numbered.withColumn(out, named).drop(_NTH, _CLAIM, "_asked", "_start")
+    return placed.withColumn(out, named).select(*map(source_col, df.columns), out)
 
 
 def copy_manifest(

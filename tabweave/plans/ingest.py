@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabweave.constants import FAILED, IMPORTED, KEY_SEPARATOR, NEEDS_UPDATE, ORPHANS_TAG
 from tabweave.functions.steps import Context
@@ -31,7 +32,7 @@ from tabweave.plans.store import COPIES as COPY_ROWS
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
 from tabweave.sources.delimited import with_keys
 
-_ERROR, _HASH = "_key_error", "_sheet_row_hash"
+_ERROR, _HASH, _CAST = "_key_error", "_sheet_row_hash", "_cast_error"
 
 
 @dataclass
@@ -49,6 +50,8 @@ class Job:
     rollback_action: str | None = None
     # A derived job keeps its keys instead of taking those of the request's template.
     keep_source: bool = False
+    # Spark types of target fields; a row with a cell that is not of its type fails alone.
+    types: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -190,6 +193,8 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         result = result.withColumn("bundle", default_bundle(F.col("bundle"), job.default_bundle))
     elif job.default_bundle:
         result, values = result.withColumn("bundle", F.lit(job.default_bundle)), [*values, "bundle"]
+    if job.types:
+        result = typed_fields(result, job.types)
     bad = todo.filter(F.col(_ERROR).isNotNull()).select(
         "src_key",
         "row_hash",
@@ -213,6 +218,23 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         store.discard(compared)
 
 
+def typed_fields(result: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Cast target fields; a row with a cell that is not of its type fails with a message, and no other row does.
+
+    An empty cell is NULL. Rows that ended for another reason keep theirs.
+    """
+    absent = [name for name in types if name not in result.columns]
+    if absent:
+        raise ValueError(f"Fields with a type are not mapped: {', '.join(absent)}")
+    cells = {n: F.nullif(source_col(n), F.lit("")) for n in types if result.schema[n].dataType == T.StringType()}
+    checked = state.isolate_errors(result.withColumns(cells), {n: (n, kind) for n, kind in types.items()}, error=_CAST)
+    failed = (F.col(STATUS) == IMPORTED) & F.col(_CAST).isNotNull()
+    said = F.array(F.struct(F.lit("error").alias("level"), F.col(_CAST).alias("text")))
+    before = F.coalesce(F.col(MESSAGES), F.array().cast(result.schema[MESSAGES].dataType))
+    messages = F.when(failed, F.concat(before, said)).otherwise(F.col(MESSAGES))
+    return checked.withColumns({STATUS: F.when(failed, F.lit(FAILED)).otherwise(F.col(STATUS)), MESSAGES: messages}).drop(_CAST)
+
+
 def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -> None:
     """Write what ``rows`` change: their targets, messages, copies and map rows; all else stays as it is."""
     made = target_id(F.lit(job.name), F.col("src_key"))

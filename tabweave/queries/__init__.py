@@ -5,10 +5,10 @@ from __future__ import annotations
 
 def registered() -> dict[str, tuple]:
     """Name to (query, SQL or None)."""
-    from tabweave.queries import catalogs, lookups, rules, sheets, states, steps
+    from tabweave.queries import catalogs, imports, lookups, rules, sheets, states, steps
 
     found: dict[str, tuple] = {}
-    for module in (lookups, sheets, steps, rules, states, catalogs):
+    for module in (lookups, sheets, steps, rules, imports, states, catalogs):
         for name, pair in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"Query {name} is registered twice")

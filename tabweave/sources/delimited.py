@@ -42,6 +42,15 @@ def accepted_format(path: str) -> str:
     return suffix
 
 
+def accepted_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """A listing with the ``format`` of each file, or the ``error`` why it is refused."""
+    name = F.substring_index(F.rtrim(source_col(path), F.lit("/")), "/", -1)
+    suffix = F.lower(F.substring_index(name, ".", -1))
+    known = F.when(suffix.isin(*ACCEPTED_FORMATS), suffix)
+    words = F.concat(F.lit("Format of "), source_col(path), F.lit(f" is not one of {', '.join(ACCEPTED_FORMATS)}"))
+    return files.withColumns({"format": known, "error": F.when(known.isNull(), words)})
+
+
 def _pin_file_cuts(spark: SparkSession) -> None:
     """Two scans of one folder must cut its files alike even if executors come or go between them."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:

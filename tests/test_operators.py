@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from tabweave.functions.text import row_hash
 from tabweave.operators import lookups as L
 from tabweave.operators import state as S
 from tabweave.operators.ledger import file_usage, usage_events
-from tabweave.operators.manifest import copy_manifest, number_clashes
+from tabweave.operators.manifest import copy_manifest, free_numbers, number_clashes
 from tabweave.operators.multivalue import explode_values
 from tabweave.operators.numbering import running_number
 from tabweave.plans.compiler import STUBS, accepted, compile_mapping
@@ -161,3 +163,50 @@ def test_constants_are_looked_up_once(spark):
     out = accepted(compile_mapping(rows, mapping, Context(entities=entities), ["src_key"]))
     assert {(r.use, r.none) for r in out.collect()} == {("u1", "z")}
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def named_by_hand(rows, given=()):
+    """The names that rows (key, path) get one after the other: numbers skip those asked for, and go on behind given ones."""
+    wanted, out, at = {p for _, p in rows if p}, {}, {}
+    for key, path in sorted(rows):
+        if path is None:
+            out[key] = None
+            continue
+        stem, _, suffix = path.rpartition(".")
+        name = lambda k: path if k == 0 else f"{stem}_{k}.{suffix}"  # noqa: B023, E731
+        if path not in at:
+            ks = [k for k in range(500) if name(k) in given]
+            at[path] = max(ks) + 1 if ks else 0
+        while at[path] > 0 and name(at[path]) in wanted:
+            at[path] += 1
+        out[key] = name(at[path])
+        at[path] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 25])
+def test_clashes_step_over_names_that_are_asked_for(spark, hot_rows):
+    rows = []
+    for i in range(300):
+        path = "d/hot.png" if i % 3 == 0 else f"d/hot_{i % 40}.png" if i % 7 == 0 else f"e/x{i % 5}.y.tif" if i % 2 else None
+        rows.append((i, path))
+    rows += [(300 + i, f"e/x1.y_{k}.tif") for i, k in enumerate((1, 2, 5, 9, 100))]
+    df = spark.createDataFrame(rows, "id long, p string").repartition(3)
+    got = number_clashes(df, "p", ["id"], "to", hot_rows=hot_rows)
+    assert got.columns == ["id", "p", "to"]
+    assert {r.id: r.to for r in got.collect()} == named_by_hand(rows)
+    given = ["d/hot.png", "d/hot_7.png", "d/hot_12.png", "e/x3.y.tif"]
+    got = number_clashes(df, "p", ["id"], "to", hot_rows=hot_rows, given=spark.createDataFrame([(g,) for g in given], "to string"))
+    assert {r.id: r.to for r in got.collect()} == named_by_hand(rows, given)
+
+
+def test_free_numbers_of_a_hot_base(spark):
+    rng = random.Random(3)
+    taken = {b: sorted(rng.sample(range(400), n)) for b, n in (("a", 200), ("b", 1), ("c", 0))}
+    claims = [(b, n + 1) for b, size in (("a", 250), ("b", 3), ("c", 4)) for n in range(size)]
+    got = free_numbers(
+        spark.createDataFrame(claims, "base string, nth long"), spark.createDataFrame([(b, k) for b, ks in taken.items() for k in ks], "base string, k long"),
+        "base", "nth", "free", hot_rows=30,
+    )
+    free = {b: [k for k in range(1000) if k not in set(ks)] for b, ks in taken.items()}
+    assert {(r.base, r.nth): r.free for r in got.collect()} == {(b, n): free[b][n - 1] for b, n in claims}
