@@ -2,7 +2,8 @@
 
 Two variable-order Markov models, one of accepted and one of rejected URLs, give each character its
 probability after the characters before it. A URL's score is the mean over its characters of the
-difference of log-probabilities; a threshold between the two classes' scores parts them.
+difference of log-probabilities; a threshold between the two classes' scores parts them. The threshold is
+calibrated on examples that the models have not seen.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from tabweave.session import materialize
 ORDER = 5
 # Weight of the next shorter context, in observations.
 PRIOR = 4.0
-# Runs seen less often are left to shorter ones.
-LEAST = 3
+# One of so many examples, by the hash of its text, is kept from the models for the threshold.
+FOLDS = 5
 # A run with more than one of so many parts of all places is dealt over several tasks.
 SHARES = 1000
 # Values are added up as whole numbers of this unit, so that sums do not depend on their order.
@@ -152,11 +153,13 @@ def _threshold(scores: DataFrame) -> float:
     return (mean["bad"] * far + mean["good"] * near) / (near + far)
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", least: int = LEAST) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``; columns of these names are replaced.
 
-    The models read host and path. URLs with a rule are their examples and keep the rule's verdict; all others
-    are allowed if their score reaches the threshold. With examples of one class only there is nothing to
+    The models read host and path. URLs with a rule are examples and keep the rule's verdict; all others are
+    allowed if their score reaches the threshold. The models learn from four fifths of the examples, every run of
+    which counts, and the threshold is set by the other fifth, told apart by the hash of host and path; if either
+    part lacks a class, all examples serve for both. With examples of one class only there is nothing to
     compare: all URLs get that class. Without any, all are allowed. A null URL, or one without ``://``, has no
     characters and scores 0. Repeated URLs count as often as they occur; a table without rows gives none.
 
@@ -170,15 +173,22 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", least
     # Host and path follow from the text, and so do rule and verdict.
     texts = judged.select(F.concat("host", "path").alias("text"), F.col(allow).alias("allow")).groupBy("text")
     texts = texts.agg(F.count_if("allow").alias("good"), F.count_if(~F.col("allow")).alias("bad"))
-    texts = materialize(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
-    count = texts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
-    if not count.good or not count.bad:
-        scored, passed = judged.withColumn("score", F.lit(0.0)), F.lit(bool(count.good) or not count.bad)
+    # The distinct texts are few rows of which many are made: as many tasks as a shuffle has get some.
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == 0
+    texts = texts.repartition(parts, "text").withColumns({"kept": kept, "id": F.monotonically_increasing_id()})
+    texts = materialize(texts, "texts")
+    sums = [F.sum(F.when(F.col("kept") == k, F.col(c))).alias(f"{c}_{k}") for c in ("good", "bad") for k in (True, False)]
+    count = {k: n or 0 for k, n in texts.agg(*sums).first().asDict().items()}
+    good, bad = (count[f"{c}_True"] + count[f"{c}_False"] for c in ("good", "bad"))
+    if not good or not bad:
+        scored, passed = judged.withColumn("score", F.lit(0.0)), F.lit(bool(good) or not bad)
     else:
-        marked = texts.filter("good + bad > 0").select(_padded(F.col("text")).alias("chars"), "good", "bad")
+        learnt, told = (~F.col("kept"), F.col("kept")) if all(count.values()) else (F.lit(True), F.lit(True))
+        marked = texts.filter(learnt & (F.col("good") + F.col("bad") > 0)).select(_padded(F.col("text")).alias("chars"), "good", "bad")
         examples = marked.select("chars", F.explode(F.expr("array(true, false)")).alias("allow"), "good", "bad")
         examples = examples.withColumn("n", F.when(F.col("allow"), F.col("good")).otherwise(F.col("bad")))
-        values = run_values(examples.filter("n > 0"), "chars", "allow", "n").filter(F.col("seen") >= least)
+        values = run_values(examples.filter("n > 0"), "chars", "allow", "n")
         scores = materialize(score_texts(texts, values), "scores")
         # No text has a question mark; those that are empty, which may be many, look nothing up.
         spread = F.concat(F.lit("?"), F.pmod(F.monotonically_increasing_id(), F.lit(1000)).cast("string"))
@@ -186,7 +196,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", least
         keyed = judged.withColumn(text, F.when(whole == "", spread).otherwise(whole))
         of = scores.filter("text <> ''").select(F.col("text").alias(text), F.col("score"))
         scored = keyed.join(of, text, "left").withColumn("score", F.coalesce("score", F.lit(0.0))).drop(text)
-        passed = F.col("score") >= F.lit(_threshold(scores))
+        passed = F.col("score") >= F.lit(_threshold(scores.filter(told)))
     verdict = F.when(F.coalesce(F.col(allow), passed), F.lit("allow")).otherwise(F.lit("block"))
     columns = [*base.columns, "host", "path", "rule", "score"]
     return scored.withColumn("verdict", verdict).select(*[F.col(f"`{c}`") for c in columns], "verdict")

@@ -123,6 +123,11 @@ def phrase_places(words, phrases):
     return [(i, p) for p in phrases for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
 
 
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def in_fifth(doc_id):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 0
 

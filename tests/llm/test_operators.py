@@ -191,7 +191,7 @@ def test_url_verdicts(spark):
              (5, ""), (6, "no scheme"), (7, "http://x.com/fr/a#b"), (8, "http://x.com/de/"), (9, "http://notexample.org"),
              (10, "ftp://é.com/fr/%"), (11, "http://b.net/" + "x" * 3000), (12, "http://x.com/de/"), (None, "http://com/fr/")]
     table = spark.createDataFrame([(*p, "v") for p in pages], "page_id long, url string, score string")
-    found = {r.page_id: r for r in urls.filter_urls(table, URL_RULES, least=1).collect()}
+    found = {r.page_id: r for r in urls.filter_urls(table, URL_RULES).collect()}
     rules = {1: "example.org/es/", 2: "example.org/en/1", 3: "org/", 7: "com/fr/", 8: "com/de/", 10: "com/fr/", 12: "com/de/", None: "com/fr/"}
     assert {k: r.rule for k, r in found.items()} == {k: rules.get(k) for k, _ in pages}
     assert [found[k].verdict for k in (1, 2, 3, 7, 8)] == ["block", "block", "allow", "allow", "block"]
@@ -239,7 +239,10 @@ def test_url_scores_use_every_run(spark):
     parts = {True: "/fr/", False: "/de/"}
     texts = [(h + parts[a] + "".join(map(chr, rng.integers(97, 123, 50))), a) for h, a in hosts for _ in range(60)]
     counts, contexts = (defaultdict(lambda: [0, 0]) for _ in range(2))
+    held = {t for t, _ in texts if brute.signed_hash(t) % 5 == 0}
     for text, allow in texts:
+        if text in held:
+            continue
         padded = "\x02" * 4 + text
         for run in (padded[i - n + 1 : i + 1] for i in range(4, len(padded)) for n in range(1, 6)):
             counts[run][not allow] += 1
@@ -258,9 +261,10 @@ def test_url_scores_use_every_run(spark):
     texts += [("z.net/" + "".join(map(chr, rng.integers(97, 123, 50))), None) for _ in range(20)]
     known = {t: score(t) for t, _ in texts}
     table = spark.createDataFrame([(i, f"http://{t}") for i, (t, _) in enumerate(texts)], "page_id long, url string")
-    got = urls.filter_urls(table, URL_RULES, least=1).collect()
+    got = urls.filter_urls(table, URL_RULES).collect()
     assert len(got) == len(texts) and all(r.score == pytest.approx(known[r.host + r.path], abs=1e-8) for r in got)
-    of = [np.array([known[t] for t, allow in texts if allow is a]) for a in (True, False)]
+    of = [np.array([known[t] for t, allow in texts if allow is a and t in held]) for a in (True, False)]
+    assert all(len(x) > 4 for x in of)
     near, far = of[1].std() + 1e-9, of[0].std() + 1e-9
     threshold = (of[1].mean() * far + of[0].mean() * near) / (near + far)
     assert all((r.verdict == "allow") == (r.score >= threshold) for r in got if r.rule is None)
