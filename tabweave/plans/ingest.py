@@ -6,14 +6,14 @@ import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.constants import FAILED, IMPORTED, KEY_SEPARATOR, NEEDS_UPDATE, ORPHANS_TAG
 from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, source_col, target_id
-from tabweave.operators import state
+from tabweave.operators import hashtree, state
 from tabweave.operators.routing import default_bundle
 from tabweave.plans.compiler import (
     COPIES,
@@ -159,11 +159,17 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     that is repeated after a failure gives the same rows and ids.
     """
     options = options or Options()
-    sheet = _keyed(store, group, job)
+    sheet, known = _keyed(store, group, job), store.id_map(job.name)
+    tree, leaves, within = None if options.update else store.tree(job.name), None, F.lit(True)
+    if tree is not None:
+        # Ranges of keys in which nothing changed are neither read nor joined.
+        leaves = hashtree.differing_ranges(sheet, tree)
+        within = hashtree.in_ranges(F.col("src_key"), tree.lows, leaves)
+    part, known = sheet.filter(within), known.filter(within)
     # A first import has nothing to compare with, so nothing is shuffled for it.
     todo = state.rows_to_import(
-        sheet,
-        store.id_map(job.name),
+        part,
+        known,
         track_changes=job.track_changes,
         update=options.update or not store.has("id_map", job.name),
         limit=options.limit,
@@ -208,11 +214,13 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
     # Nothing new leaves the tables as they are; a first import makes them even when empty.
     if not store.has("id_map", job.name) or not rows.isEmpty():
         # Stubs first: a run repeated after a failure sees the rows as new until their id map is written.
-        if asks_for_stubs(job.mapping):
-            _keep_stubs(store, group, rows)
-        _keep_rows(store, job, rows, values)
+        if asks_for_stubs(job.mapping) and job.name in _keep_stubs(store, group, rows):
+            # Stubs of the job itself may lie in any range.
+            known, leaves = store.id_map(job.name).filter(within), None
+        _keep_rows(store, job, rows, values, known)
     if ORPHANS_TAG in job.tags:
-        remove_orphans(store, job, sheet)
+        remove_orphans(store, job, part, within)
+    store.keep_tree(job.name, leaves)
     store.discard(staged)
     if compared is not None:
         store.discard(compared)
@@ -235,8 +243,11 @@ def typed_fields(result: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return checked.withColumns({STATUS: F.when(failed, F.lit(FAILED)).otherwise(F.col(STATUS)), MESSAGES: messages}).drop(_CAST)
 
 
-def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -> None:
-    """Write what ``rows`` change: their targets, messages, copies and map rows; all else stays as it is."""
+def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str], known: DataFrame) -> None:
+    """Write what ``rows`` change: their targets, messages, copies and map rows; all else stays as it is.
+
+    ``known`` has the map rows of all their keys.
+    """
     made = target_id(F.lit(job.name), F.col("src_key"))
     imported = F.col(STATUS) == IMPORTED
     again, first = rows.filter(imported).select("src_key"), not store.has("id_map", job.name)
@@ -258,18 +269,20 @@ def _keep_rows(store: Store, job: Job, rows: DataFrame, values: Sequence[str]) -
     if first:
         others = others.withColumn("dest_id", F.lit(None).cast("string"))
     else:
-        others = others.join(store.id_map(job.name).select("src_key", "dest_id"), "src_key", "left")
+        others = others.join(known.select("src_key", "dest_id"), "src_key", "left")
     # The id map comes last: what it does not name yet is imported again by a repeated run.
     store.change("id_map", job.name, entries.unionByName(others.select(*entry)))
 
 
-def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:
-    """Write the placeholder rows that lookups asked for to the jobs they belong to."""
+def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> set[str]:
+    """Write the placeholder rows that lookups asked for to the jobs they belong to; the names of these jobs."""
+    stubbed = set()
     wanted = rows.select(F.explode(STUBS).alias("_s")).select("_s.migration", "_s.src_key").distinct()
     for job in group.jobs:
         mine = wanted.filter(F.col("migration") == job.name)
         if mine.isEmpty():
             continue
+        stubbed.add(job.name)
         known = store.id_map(job.name)
         new = mine.join(known.filter(F.col("dest_id").isNotNull()), "src_key", "left_anti").select("src_key")
         made = target_id(F.lit(job.name), F.col("src_key"))
@@ -287,11 +300,16 @@ def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> None:
         store.change(f"targets/{job.target}", job.name, entries.select(F.col("dest_id").alias("id"), F.lit(True).alias("is_stub")))
         store.change("id_map", job.name, entries)
         store.discard(path)
+    return stubbed
 
 
-def remove_orphans(store: Store, job: Job, sheet: DataFrame) -> None:
-    """Drop the targets, map rows and messages of source keys that left the sheet."""
+def remove_orphans(store: Store, job: Job, sheet: DataFrame, within: Column | None = None) -> None:
+    """Drop the targets, map rows and messages of source keys that left the sheet.
+
+    If ``sheet`` has the rows of some keys only, ``within`` tells which.
+    """
     known, table = store.id_map(job.name), f"targets/{job.target}"
+    known = known if within is None else known.filter(within)
     gone = state.orphans(known, sheet).filter(F.col("status") != NEEDS_UPDATE)
     path = store.staging("orphans")
     gone.write.parquet(path)
@@ -334,7 +352,10 @@ def _is_met(store: Store, group: Group, name: str) -> bool:
     known = store.id_map(name)
     for job in group.jobs:
         if job.name == name:
-            sheet = _keyed(store, group, job).select("src_key")
+            sheet, tree = _keyed(store, group, job), store.tree(name)
+            if tree is not None:
+                sheet, known = hashtree.parted(sheet, known, tree, hashtree.differing_ranges(sheet, tree))
+            sheet = sheet.select("src_key")
             return sheet.join(known.select("src_key"), "src_key", "left_anti").isEmpty()
     return not known.isEmpty()
 
@@ -382,5 +403,6 @@ def forget_group(store: Store, group: Group) -> None:
         store.remove("id_map", job.name)
         store.remove("messages", job.name)
         store.remove("copies", job.name)
+        store.remove("ranges", job.name)
 
 

@@ -6,10 +6,14 @@ any more: an import or a rollback writes what it changes, not the table. Of a ke
 the latest count; those of the base are the rest. Versions below the latest base are no longer read.
 
 Many changes become one; once they are a share of the base, all becomes a new base.
+
+The base of an id map lies in ranges of its keys, a file each, and beside it a hash tree over these ranges is kept,
+see :mod:`tabweave.operators.hashtree`.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
@@ -19,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabweave.operators.hashtree import Tree, build_tree, ranges_for, rebuilt
+from tabweave.session import materialize
 from tabweave.sources.delimited import text_schema
 
 ID_MAP = text_schema(["src_key", "dest_id", "status", "rollback_action", "row_hash"])
@@ -109,6 +115,9 @@ class Store:
     def replace(self, table: str, migration: str, df: DataFrame) -> None:
         """Make ``df`` the content of a job's table, as its base. ``df`` may read the table."""
         folder = self.folder(table, migration)
+        if table == "id_map":
+            df = materialize(df, "id_map")
+            df = df.repartitionByRange(ranges_for(df.count()), "src_key").sortWithinPartitions("src_key")
         self._drop(folder, self._add(folder, df, _BASE))
 
     def change(self, table: str, migration: str, rows: DataFrame | None = None, gone: DataFrame | None = None) -> None:
@@ -162,6 +171,43 @@ class Store:
         parts = [self.spark.read.parquet(f"{folder}/{n}").withColumn(_VERSION, F.lit(n.partition("=")[2])) for n in names]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
+    def tree(self, migration: str) -> Tree | None:
+        """The hash tree of a job's id map as it is now, if there is one: not after versions that it does not know."""
+        kept, live = self._kept_tree(migration), self._live(self.folder("id_map", migration))
+        return kept[1] if kept and kept[0] == live else None
+
+    def _kept_tree(self, migration: str) -> tuple[list[str], Tree] | None:
+        path = self.folder("ranges", migration)
+        row = self.spark.read.text(path, wholetext=True).first() if self.exists(path) else None
+        if row is None:
+            return None
+        of, lows, digests = json.loads(row.value)
+        return of, Tree(tuple(lows), tuple(map(tuple, digests)))
+
+    def keep_tree(self, migration: str, leaves: Sequence[int] | None = None) -> None:
+        """Write the hash tree of a job's id map.
+
+        If only the ranges ``leaves`` changed since the last one was written, only they are read, as long as the
+        base is the same; without a change the tree stays as it is.
+        """
+        folder = self.folder("id_map", migration)
+        live, kept = self._live(folder), self._kept_tree(migration)
+        if not live or (kept and kept[0] == live):
+            return
+        known = self.id_map(migration)
+        if leaves is not None and kept and kept[0][0] == live[0]:
+            tree = rebuilt(kept[1], known, leaves)
+        else:
+            tree = build_tree(known, self._base_lows(folder, live[0]))
+        row = self.spark.createDataFrame([(json.dumps([live, tree.lows, tree.digests]),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(self.folder("ranges", migration))
+
+    def _base_lows(self, folder: str, base: str) -> tuple[str, ...]:
+        """The lowest key of each file of an id map's base; files are few and lie in ranges."""
+        rows = self.spark.read.schema(ID_MAP).parquet(f"{folder}/{base}")
+        lows = rows.groupBy(F.col("_metadata.file_path")).agg(F.min("src_key").alias("low")).select("low").collect()
+        return tuple(sorted(r.low for r in lows)) or ("",)
+
     def discard(self, path: str) -> None:
         fs, at = self._fs(path)
         if fs.exists(at):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabweave.constants import FAILED, IGNORED, IMPORTED, ORPHANS_TAG
 from tabweave.functions.steps import Context
 from tabweave.functions.text import row_hash, target_id
+from tabweave.operators import hashtree
 from tabweave.operators import state as S
 from tabweave.plans.compiler import compile_mapping, messages_of
 from tabweave.plans.ingest import Group, Job, Options, import_group, rollback_job
@@ -58,6 +59,13 @@ def classify_rows(spark, sf):
     return S.classify_rows(_hashed(_customer_cells(spark, sf)), _known_customers(spark, sf))
 
 
+def classify_by_ranges(spark, sf):
+    """The same by a hash tree over ranges of the known keys, of which only those that differ are read."""
+    known = _known_customers(spark, sf)
+    lows = [r.low for r in known.groupBy(F.substring("src_key", 1, 2)).agg(F.min("src_key").alias("low")).select("low").orderBy("low").collect()]
+    return hashtree.classify_by_ranges(_hashed(_customer_cells(spark, sf)), known, hashtree.build_tree(known, lows))
+
+
 def rows_to_import(spark, sf):
     """New and changed rows only."""
     return S.rows_to_import(_hashed(_customer_cells(spark, sf)), _known_customers(spark, sf)).select("src_key", "c_mktsegment")
@@ -239,6 +247,11 @@ QUERIES = {
         f"""SELECT CAST(c_custkey AS VARCHAR) AS src_key, {_CHANGE} AS change FROM customer
             UNION ALL SELECT 'S' || s_suppkey, 'gone' FROM supplier""",
     ),
+    "classify_by_ranges": (
+        classify_by_ranges,
+        f"""SELECT CAST(c_custkey AS VARCHAR) AS src_key, {_CHANGE} AS change FROM customer
+            UNION ALL SELECT 'S' || s_suppkey, 'gone' FROM supplier""",
+    ),
     "rows_to_import": (
         rows_to_import,
         f"SELECT CAST(c_custkey AS VARCHAR) AS src_key, c_mktsegment FROM customer WHERE {_CHANGE} <> 'unchanged'",
