@@ -339,9 +339,11 @@ def remove_repeated(
     ranges = _solve(_cut(rows, scheme, bits), scheme)
     spans = ranges.groupBy("key", "hash").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     k, h, t = (free_name(x, base.columns) for x in ("_key", "_hash", "_text"))
-    wide = base.withColumns({k: named[0], h: F.xxhash64(named[1]), t: named[1]})
+    wide = base.withColumns({k: named[0], h: F.xxhash64(named[1])})
     found = wide.join(spans, wide[k].eqNullSafe(spans["key"]) & (wide[h] == spans["hash"]), "left")
-    found = found.select(*[wide[c] for c in base.columns], wide[t], spans["spans"])
+    # The bytes are made behind the join, so that the text goes through it once.
+    of = F.coalesce(wide[text].cast("binary"), F.lit(b"")).alias(t)
+    found = found.select(*[wide[c] for c in base.columns], of, spans["spans"])
     schema = base.schema.fields
     width = len(schema)
 
