@@ -173,11 +173,11 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> Da
     # Host and path follow from the text, and so do rule and verdict.
     texts = judged.select(F.concat("host", "path").alias("text"), F.col(allow).alias("allow")).groupBy("text")
     texts = texts.agg(F.count_if("allow").alias("good"), F.count_if(~F.col("allow")).alias("bad"))
-    # The distinct texts are few rows of which many are made: as many tasks as a shuffle has get some.
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == 0
-    texts = texts.repartition(parts, "text").withColumns({"kept": kept, "id": F.monotonically_increasing_id()})
-    texts = materialize(texts, "texts")
+    texts = materialize(texts.withColumns({"kept": kept, "id": F.monotonically_increasing_id()}), "texts")
+    # The distinct texts are few rows in one file, of which many rows are made: as many tasks as a shuffle has get some.
+    texts = texts.repartition(parts, "id")
     sums = [F.sum(F.when(F.col("kept") == k, F.col(c))).alias(f"{c}_{k}") for c in ("good", "bad") for k in (True, False)]
     count = {k: n or 0 for k, n in texts.agg(*sums).first().asDict().items()}
     good, bad = (count[f"{c}_True"] + count[f"{c}_False"] for c in ("good", "bad"))
