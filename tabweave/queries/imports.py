@@ -1,7 +1,8 @@
-"""Registered queries over whole imports: versioned tables, isolated failures, nested checks, listings."""
+"""Registered queries over whole imports: versioned tables, isolated failures, nested checks, listings, claims."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tabweave.functions.steps import Context
@@ -12,6 +13,7 @@ from tabweave.queries.steps import RUN_TS, _outcome
 from tabweave.session import delete_on_exit, materialize, scratch_path
 from tabweave.sources.delimited import accepted_files
 from tabweave.sources.tables import table
+from tabweave.streaming.deferred import Claims, run_deferred
 
 KINDS = {"BUILDING": "b", "FURNITURE": "f", "MACHINERY": "m"}
 
@@ -112,6 +114,34 @@ def sheet_formats(spark, sf):
     return accepted_files(pages).select("page_id", "format", "error")
 
 
+def deferred_claims(spark, sf):
+    """Orders as named items, some queued twice; after a failure all are given again, and each was taken up once."""
+    queue, checkpoint, path, out = (scratch_path(spark, n) for n in ("queue", "claims-checkpoint", "claims", "claimed"))
+    for folder in (queue, checkpoint, path, out):
+        delete_on_exit(spark, folder)
+    orders = table(spark, sf, "orders")
+    items = orders.select(F.col("o_orderkey").cast("string").alias("item"), F.col("o_custkey").cast("string").alias("request"))
+    items.unionByName(items.filter("CAST(item AS BIGINT) % 3 = 0")).write.parquet(queue)
+    known = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_nationkey").alias("owner"))
+    attempts = []
+
+    def run(taken, number):
+        attempts.append(number)
+        taken.write.parquet(f"{out}/attempt={len(attempts)}")
+        if len(attempts) == 1:
+            raise RuntimeError("cut short after the items were run")
+
+    def work(checkpoint):
+        stream = spark.readStream.schema("item string, request string").parquet(queue)
+        run_deferred(stream, lambda: known, run, checkpoint, Claims(path)).awaitTermination()
+
+    try:
+        work(checkpoint)
+    except StreamingQueryException:
+        work(checkpoint)
+    return spark.read.parquet(out).select(F.col("item").cast("bigint").alias("item"), "request", "owner", "grp")
+
+
 _KIND = "CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'FURNITURE' THEN 'f' WHEN 'MACHINERY' THEN 'm' END"
 
 QUERIES = {
@@ -144,6 +174,11 @@ QUERIES = {
                     CASE WHEN o_orderkey % 5 = 0 THEN 'n' ELSE 'u+v' END END AS shown
            FROM t""",
     ),
+    "deferred_claims": (
+        deferred_claims,
+        """SELECT o_orderkey AS item, CAST(o_custkey AS VARCHAR) AS request, c_nationkey AS owner, 'isi__' || o_custkey AS grp
+           FROM orders JOIN customer ON c_custkey = o_custkey""",
+    ),
     "step_filesize": (
         step_filesize,
         "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS size FROM documents",
