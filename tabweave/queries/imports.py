@@ -1,4 +1,4 @@
-"""Registered queries over whole imports: versioned tables, isolated failures, nested checks, listings, claims."""
+"""Registered queries over whole imports: versioned tables, isolated failures, nested checks, listings, streams."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from tabweave.session import delete_on_exit, materialize, scratch_path
 from tabweave.sources.delimited import accepted_files
 from tabweave.sources.tables import table
 from tabweave.streaming.deferred import Claims, run_deferred
+from tabweave.streaming.ledger import ledger, run_ledger
 
 KINDS = {"BUILDING": "b", "FURNITURE": "f", "MACHINERY": "m"}
 
@@ -142,6 +143,24 @@ def deferred_claims(spark, sf):
     return spark.read.parquet(out).select(F.col("item").cast("bigint").alias("item"), "request", "owner", "grp")
 
 
+def ledger_stream(spark, sf):
+    """Orders as request changes in two lots of several batches, each a run of its own: the ledger after both."""
+    queue, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "ledger-checkpoint")
+    for folder in (queue, checkpoint):
+        delete_on_exit(spark, folder)
+    op = F.when(F.col("o_orderstatus") == "O", "insert").when(F.col("o_orderstatus") == "P", "update").otherwise("delete")
+    priority = F.col("o_orderpriority")
+    changes = table(spark, sf, "orders").select(
+        "o_orderkey", op.alias("op"), F.col("o_custkey").alias("request"), priority.alias("old_file"), F.concat(F.lit("new "), priority).alias("new_file")
+    )
+    store = _store(spark, "ledger")
+    for lot in (0, 1):
+        changes.filter(F.col("o_orderkey") % 2 == lot).repartition(2).write.mode("append").parquet(queue)
+        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(queue)
+        run_ledger(stream, store, "usage", checkpoint).awaitTermination()
+    return ledger(store, "usage")
+
+
 _KIND = "CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'FURNITURE' THEN 'f' WHEN 'MACHINERY' THEN 'm' END"
 
 QUERIES = {
@@ -179,6 +198,12 @@ QUERIES = {
         """SELECT o_orderkey AS item, CAST(o_custkey AS VARCHAR) AS request, c_nationkey AS owner, 'isi__' || o_custkey AS grp
            FROM orders JOIN customer ON c_custkey = o_custkey""",
     ),
+    "ledger_stream": (
+        ledger_stream,
+        """WITH e AS (SELECT o_orderpriority AS file, o_custkey AS request, -1 AS delta FROM orders WHERE o_orderstatus IN ('P', 'F')
+                      UNION ALL SELECT 'new ' || o_orderpriority, o_custkey, 1 FROM orders WHERE o_orderstatus IN ('O', 'P'))
+           SELECT file, request, CAST(sum(delta) AS BIGINT) AS uses FROM e GROUP BY 1, 2""",
+    ),
     "step_filesize": (
         step_filesize,
         "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS size FROM documents",
