@@ -219,14 +219,16 @@ def _entities(cfg: dict, ctx: Context) -> DataFrame:
 
 
 def _entity_lookup(df, value, out, cfg, ctx):
-    return lookups.entity_lookup(df, value, _entities(cfg, ctx), out, bool(cfg.get("ignore_case")), ctx.key)
+    return lookups.entity_lookup(df, value, _entities(cfg, ctx), out, bool(cfg.get("ignore_case")), ctx.key, cfg.get("collation"))
 
 
 def constant_entity(value: Any, cfg: dict, ctx: Context) -> Column:
     """The entity of one value, found by a small job whose filters reach the scan."""
     entities = _entities(cfg, ctx)
     same = F.col("value") == F.lit(value)
-    if cfg.get("ignore_case"):
+    if cfg.get("collation"):
+        same = F.collate(F.col("value"), cfg["collation"]) == F.lit(value)
+    elif cfg.get("ignore_case"):
         same = F.lower("value") == F.lower(F.lit(value))
     return F.lit(entities.filter(same).agg(F.min("id")).first()[0]).cast(entities.schema["id"].dataType)
 

@@ -21,22 +21,26 @@ _KEY, _HIT = "_lookup_key", "_lookup_hit"
 SALTS = 4096
 
 
-def one_per_key(dimension: DataFrame, key: Column, hit: Column) -> DataFrame:
+def _as_text(key: Column, collation: str | None) -> Column:
+    return F.collate(key.cast("string"), collation) if collation else key.cast("string")
+
+
+def one_per_key(dimension: DataFrame, key: Column, hit: Column, collation: str | None = None) -> DataFrame:
     """Reduce a dimension to its least hit per key, partly before the shuffle. Keys are compared as text."""
-    return dimension.select(key.cast("string").alias(_KEY), hit.alias(_HIT)).filter(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(
+    return dimension.select(_as_text(key, collation).alias(_KEY), hit.alias(_HIT)).filter(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(
         F.min(_HIT).alias(_HIT)
     )
 
 
 def left_lookup(
-    df: DataFrame, key: Column, dimension: DataFrame, out: str, spread: Column | None = None
+    df: DataFrame, key: Column, dimension: DataFrame, out: str, spread: Column | None = None, collation: str | None = None
 ) -> DataFrame:
     """Add ``out``: the hit of ``key`` in a dimension made by :func:`one_per_key`, NULL on a miss.
 
     Optional references leave many rows without a key. With ``spread``, any column that varies, these
     rows go to many partitions instead of the one of NULL; the salt is no key of the dimension.
     """
-    asked = _asked(key, spread)
+    asked = _as_text(_asked(key, spread), collation)
     return df.join(dimension, asked == F.col(_KEY), "left").withColumnRenamed(_HIT, out).drop(_KEY)
 
 
@@ -61,23 +65,32 @@ def entities_of(
 
 
 def entity_lookup(
-    df: DataFrame, value: str, entities: DataFrame, out: str, ignore_case: bool = False, row_key: str | None = None
+    df: DataFrame,
+    value: str,
+    entities: DataFrame,
+    out: str,
+    ignore_case: bool = False,
+    row_key: str | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """Value to entity id, for ``entities`` with ``value`` and ``id`` columns; the least id of several.
 
+    Values are the same if a named ``collation`` says so, such as ``UNICODE_CI_AI``, under which neither case nor
+    accents count; else letter by letter, or with ``ignore_case`` in lower case.
+
     A list of values becomes the list of its hits, for which ``row_key`` must tell the rows apart.
     """
-    fold = F.lower if ignore_case else (lambda c: c)
-    dimension = one_per_key(entities, fold(F.col("value")), F.col("id"))
+    fold = F.lower if ignore_case and not collation else (lambda c: c)
+    dimension = one_per_key(entities, fold(F.col("value")), F.col("id"), collation)
     # A vocabulary is counted, up to the bound, so that a small one costs no shuffle of the rows.
     rows = dimension.limit(BROADCAST_ROWS + 1).count()
     dimension = bounded_broadcast(dimension, rows)
     if df.schema[value].dataType.typeName() != "array":
         spread = source_col(row_key) if row_key else None
-        return left_lookup(df, fold(source_col(value)), dimension, out, spread)
+        return left_lookup(df, fold(source_col(value)), dimension, out, spread, collation)
     # A row's own values only, as many as its cell holds.
     parts = df.select(F.col(row_key).alias("_row_key"), F.posexplode(source_col(value)).alias("_at", "_part"))
-    hits = left_lookup(parts, fold(F.col("_part")), dimension, "_id").filter(F.col("_id").isNotNull())
+    hits = left_lookup(parts, fold(F.col("_part")), dimension, "_id", collation=collation).filter(F.col("_id").isNotNull())
     listed = hits.groupBy("_row_key").agg(F.array_sort(F.collect_list(F.struct("_at", "_id"))).alias("_ids"))
     listed = listed.select("_row_key", F.transform("_ids", lambda s: s["_id"]).alias(out))
     return df.join(listed, F.col(row_key) == F.col("_row_key"), "left").drop("_row_key")

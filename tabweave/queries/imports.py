@@ -6,6 +6,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tabweave.functions.steps import Context
+from tabweave.operators.access import longest_rule
+from tabweave.operators.lookups import entity_lookup
 from tabweave.plans.compiler import accepted, compile_mapping
 from tabweave.plans.ingest import Group, Job, import_group, rollback_group
 from tabweave.plans.store import Store
@@ -161,6 +163,25 @@ def ledger_stream(spark, sf):
     return ledger(store, "usage")
 
 
+def access_rules(spark, sf):
+    """Pages against a table of rules that other pages make, with and without a boundary behind the directory."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    parts = F.split("url", "/")
+    folder = F.array_join(F.slice(parts, 1, 3 + (F.col("page_id") % 3).cast("int")), "/")
+    rules = pages.filter("page_id % 4 = 0").select(F.when(F.col("page_id") % 8 == 0, F.concat(folder, F.lit("/"))).otherwise(folder).alias("rule"))
+    loose = longest_rule(pages, "url", rules, "loose")
+    return longest_rule(loose, "url", rules, "strict", strict=True).select("page_id", "loose", F.rtrim("strict", F.lit("/")).alias("strict"))
+
+
+def lookup_collation(spark, sf):
+    """Segments in other letters, looked up by a collation for which neither case nor accents count."""
+    accented = F.translate("c_mktsegment", "AEIOU", "\u00c0\u00e9\u0130\u00f6\u00dc")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", accented.alias("asked"))
+    segments = customers.groupBy(F.col("c_mktsegment").alias("value")).agg(F.min("c_custkey").alias("id"))
+    hits = entity_lookup(customers, "asked", segments, "hit", collation="UNICODE_CI_AI")
+    return entity_lookup(hits, "asked", segments, "miss", ignore_case=True).select("c_custkey", "asked", "hit", "miss")
+
+
 _KIND = "CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'FURNITURE' THEN 'f' WHEN 'MACHINERY' THEN 'm' END"
 
 QUERIES = {
@@ -204,6 +225,22 @@ QUERIES = {
                       UNION ALL SELECT 'new ' || o_orderpriority, o_custkey, 1 FROM orders WHERE o_orderstatus IN ('O', 'P'))
            SELECT file, request, CAST(sum(delta) AS BIGINT) AS uses FROM e GROUP BY 1, 2""",
     ),
+    "access_rules": (
+        access_rules,
+        r"""WITH p AS (SELECT page_id, url, string_split(url, '/') AS s FROM pages),
+                r AS (SELECT DISTINCT array_to_string(s[1:3 + page_id % 3], '/') || CASE WHEN page_id % 8 = 0 THEN '/' ELSE '' END AS rule
+                      FROM p WHERE page_id % 4 = 0),
+                l AS (SELECT page_id, arg_max(rule, len(rule)) AS loose FROM p JOIN r ON starts_with(url, rule) GROUP BY 1),
+                t AS (SELECT page_id, arg_max(rtrim(rule, '/'), len(rtrim(rule, '/'))) AS strict FROM p JOIN r
+                      ON url = rtrim(rule, '/') OR starts_with(url, rtrim(rule, '/') || '/') GROUP BY 1)
+           SELECT page_id, loose, strict FROM p LEFT JOIN l USING (page_id) LEFT JOIN t USING (page_id)""",
+    ),
+    "lookup_collation": (
+        lookup_collation,
+        """SELECT c_custkey, translate(c_mktsegment, 'AEIOU', '\u00c0\u00e9\u0130\u00f6\u00dc') AS asked,
+                  (SELECT min(c_custkey) FROM customer o WHERE o.c_mktsegment = c.c_mktsegment) AS hit,
+                  CASE WHEN NOT regexp_matches(c_mktsegment, '[AEIOU]') THEN c_custkey END AS miss FROM customer c""",
+    ),
     "step_filesize": (
         step_filesize,
         "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS size FROM documents",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tabweave.constants import ACCEPTED_FORMATS
 from tabweave.functions.text import key_text, source_col, split_limited
-from tabweave.session import bounded_broadcast
+from tabweave.session import bounded_broadcast, materialize
 
 ROW = "_row"
 # Lines that are looked at first for a header whose cells may hold line breaks.
@@ -72,9 +72,9 @@ def _number_rows(scan: DataFrame) -> DataFrame:
     before = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.sum("_count").over(before)
     offsets = blocks.select(_FILE, _BLOCK, (F.coalesce(earlier, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
-    # A partition is filled up to the block size, so blocks cannot outnumber files and partitions together.
-    bound = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
-    numbered = placed.join(bounded_broadcast(offsets, bound), [_FILE, _BLOCK])
+    # The blocks are counted by the tasks; the driver sees their number only.
+    offsets = materialize(offsets, "blocks")
+    numbered = placed.join(bounded_broadcast(offsets, offsets.count()), [_FILE, _BLOCK])
     return numbered.withColumn(ROW, F.col(_POS) + F.col("_shift"))
 
 
@@ -89,6 +89,15 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None
     return _number_rows(scan.filter(F.trim("value") != "")).select(_FILE, ROW, "value")
 
 
+def _listed(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> tuple[int, str | None]:
+    """Number of the files and the least of their names; names are compared by the tasks, and no file is opened."""
+    reader = spark.read.format("binaryFile")
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    found = reader.load([path] if isinstance(path, str) else list(path)).agg(F.count("path").alias("n"), F.min("path").alias("least"))
+    row = found.first()
+    return row.n, row.least
+
+
 def peek_header(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -100,8 +109,9 @@ def peek_header(
     """Cells of the header row of the first file; reads that file's beginning only."""
     if header_row < 1:
         raise ValueError("Failed to find header row.")
-    listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    first = sorted(listing.text(path).inputFiles())[0]
+    first = _listed(spark, path, glob)[1]
+    if first is None:
+        raise ValueError("Failed to find header row.")
     if multiline:
         return _record(spark, first, header_row, delimiter)
     lines = (
@@ -217,8 +227,7 @@ def read_sheet(
         raise ValueError("Without a header row the columns must be given")
     if header_row >= 1 and not (columns and mode == "position"):
         header = peek_header(spark, path, header_row, delimiter, glob, multiline)
-        listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-        if len(listing.text(path).inputFiles()) > 1:
+        if _listed(spark, path, glob)[0] > 1:
             check_headers(spark, path, header_row, glob)
     else:
         header = list(columns)

@@ -5,9 +5,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabweave.functions.steps import Context
-from tabweave.functions.text import row_hash
+from tabweave.functions.text import path_allowed, row_hash
 from tabweave.operators import lookups as L
 from tabweave.operators import state as S
+from tabweave.operators.access import longest_rule
 from tabweave.operators.ledger import file_usage, usage_events
 from tabweave.operators.manifest import copy_manifest, free_numbers, number_clashes
 from tabweave.operators.multivalue import explode_values
@@ -210,3 +211,36 @@ def test_free_numbers_of_a_hot_base(spark):
     )
     free = {b: [k for k in range(1000) if k not in set(ks)] for b, ks in taken.items()}
     assert {(r.base, r.nth): r.free for r in got.collect()} == {(b, n): free[b][n - 1] for b, n in claims}
+
+
+def test_rules_as_a_table_say_what_the_expression_says(spark):
+    rules = ["/a/b", "/a", "/a/b/", "s3://x/y", "/a/bc/d", "/\u00e9/"]
+    paths = ["/a/b/c", "/a/bx", "/a", "/ab", "/a/b", "/a/b/../c", "..", "s3://x/y/z", "s3://x/yz", "/a/bc/d", "/\u00e9/1", "/z", "", None, "/a/b/c"]
+    df = spark.createDataFrame([(i, p, "z") for i, p in enumerate(paths)], "id int, p string, found string")
+    frame = spark.createDataFrame([(r,) for r in [*rules, None, rules[0]]], "rule string")
+    for strict in (False, True):
+        got = longest_rule(df, "p", frame, "found", strict=strict).withColumn("was", path_allowed(F.col("p"), rules, [], strict))
+        rows = got.collect()
+        assert len(rows) == len(paths) and all((r.found is not None) == r.was for r in rows)
+        best = {r.p: (r.found or "").rstrip("/") for r in rows}
+        assert best["/a/b/c"] == "/a/b" and best["/a/bx"] == ("/a" if strict else "/a/b") and best["/a/bc/d"] == "/a/bc/d"
+    assert longest_rule(df, "p", frame.limit(0), "found").filter("found IS NOT NULL").isEmpty()
+
+
+def test_many_rules_make_no_larger_plan(spark):
+    paths = spark.range(2000).select(F.concat(F.lit("/r"), F.col("id"), F.lit("/f")).alias("p"))
+    many = spark.range(100_000).filter("id % 2 = 0").select(F.concat(F.lit("/r"), F.col("id"), F.lit("/")).alias("rule"))
+    got = longest_rule(paths, "p", many, "rule")
+    assert got.filter("rule IS NOT NULL").count() == 1000
+    few = longest_rule(paths, "p", many.filter("id < 100000"), "rule")
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(got) < size(few) + 2000
+
+
+def test_lookups_by_collation(spark):
+    words = ["Z\u00dcRICH", "zurich", "Zu\u0308rich", "\u0130zmir", "STRASSE", None]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    known = spark.createDataFrame([("Z\u00fcrich", 1), ("izmir", 2), ("z\u00fcrich", 3)], "value string, id int")
+    hits = {r.w: r.hit for r in L.entity_lookup(df, "w", known, "hit", collation="UNICODE_CI_AI").collect()}
+    assert list(hits.values()).count(1) == 3 and hits["\u0130zmir"] == 2 and hits["STRASSE"] is None and hits[None] is None
+    assert {r.w: r.hit for r in L.entity_lookup(df, "w", known, "hit").collect()} == dict.fromkeys(words)
