@@ -157,7 +157,9 @@ def mix_sources(
 def training_order(mixed: DataFrame, text: str = "text") -> DataFrame:
     """The mix as it is trained on: a row for each pass over a document, sorted by time.
 
-    The last pass of a document that is only partly taken has its first words, joined by spaces; all others have the whole text. Needs the columns of :func:`mix_sources`, which are left out.
+    The last pass of a document that is only partly taken has its first words, joined by spaces; all others have the
+    whole text. Needs the columns of :func:`mix_sources`, which are left out. Documents that are never taken, null
+    and empty texts among them, have no row; keys are not looked at; equal times are ordered by pass.
     """
     at, left = (free_name(x, mixed.columns) for x in ("_at", "_left"))
     n = free_name("_pass", mixed.columns)

@@ -216,7 +216,10 @@ def score_quality(docs: DataFrame, model: Model, key: str = "doc_id", text: str
 
 
 def keep_quality(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score is at least ``least``, as they are."""
+    """The rows of ``docs`` whose score is at least ``least``, as they are.
+
+    Null and empty texts are scored like any other; keys are not looked at, so null and repeated ones change nothing.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
