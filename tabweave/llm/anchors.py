@@ -9,7 +9,9 @@ in proportion to the text, however often its passages repeat:
    sends a unit too many.
 2. Units with such anchors are cut. Of equal units of a task, the one in the first place is sent on with its
    symbols; the others are known to be repeated.
-3. Units are dealt out by anchor, and a solver judges the windows of each shard.
+3. Units are dealt out by anchor, and a solver judges the windows of each shard. An anchor with very many places
+   would bring all the different texts around one phrase to one shard; its units are cut into their windows, which
+   are dealt out by a digest of the whole window and compared by it, so no shard holds such an anchor.
 4. What is to be removed goes back to the documents as ranges.
 """
 
@@ -27,12 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabweave.llm.text import free_name
+from tabweave.session import materialize
 
 # Bits of the map of repeated anchors, a power of 2: 8 MiB for every task, whatever the corpus.
 MAP_BITS = 1 << 26
 # Bytes of unit symbols that a task holds before it sends them on.
 HELD = 64 << 20
 
+# Places from which on an anchor's units are cut into windows, and bytes of a window's digest, fewer than a window has.
+HOT_PLACES = 4096
+DIGEST = 16
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xBF58476D1CE4E5B9)
 _SPREAD = 0xD6E8FEB86659FD93
@@ -60,7 +67,8 @@ class Scheme:
     symbols. ``pieces`` gives a function that cuts symbols out of a text as bytes, ``loaded`` turns such bytes into
     symbols end to end and their number by unit, exactly. The solver gets units and tells for each of their
     windows, unit by unit, whether it is to be removed. ``chunk`` is the number of bytes at which a shard is
-    closed; a shard never splits an anchor.
+    closed; a shard never splits an anchor. ``everywhere`` tells whether all places of a repeated window are
+    removed, else all but the first.
     """
 
     length: int
@@ -70,6 +78,7 @@ class Scheme:
     loaded: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     solver: Callable[[Units, int], np.ndarray]
     chunk: int
+    everywhere: bool
 
 
 def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
@@ -115,8 +124,8 @@ def runs(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(anchors)))
 
 
-def repeated_anchors(rows: DataFrame, scheme: Scheme) -> np.ndarray:
-    """Bitmap of the anchors that have more than one place in all texts of ``rows``."""
+def repeated_anchors(rows: DataFrame, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmap of the anchors that have more than one place in all texts of ``rows``; and those with very many."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +138,17 @@ def repeated_anchors(rows: DataFrame, scheme: Scheme) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["anchor"])
 
     counts = rows.select("text").mapInArrow(places, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.filter("n > 1"), "anchors")
     bit = F.col("anchor").bitwiseAND(MAP_BITS - 1)
     word = F.shiftright(bit, 6).cast("int").alias("word")
-    words = counts.filter("n > 1").groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(anchor & 63 as int))")).alias("bits"))
+    words = counts.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(anchor & 63 as int))")).alias("bits"))
     # At most MAP_BITS / 64 rows, however many anchors there are.
     found = words.toArrow()
     bits = np.zeros(MAP_BITS // 64, np.int64)
     bits[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return bits.view(np.uint64)
+    # One anchor for HOT_PLACES places at most: 8 bytes for some 100 kB of text.
+    hot = counts.filter(F.col("n") >= HOT_PLACES).select("anchor").toArrow()["anchor"].to_numpy()
+    return bits.view(np.uint64), hot
 
 
 def _in_map(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
@@ -160,7 +172,19 @@ def _first(key: int | None, start: int) -> tuple:
     return (key is None, key or 0, start)
 
 
-def _cut(rows: DataFrame, scheme: Scheme, bits) -> DataFrame:
+def _joined(units: list[list]) -> list[list]:
+    """Units of windows that are known to be repeated, with those of one text that follow each other as one."""
+    out: list[list] = []
+    for unit in units:
+        last = out[-1] if out else None
+        if last and unit[6] is last[6] is None and unit[1:3] == last[1:3] and unit[3] == last[3] + last[4]:
+            last[4] += unit[4]
+        else:
+            out.append(unit)
+    return out
+
+
+def _cut(rows: DataFrame, scheme: Scheme, sent) -> DataFrame:
     """Units of repeated anchors, with their symbols; without, if an equal one of the task is in an earlier place."""
 
     def packed(units: list[list]) -> pa.RecordBatch:
@@ -168,8 +192,26 @@ def _cut(rows: DataFrame, scheme: Scheme, bits) -> DataFrame:
         arrays = [pa.array(c, kind) for c, kind in zip(columns, _UNIT.values(), strict=True)]
         return pa.RecordBatch.from_arrays(arrays, list(_UNIT))
 
+    def known(unit: list) -> list:
+        """The unit as one that is known to be repeated: any task may have it, and those of one text need not meet."""
+        unit[0], unit[6] = _signed(((unit[1] or 0) * _SPREAD + unit[3]) % (1 << 64)), None
+        return unit
+
+    def met(first: dict, new: list, ready: list) -> bool:
+        """Put a unit among the ``first`` of the task; those it shows to be repeated become ready. Is it a new one?"""
+        old = first.setdefault(new[6], new)
+        if old is new:
+            return True
+        old[5] = new[5] = old[5] + 1
+        here, there = _first(new[1], new[3]), _first(old[1], old[3])
+        if here < there:
+            first[new[6]], new = new, old
+        ready.append(new if here == there else known(new))
+        return False
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, ready, size = {}, [], 0
+        first, whole, ready, size = {}, {}, [], 0
+        bitmap, hot = sent.value[0], frozenset(sent.value[1].tolist())
         for batch in batches:
             for key, value in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
                 text = value.as_py() or b""
@@ -178,29 +220,37 @@ def _cut(rows: DataFrame, scheme: Scheme, bits) -> DataFrame:
                     continue
                 anchors = anchors_of(symbols, scheme)[1]
                 start, windows = runs(anchors)
-                kept = _in_map(bits.value, anchors[start])
+                kept = _in_map(bitmap, anchors[start])
                 if not kept.any():
                     continue
                 piece, digest = scheme.pieces(text), _signed(xxhash.xxh64_intdigest(text, 42))
                 names = anchors[start[kept]].view(np.int64).tolist()
                 for anchor, s, n in zip(names, start[kept].tolist(), windows[kept].tolist(), strict=True):
                     unit = piece(s, s + n + scheme.length - 1)
-                    new = [anchor, key, digest, s, n, 1, unit]
-                    old = first.setdefault(unit, new)
-                    if old is new:
-                        size += len(unit)
+                    if anchor not in hot:
+                        if met(first, [anchor, key, digest, s, n, 1, unit], ready):
+                            size += len(unit)
                         continue
-                    old[5] = new[5] = old[5] + 1
-                    here, there = _first(key, s), _first(old[1], old[3])
-                    if here < there:
-                        first[unit], new = new, old
-                    if here != there:
-                        # Known to be repeated: any task may have it, and those of one text need not meet.
-                        new[0], new[6] = _signed(((new[1] or 0) * _SPREAD + new[3]) % (1 << 64)), None
-                    ready.append(new)
+                    here, (there, parts) = _first(key, s), whole.get(unit, (None, ()))
+                    if there is not None and there < here:
+                        # All its windows are repeated by an equal unit, whose windows are so as well.
+                        for part in parts:
+                            part[5] = 2
+                        ready.append(known([anchor, key, digest, s, n, 1, unit]))
+                        continue
+                    made, late = [], []
+                    for i in range(s, s + n):
+                        name = xxhash.xxh3_128_digest(piece(i, i + scheme.length))
+                        part = [int.from_bytes(name[:8], "little", signed=True), key, digest, i, 1, 1, name]
+                        if met(first, part, late):
+                            size += 40 * DIGEST
+                            made.append(part)
+                    ready += _joined(late)
+                    whole[unit] = (here, made)
+                    size += len(unit)
             if size > HELD:
                 ready += first.values()
-                first, size = {}, 0
+                first, whole, size = {}, {}, 0
             if len(ready) >= 10_000:
                 yield packed(ready)
                 ready = []
@@ -261,6 +311,27 @@ def _judged(table: pa.Table, scheme: Scheme) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([keys.take(owner), hashes.take(owner), pa.array(low), pa.array(high)], _RANGE)
 
 
+def _judged_windows(table: pa.Table, scheme: Scheme) -> pa.RecordBatch:
+    """Ranges to remove of windows that are compared by their digests."""
+    values = table.column("symbols").to_pylist()
+    keys, hashes = table.column("key").combine_chunks(), table.column("hash").combine_chunks()
+    order = np.unique(keys.fill_null(0).to_numpy(), return_inverse=True)[1]
+    order = np.where(keys.is_null().to_numpy(zero_copy_only=False), len(values), order)
+    start, count = table.column("start").to_numpy(), table.column("count").to_numpy().copy()
+    firsts, later = _firsts(values, order, start, count)
+    at = np.array([*later, *(i for i in firsts if scheme.everywhere and count[i] > 1)], np.int64)
+    low = pa.array(start[at])
+    return pa.RecordBatch.from_arrays([keys.take(at), hashes.take(at), low, pa.array(start[at] + scheme.length)], _RANGE)
+
+
+def _judged_units(table: pa.Table, scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    """Ranges to remove of a shard, which may have units and single windows."""
+    single = pc.equal(pc.binary_length(table.column("symbols")), DIGEST)
+    for part, judge in ((table.filter(pc.invert(single)), _judged), (table.filter(single), _judged_windows)):
+        if part.num_rows:
+            yield judge(part, scheme)
+
+
 def _shard_end(table: pa.Table, scheme: Scheme) -> int:
     """Units that make the next shard: whole anchors, up to the chunk's size if that ends one. 0: the anchor goes on."""
     anchors = table.column("anchor").to_numpy()
@@ -296,13 +367,13 @@ def _solve(units: DataFrame, scheme: Scheme) -> DataFrame:
                 whole = pa.concat_tables(held).combine_chunks()
                 cut = _shard_end(whole, scheme)
                 if cut:
-                    yield _judged(whole.slice(0, cut), scheme)
+                    yield from _judged_units(whole.slice(0, cut), scheme)
                 held = [whole.slice(cut)]
                 size = held[0].column("symbols").nbytes
                 if not cut:
                     break
         if held:
-            yield _judged(pa.concat_tables(held), scheme)
+            yield from _judged_units(pa.concat_tables(held), scheme)
 
     return dealt.mapInArrow(solve, ", ".join(f"{n} long" for n in _RANGE))
 
@@ -335,8 +406,8 @@ def remove_repeated(
     base = docs.drop(*[a for a in added if a not in (key, text)])
     named = F.col(f"`{key}`").cast("bigint"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     rows = base.select(named[0].alias("key"), named[1].alias("text"))
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(rows, scheme))
-    ranges = _solve(_cut(rows, scheme, bits), scheme)
+    sent = docs.sparkSession.sparkContext.broadcast(repeated_anchors(rows, scheme))
+    ranges = _solve(_cut(rows, scheme, sent), scheme)
     spans = ranges.groupBy("key", "hash").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     k, h, t = (free_name(x, base.columns) for x in ("_key", "_hash", "_text"))
     wide = base.withColumns({k: named[0], h: F.xxhash64(named[1])})

@@ -169,7 +169,7 @@ def repeated_windows(units: Units, length: int) -> np.ndarray:
     return first[begins[unit] + offset] < place
 
 
-SCHEME = Scheme(LENGTH, GRAM, word_codes, word_pieces, numbered_words, repeated_windows, CHUNK)
+SCHEME = Scheme(LENGTH, GRAM, word_codes, word_pieces, numbered_words, repeated_windows, CHUNK, everywhere=False)
 
 
 def _kept_words(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, bytes]:

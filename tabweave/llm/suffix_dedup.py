@@ -121,7 +121,7 @@ def _loaded(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _bytes(b"".join(units)), np.array([len(u) for u in units])
 
 
-SCHEME = Scheme(LENGTH, GRAM, _bytes, _pieces, _loaded, repeated_strings, CHUNK)
+SCHEME = Scheme(LENGTH, GRAM, _bytes, _pieces, _loaded, repeated_strings, CHUNK, everywhere=True)
 
 
 def _kept_bytes(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, bytes]:

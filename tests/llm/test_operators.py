@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
-from tabweave.llm import decontaminate, fm_dedup, graph, licenses, mixing, quality, sharding, simhash, suffix_dedup, topk, urls
+from tabweave.llm import anchors, decontaminate, fm_dedup, graph, licenses, mixing, quality, sharding, simhash, suffix_dedup, topk, urls
 from tabweave.llm.queries import CURRICULUM, URL_RULES
 from tests.llm import brute, odd
 
@@ -144,6 +144,37 @@ def test_repeated_bytes(spark):
     assert suffix_dedup.remove_repeated_strings(odd.none(spark)).count() == 0
 
 
+def shared_passage(n=90):
+    """A third of the texts has one passage, whole or in part, within words of their own; some are copies."""
+    passage = odd.words(75, 21, 50_000)
+    out = []
+    for i in range(n):
+        own = odd.words(60, 100 + i, 50_000)
+        cut = passage[i % 7 :] if i % 2 else passage[: 75 - i % 5]
+        out.append((i * 7 % n, " ".join([*own[:30], *(cut if i % 3 == 0 else []), *own[30:]])))
+    return [*out, (n, out[3][1]), (None, out[6][1]), (4, out[9][1]), (4, out[9][1])]
+
+
+@pytest.mark.parametrize("hot, held", [(2, 64 << 20), (20, 64 << 20), (2, 4_000)])
+def test_windows_of_hot_anchors_are_dealt_out_one_by_one(spark, monkeypatch, hot, held):
+    monkeypatch.setattr(anchors, "HOT_PLACES", hot)
+    monkeypatch.setattr(anchors, "HELD", held)
+    for texts in (shared_passage(), odd.texts()):
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+        words = fm_dedup.remove_repeated_windows(docs).collect()
+        got = [(r.doc_id, r.size, sum(s.high - s.low for s in r.spans), hashlib.sha256(r.kept).hexdigest()) for r in words]
+        assert sorted(got, key=repr) == sorted(brute.repeated_words(texts), key=repr)
+        strings = suffix_dedup.remove_repeated_strings(docs).collect()
+        got = [(r.doc_id, r.size, sum(s.high - s.low for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in strings]
+        assert sorted(got, key=repr) == sorted(brute.repeated_bytes(texts), key=repr)
+
+
+def test_hot_anchors_are_found(spark):
+    docs = spark.createDataFrame(shared_passage(), "doc_id long, text string")
+    rows = docs.select(F.col("text").cast("binary").alias("text"))
+    assert len(anchors.repeated_anchors(rows, fm_dedup.SCHEME)[1]) == 0
+
+
 def test_suffix_array_sorts_suffixes():
     rng = np.random.default_rng(5)
     for n in [0, 1, 2, 3, 4, 5, 6, 7, *rng.integers(8, 90, 60).tolist()]:
