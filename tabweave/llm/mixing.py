@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabweave.llm.text import WORD, free_name, word_count
+from tabweave.session import materialize
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -123,7 +124,8 @@ def mix_sources(
     keyed = base.withColumn(sk, F.when(kind.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), kind)))
     keyed = keyed.withColumn("size", word_count(words)).withColumn(h, F.md5(F.concat_ws("|", doc.cast("string"), words)))
     keyed = keyed.withColumn(stretch, F.substring(h, 1, STRETCH_DIGITS))
-    sums = keyed.groupBy(sk, stretch).agg(F.sum("size").alias("_n"))
+    # A row for each stretch, written so that the texts are not read for each use of it.
+    sums = materialize(keyed.groupBy(sk, stretch).agg(F.sum("size").alias("_n")), "stretches")
     targets = source_targets(sums, sk, "_n", schedules, share, most)
     earlier = Window.partitionBy(sk).orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn(start, F.coalesce(F.sum("_n").over(earlier), F.lit(0))).join(targets, sk)
