@@ -29,14 +29,13 @@ BLOCK_WORDS = 500_000
 _PARTS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def shingles(text: bytes | None, n: int) -> list[bytes]:
-    """The word shingles of ``text``, repeats included; of fewer than ``n`` words, the whole; of none, nothing.
+def words_of(text: bytes | None) -> list[bytes]:
+    """The words, A-Z in lower case: runs of ASCII letters and digits and of all other characters."""
+    return text.lower().translate(_PARTS).split() if text else []
 
-    A-Z are taken in lower case; words are runs of ASCII letters and digits and of all other characters.
-    """
-    words = text.lower().translate(_PARTS).split() if text else []
-    if len(words) <= n:
-        return [b" ".join(words)] if words else []
+
+def shingles(words: list[bytes], n: int) -> list[bytes]:
+    """The shingles of ``n`` words, repeats included; of fewer words, none."""
     return list(map(b" ".join, zip(*(words[i:] for i in range(n)), strict=False)))
 
 
@@ -53,18 +52,27 @@ def sketch_size(n: int, threshold: float) -> int:
 
 @dataclass
 class Index:
-    """The items of a block: shingle sets by item, and the items by the shingles of their sketches."""
+    """The items of a block: shingle sets by item, and the items by the shingles of their sketches.
+
+    An item of fewer words than a shingle is one shingle of its own length, a whole number of words like any other;
+    ``lengths`` has the lengths of the block's shingles.
+    """
 
     threshold: float
+    shingle: int
+    lengths: set[int] = field(default_factory=set)
     ids: list = field(default_factory=list)
     sets: list[frozenset[bytes]] = field(default_factory=list)
     needed: list[int] = field(default_factory=list)
     by_shingle: dict[bytes, list[int]] = field(default_factory=lambda: defaultdict(list))
 
-    def add(self, item, text: bytes | None, shingle: int) -> None:
-        found = frozenset(shingles(text, shingle))
-        if not found:
+    def add(self, item, text: bytes | None) -> None:
+        words = words_of(text)
+        if not words:
             return
+        length = min(self.shingle, len(words))
+        found = frozenset(shingles(words, length))
+        self.lengths.add(length)
         ranked = sorted(found, key=lambda s: (xxhash.xxh64_intdigest(s), s))
         sketch = ranked[: sketch_size(len(found), self.threshold)]
         # Shingles that a document with the item may miss can all be in the sketch.
@@ -74,8 +82,10 @@ class Index:
         self.ids.append(item)
         self.sets.append(found)
 
-    def search(self, parts: list[bytes]) -> list[tuple[int, int]]:
+    def search(self, text: bytes | None) -> list[tuple[int, int]]:
         """Places of the items that the document holds, each with the number of its shingles found."""
+        words = words_of(text)
+        parts = [s for n in sorted(self.lengths) for s in shingles(words, n)]
         hits = set(filter(self.by_shingle.__contains__, parts))
         if not hits:
             return []
@@ -97,9 +107,9 @@ def _blocks(items: DataFrame, key: str, text: str, shingle: int, threshold: floa
     size = F.coalesce(F.octet_length("text"), F.lit(0)) / 4
     blocks = max(1, math.ceil((rows.agg(F.sum(size)).first()[0] or 0) / block_words))
     for b in range(blocks):
-        index = Index(threshold)
+        index = Index(threshold, shingle)
         for row in rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).toLocalIterator():
-            index.add(row.id, bytes(row.text) if row.text is not None else None, shingle)
+            index.add(row.id, bytes(row.text) if row.text is not None else None)
         # Items of one text are found together; their order does not matter.
         yield index
 
@@ -117,8 +127,8 @@ def find_leaks(
 ) -> DataFrame:
     """A row for every document and item it holds: both keys, ``shared`` and ``containment``.
 
-    Whole texts are searched. Items without words are in no document; an item of fewer words than a shingle is
-    only in documents that consist of these words. Null texts hold nothing, null keys are reported as null,
+    Whole texts are searched. Items without words are in no document; an item of fewer words than a shingle is in the
+    documents in which all its words stand together. Null texts hold nothing, null keys are reported as null,
     repeated documents or items are reported as often as they occur. Documents are not shuffled.
     """
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"))
@@ -135,7 +145,7 @@ def find_leaks(
             for batch in batches:
                 docs_at, items_at, shared = [], [], []
                 for at, value in enumerate(batch.column("text")):
-                    for i, n in index.search(shingles(value.as_py(), shingle)):
+                    for i, n in index.search(value.as_py()):
                         docs_at.append(at)
                         items_at.append(i)
                         shared.append(n)
@@ -161,7 +171,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
             index = sent.value
             for batch in batches:
                 texts = batch.column(place).cast(pa.binary())
-                yield batch.filter(pa.array([not index.search(shingles(x.as_py(), shingle)) for x in texts], pa.bool_()))
+                yield batch.filter(pa.array([not index.search(x.as_py()) for x in texts], pa.bool_()))
 
         kept = kept.mapInArrow(keep, docs.schema)
     return kept

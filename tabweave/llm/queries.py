@@ -83,17 +83,18 @@ WITH d AS (
 i AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-ds AS (
-  SELECT DISTINCT doc_id, s FROM (
-    SELECT doc_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
-    FROM d WHERE len(w) > 0)),
 its AS (
-  SELECT DISTINCT item_id, s FROM (
-    SELECT item_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+  SELECT DISTINCT item_id, m, s FROM (
+    SELECT item_id, least(len(w), 5) AS m,
+           unnest([array_to_string(w[x:x+least(len(w), 5)-1], ' ') FOR x IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
     FROM i WHERE len(w) > 0)),
+ds AS (
+  SELECT DISTINCT doc_id, m, s FROM (
+    SELECT doc_id, m, unnest([array_to_string(w[x:x+m-1], ' ') FOR x IN range(1, len(w) - m + 2)]) AS s
+    FROM d CROSS JOIN (SELECT DISTINCT m FROM its) WHERE len(w) >= m)),
 n AS (SELECT item_id, count(*) AS n FROM its GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS shared, count(*)::DOUBLE / any_value(n) AS containment
-FROM its JOIN ds USING (s) JOIN n USING (item_id)
+FROM its JOIN ds USING (m, s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8 - 1e-9)
 """
 

@@ -79,22 +79,21 @@ def simhash_components(docs, n=3, distance=2):
     return [(d, f"{p:016x}", names[root(i)]) for i, (d, p) in enumerate(prints)]
 
 
-def shingle_set(text, n=5):
-    words = ALNUM.findall((text or "").translate(LOWER))
-    if not words:
-        return set()
-    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+def gram_set(words, n):
+    return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-def leaks(docs, items, threshold=0.8):
-    """(doc_id, item_id, shared) of every document and item it holds."""
-    sets = [(i, shingle_set(t)) for i, t in items]
+def leaks(docs, items, threshold=0.8, n=5):
+    """(doc_id, item_id, shared) of every document and item it holds; a short item is one shingle of its own length."""
+    sets = [(i, w, min(n, len(w))) for i, t in items if (w := ALNUM.findall((t or "").translate(LOWER)))]
     out = []
     for d, t in docs:
-        own = shingle_set(t)
-        for i, s in sets:
-            if s and len(s & own) >= math.ceil(threshold * len(s) - 1e-9):
-                out.append((d, i, len(s & own)))
+        words = ALNUM.findall((t or "").translate(LOWER))
+        own = {m: gram_set(words, m) for m in {m for *_, m in sets}}
+        for i, w, m in sets:
+            s = gram_set(w, m)
+            if len(s & own[m]) >= math.ceil(threshold * len(s) - 1e-9):
+                out.append((d, i, len(s & own[m])))
     return out
 
 

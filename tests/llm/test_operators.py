@@ -207,6 +207,11 @@ def test_leaks(spark):
         dirty = {d for d, _, _ in got}
         assert kept.columns == odd.docs(spark).columns
         assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((d for d, _ in odd.texts() if d not in dirty), key=repr)
+    # A short item is found within longer texts, where its words stand together.
+    short = spark.createDataFrame([(1, "Forty two!"), (2, "answer is forty two"), (3, "two forty")], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "The answer is forty-two, they say."), (2, "forty or two"), (3, "forty two")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.containment) for r in decontaminate.find_leaks(texts, short).collect())
+    assert got == [(1, 1, 1.0), (1, 2, 1.0), (3, 1, 1.0)]
     assert decontaminate.find_leaks(odd.docs(spark), table.limit(0)).count() == 0
     assert decontaminate.find_leaks(odd.none(spark), table).count() == 0
 
