@@ -1,22 +1,24 @@
 """Exact top-k search by inner product, in tiles.
 
-The queries go to the tasks in blocks. Each task multiplies a block with tiles of its shard of the vectors
-and keeps the best of each tile; the lists of the shards are merged in a tree.
+The queries are a table of blocks, the vectors are dealt out to shards. Every block meets every shard once, in a
+task of its own that multiplies tiles of both and keeps the best of each tile; the lists of the shards are merged
+in a tree. Neither queries nor vectors come to the driver, and no task holds more than a block and a shard.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Queries of a block, which is one pass over the vectors; candidates of a tile; lists merged at a time.
-QUERY_BLOCK = 4096
-TILE = 2048
+# Queries of a block, and vectors of a shard at most and at least; both go through the shuffle once for each of the
+# other. Queries and candidates of a tile; lists merged at a time.
+QUERY_BLOCK = 1 << 16
+SHARD, LEAST_SHARD = 1 << 16, 1 << 11
+QUERIES, TILE = 4096, 2048
 FAN_IN = 16
 
 _EXACT = 2**53
@@ -91,55 +93,57 @@ def top_k(
     ``queries`` selects the rows that ask; candidates are all rows with another key and as many components.
     Scores are inner products of the components as whole numbers, exact; ties go to the smaller key. A query
     with fewer candidates gets all, without any none. Rows that share a key count as one query, asked by the
-    least of their vectors, and as a candidate each.
+    least of their vectors, and as a candidate each. A score that fits no long raises ``OverflowError``.
     """
     rows = _usable(df, key, vector)
     asked = _usable(df.filter(queries), key, vector).groupBy("key").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(asked.count() / query_block))
-    shards = rows.rdd.getNumPartitions()
-    lists = None
-    for b in range(blocks):
-        chosen = asked.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).collect()
-        by_size: dict[int, tuple[list, list]] = {}
-        for row in chosen:
-            ids, vectors = by_size.setdefault(len(row.v), ([], []))
-            ids.append(row.key)
-            vectors.append(row.v)
-        block = {
-            d: (np.array(ids, np.int64), np.floor(scale * np.array(vectors, np.float64).reshape(len(ids), d)))
-            for d, (ids, vectors) in by_size.items()
-        }
-        sent = df.sparkSession.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            part, best = TaskContext.get().partitionId(), {}
-            for batch in batches:
-                keys = batch.column("key").to_numpy()
-                for d, (at, matrix) in _matrix(batch.column("v"), scale).items():
-                    if d not in sent.value:
-                        continue
-                    own, asking = sent.value[d]
-                    order = np.argsort(keys[at], kind="stable")
-                    ids, matrix = keys[at][order], matrix[order]
-                    for i in range(0, len(ids), TILE):
-                        scores, picked, held = _tile(asking, own, matrix[i : i + TILE], ids[i : i + TILE], k)
-                        scores = np.where(held, scores, np.iinfo(np.int64).min + 1)
-                        if d in best:
-                            scores = np.concatenate([best[d][0], scores], axis=1)
-                            picked = np.concatenate([best[d][1], picked], axis=1)
-                        best[d] = _best(scores, picked, k)
-            for d, (scores, picked) in best.items():
+    count = rows.count()
+    shard = min(SHARD, max(LEAST_SHARD, count // (4 * df.sparkSession.sparkContext.defaultParallelism)))
+    shards = max(1, math.ceil(count / shard))
+    # Places in the scan spread rows evenly, whatever their keys and vectors.
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("part")
+    dealt = rows.select("key", "v", place).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block")
+    table = asked.groupBy(block).agg(F.collect_list(F.struct("key", "v")).alias("asked"))
+    table = table.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+    top = pa.list_(pa.struct([("minus", pa.int64()), ("id", pa.int64())]))
+    found = pa.schema([("query", pa.int64()), ("part", pa.int64()), ("top", top)])
+
+    def search(vectors: pa.Table, asking: pa.Table) -> pa.Table:
+        if not vectors.num_rows or not asking.num_rows:
+            return found.empty_table()
+        part = vectors.column("part")[0].as_py()
+        asks = asking.column("asked").combine_chunks().flatten()
+        own = asks.field("key").to_numpy()
+        keys, parts = vectors.column("key").to_numpy(), []
+        candidates = _matrix(vectors.column("v").combine_chunks(), scale)
+        for d, (places, matrix) in _matrix(asks.field("v"), scale).items():
+            if d not in candidates:
+                continue
+            at, shard = candidates[d]
+            order = np.argsort(keys[at], kind="stable")
+            ids, shard = keys[at][order], shard[order]
+            for q in range(0, len(places), QUERIES):
+                names, block, best = own[places[q : q + QUERIES]], matrix[q : q + QUERIES], None
+                for i in range(0, len(ids), TILE):
+                    scores, picked, held = _tile(block, names, shard[i : i + TILE], ids[i : i + TILE], k)
+                    scores = np.where(held, scores, np.iinfo(np.int64).min + 1)
+                    if best is not None:
+                        scores = np.concatenate([best[0], scores], axis=1)
+                        picked = np.concatenate([best[1], picked], axis=1)
+                    best = _best(scores, picked, k)
+                scores, picked = best
                 held = scores > np.iinfo(np.int64).min + 1
                 ends = np.concatenate([[0], np.cumsum(held.sum(axis=1))]).astype(np.int32)
-                found = pa.StructArray.from_arrays([pa.array(-scores[held]), pa.array(picked[held])], ["minus", "id"])
-                top = pa.ListArray.from_arrays(pa.array(ends), found)
-                query = pa.array(sent.value[d][0])
-                yield pa.RecordBatch.from_arrays([query, pa.array(np.full(len(query), part)), top], ["query", "part", "top"])
-
-        part = rows.select("key", "v").mapInArrow(search, "query long, part long, top array<struct<minus:long,id:long>>")
-        lists = part if lists is None else lists.unionByName(part)
+                lists = pa.StructArray.from_arrays([pa.array(-scores[held]), pa.array(picked[held])], ["minus", "id"])
+                columns = [pa.array(names), pa.array(np.full(len(names), part)), pa.ListArray.from_arrays(pa.array(ends), lists)]
+                parts.append(pa.Table.from_arrays(columns, schema=found))
+        return pa.concat_tables(parts) if parts else found.empty_table()
+
+    by = ["block", "part"]
+    lists = dealt.groupBy(*by).cogroup(table.groupBy(*by))
+    lists = lists.applyInArrow(search, "query long, part long, top array<struct<minus:long,id:long>>")
     merged = F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k).alias("top")
     while shards > FAN_IN:
         lists = lists.groupBy("query", F.floor(F.col("part") / FAN_IN).alias("part")).agg(merged)

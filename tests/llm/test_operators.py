@@ -380,13 +380,16 @@ def test_votes_are_exact_neighbours():
 
 
 @pytest.mark.parametrize("big", [False, True])
-def test_top_k(spark, big):
+def test_top_k(spark, monkeypatch, big):
     rng = np.random.default_rng(2)
     scale = 3e5 if big else 1.0
     vectors = [(i, (rng.normal(size=4) * scale).tolist()) for i in range(60)] + [(i, [scale] * 4) for i in range(60, 90)]
     vectors += [(90, None), (91, [None, 1.0, 1.0, 1.0]), (92, [float("nan")] * 4), (93, [float("inf")] * 4), (94, []),
                 (95, [1.0, 2.0]), (100, [2.0, 1.0]), (None, [1.0] * 4), (61, [scale] * 4)]
     table = spark.createDataFrame([(i, v, 1) for i, v in vectors], "vec_id long, embedding array<double>, rank int").repartition(20)
+    # Several blocks, shards and tiles of either.
+    for name, n in (("LEAST_SHARD", 7), ("SHARD", 7), ("QUERIES", 1), ("TILE", 3)):
+        monkeypatch.setattr(topk, name, n)
     got = topk.top_k(table, F.col("vec_id") % 20 == 0, 5, query_block=2)
     usable = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors
               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
