@@ -46,6 +46,8 @@ class Context:
     own: DataFrame | None = None
     # Copies planned by former imports, ``(migration, src_key, wanted, to)``: their names stay theirs.
     copies: DataFrame | None = None
+    # Rows so few beside the tables they look things up in that these are cut down to what is asked, not shuffled.
+    few: bool = False
     # Jobs for which a lookup may ask for a stub; without it, all.
     stub_jobs: Sequence[str] | None = None
 
@@ -237,7 +239,7 @@ def _load_entity(df, value, out, cfg, ctx):
     kind = cfg["entity_type"].removeprefix("entity:")
     if kind not in ctx.targets:
         raise ValueError(f"No rows of type {kind!r} to load from")
-    return lookups.load_entity(df, value, ctx.targets[kind], out, row_key=ctx.key)
+    return lookups.load_entity(df, value, ctx.targets[kind], out, row_key=ctx.key, few=ctx.few)
 
 
 def _file_copy(df, value, out, cfg, ctx):

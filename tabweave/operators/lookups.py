@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.text import key_text, source_col, target_id
-from tabweave.session import BROADCAST_ROWS, bounded_broadcast
+from tabweave.session import BROADCAST_ROWS, bounded_broadcast, materialize
 
 _KEY, _HIT = "_lookup_key", "_lookup_hit"
 
@@ -96,9 +96,16 @@ def entity_lookup(
     return df.join(listed, F.col(row_key) == F.col("_row_key"), "left").drop("_row_key")
 
 
-def id_map_of(id_map: DataFrame, migration: str) -> DataFrame:
-    """Known ids of one job as a dimension; rows without a target do not count."""
+def only_asked(known: DataFrame, key: str, df: DataFrame, asked: Column) -> DataFrame:
+    """The rows of ``known`` that the few rows of ``df`` ask for; ``known`` is scanned and not shuffled."""
+    keys = df.select(asked.cast("string").alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
+    return known.join(F.broadcast(keys), source_col(key).cast("string") == F.col("_asked"), "left_semi")
+
+
+def id_map_of(id_map: DataFrame, migration: str, df: DataFrame | None = None, asked: Column | None = None) -> DataFrame:
+    """Known ids of one job as a dimension, or those that ``df`` asks for; rows without a target do not count."""
     rows = id_map.filter((F.col("migration") == migration) & F.col("dest_id").isNotNull())
+    rows = rows if df is None else only_asked(rows, "src_key", df, asked)
     return one_per_key(rows, F.col("src_key"), F.col("dest_id"))
 
 
@@ -111,16 +118,21 @@ def migration_lookup(
     source_ids: Mapping[str, Sequence[str]] | None = None,
     row_key: str | None = None,
     own: tuple[str, DataFrame] | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Source key to target id through the id maps of other jobs; the first hit in listed order.
 
     Each map may be asked with key columns of its own, ``source_ids``; all others with ``value``.
-    ``own`` is the running job and the rows of its sheet, which count as known to that job.
+    ``own`` is the running job and the rows of its sheet, which count as known to that job. If there are ``few``
+    rows, so that their keys can be broadcast, they are written once and a map is cut down to what they ask before
+    it is joined, instead of being shuffled whole.
     """
     names = [migrations] if isinstance(migrations, str) else list(migrations)
     columns = [value] if isinstance(value, str) else list(value)
     spread = source_col(row_key) if row_key else None
     hits = []
+    df = materialize(df, "asking") if few and id_map is not None else df
+    asking = df if few else None
     for i, name in enumerate(names):
         asked = list((source_ids or {}).get(name, columns))
         key = F.when(
@@ -128,7 +140,7 @@ def migration_lookup(
             key_text([source_col(c) for c in asked]),
         )
         if id_map is not None:
-            df = left_lookup(df, key, id_map_of(id_map, name), f"_hit_{i}", spread)
+            df = left_lookup(df, key, id_map_of(id_map, name, asking, key), f"_hit_{i}", spread)
             hits.append(f"_hit_{i}")
         if own is not None and own[0] == name:
             df = df.withColumn(f"_key_{i}", key)
@@ -169,9 +181,15 @@ def members(*values: Column) -> Column:
 
 
 def load_entity(
-    df: DataFrame, value: str, targets: DataFrame, out: str, id_column: str = "id", row_key: str | None = None
+    df: DataFrame, value: str, targets: DataFrame, out: str, id_column: str = "id", row_key: str | None = None, few: bool = False
 ) -> DataFrame:
-    """Target id to the full row it names, as a struct. Ids are unique in a target table."""
+    """Target id to the full row it names, as a struct. Ids are unique in a target table.
+
+    If there are ``few`` rows, the targets are cut down to those they name before they are joined.
+    """
+    if few:
+        df = materialize(df, "asking")
+        targets = only_asked(targets, id_column, df, source_col(value))
     rows = targets.select(source_col(id_column).cast("string").alias(_KEY), F.struct("*").alias(out))
     asked = _asked(source_col(value), source_col(row_key) if row_key else None)
     return df.join(rows, asked == F.col(_KEY), "left").drop(_KEY)

@@ -349,7 +349,7 @@ class MappingPlan:
             own = (self.ctx.migration, rows)
         elif self.ctx.id_map is None:
             raise ValueError(f"No id map to look up {', '.join(names)}")
-        self.df = lookups.migration_lookup(self.df, asked, self.ctx.id_map, names, out, source_ids, key, own)
+        self.df = lookups.migration_lookup(self.df, asked, self.ctx.id_map, names, out, source_ids, key, own, self.ctx.few)
         if step.get("no_stub"):
             return
         target = step.get("stub_id") or names[0]

@@ -30,8 +30,12 @@ from tabweave.plans.ordering import levels_of
 from tabweave.plans.store import ID_MAP, Store
 from tabweave.plans.store import COPIES as COPY_ROWS
 from tabweave.plans.store import MESSAGES as MESSAGE_ROWS
+from tabweave.session import BROADCAST_ROWS, bounded_broadcast
 from tabweave.sources.delimited import with_keys
 
+# Id maps of more bytes than this are cut down to what the few rows of an incremental import ask.
+LARGE_MAPS = 64 << 20
+
 _ERROR, _HASH, _CAST = "_key_error", "_sheet_row_hash", "_cast_error"
 
 
@@ -181,6 +185,7 @@ def import_job(store: Store, group: Group, job: Job, options: Options | None = N
         todo.write.parquet(compared)
         todo = store.spark.read.schema(todo.schema).parquet(compared)
     context = _context(store, group, job, options)
+    context.few = compared is not None and store.bytes_of("id_map") > LARGE_MAPS and todo.count() <= BROADCAST_ROWS
     good, imported = todo.filter(F.col(_ERROR).isNull()), None
     while True:
         result = compile_mapping(good, job.mapping, context, ["src_key", "row_hash"])
@@ -283,8 +288,10 @@ def _keep_stubs(store: Store, group: Group, rows: DataFrame) -> set[str]:
         if mine.isEmpty():
             continue
         stubbed.add(job.name)
-        known = store.id_map(job.name)
-        new = mine.join(known.filter(F.col("dest_id").isNotNull()), "src_key", "left_anti").select("src_key")
+        # The map is cut down to the keys asked for, so that it is not shuffled for a few of them.
+        known = store.id_map(job.name).filter(F.col("dest_id").isNotNull()).select("src_key")
+        known = known.join(bounded_broadcast(mine.select("src_key"), mine.count()), "src_key", "left_semi")
+        new = mine.join(known, "src_key", "left_anti").select("src_key")
         made = target_id(F.lit(job.name), F.col("src_key"))
         entries = new.select(
             "src_key",

@@ -143,6 +143,11 @@ class Store:
         fs, at = self._fs(path)
         return fs.getContentSummary(at).getLength()
 
+    def bytes_of(self, table: str) -> int:
+        """Bytes of a table of all jobs, as the file system tells."""
+        path = f"{self.root}/{table}"
+        return self._bytes(path) if self.exists(path) else 0
+
     def _tidy(self, table: str, migration: str) -> None:
         """Compact a table whose changes are many or a share of it. Sizes are asked of the file system."""
         folder = self.folder(table, migration)
