@@ -3,7 +3,8 @@
 The 64 bits of a fingerprint are cut into segments, and the bits set in each make a vector. Two fingerprints
 differ in at least as many bits as their vectors differ in Manhattan distance. Vectors at distance 2 or less
 have a common vector at distance 1 or less, so each fingerprint is put into its own grid cell and those one
-step away; fingerprints that meet in a cell are compared exactly.
+step away; fingerprints that meet in a cell are compared exactly. Around cells that are dense, the grid is refined
+to segments of one bit, whose cells hold 65 fingerprints at most, and these are dealt out to all tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ SEGMENTS = 16
 DISTANCE = 2
 # Cells with more fingerprints than this are refined to single bits instead of compared pair by pair.
 PAIRWISE = 256
+# Cells with more fingerprints of their own than this are refined by Spark, and so are those a step away. Any other
+# cell is in reach of 33 cells, so that a task meets 33 times as many fingerprints in it at most.
+DENSE = 1 << 11
 # Rows of the grid that a task compares at a time, and shingles counted at a time.
 CHUNK = 1 << 18
 SHINGLES = 1 << 16
@@ -65,16 +69,37 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int) -> DataFram
     return rows.mapInArrow(of, f"key {kind}, fp long")
 
 
-def grid(prints: DataFrame) -> DataFrame:
-    """``cell`` and ``fp``: every distinct fingerprint in its own cell and in those one step away."""
+def _placed(prints: DataFrame) -> DataFrame:
+    """``fp``, ``own``, its cell, and ``steps``, what leads from it to itself and to the cells one step away, with nulls."""
     width = 64 // SEGMENTS
     counts = [F.bit_count(F.shiftright("fp", width * i).bitwiseAND((1 << width) - 1)) for i in range(SEGMENTS)]
-    vector = prints.select("fp", F.array(*counts).alias("n"))
-    place = sum((F.get("n", F.lit(i)).cast("bigint") * (1 << 3 * i) for i in range(SEGMENTS)), F.lit(0).cast("bigint"))
-    own = vector.select("fp", "n", place.alias("own"))
-    up = [F.when(F.get("n", F.lit(i)) < width, F.col("own") + (1 << 3 * i)) for i in range(SEGMENTS)]
-    down = [F.when(F.get("n", F.lit(i)) > 0, F.col("own") - (1 << 3 * i)) for i in range(SEGMENTS)]
-    return own.select(F.explode(F.array("own", *up, *down)).alias("cell"), "fp").filter("cell IS NOT NULL")
+    place = sum((n.cast("bigint") * (1 << 3 * i) for i, n in enumerate(counts)), F.lit(0).cast("bigint"))
+    up = [F.when(n < width, F.lit(1 << 3 * i).cast("bigint")) for i, n in enumerate(counts)]
+    down = [F.when(n > 0, F.lit(-(1 << 3 * i)).cast("bigint")) for i, n in enumerate(counts)]
+    return prints.select("fp", place.alias("own"), F.array(F.lit(0).cast("bigint"), *up, *down).alias("steps"))
+
+
+def grid(prints: DataFrame) -> DataFrame:
+    """``cell`` and ``fp``: every distinct fingerprint in its own cell and in those one step away."""
+    steps = _placed(prints).select("fp", "own", F.explode("steps").alias("step")).filter("step IS NOT NULL")
+    return steps.select((F.col("own") + F.col("step")).alias("cell"), "fp")
+
+
+def dense_cells(prints: DataFrame) -> DataFrame:
+    """``cell``: those that more than ``DENSE`` distinct fingerprints have as their own, and those a step away."""
+    own = _placed(prints).groupBy("own").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("fp"))
+    return grid(own.filter(F.col("n") > DENSE).select("fp")).select("cell").distinct()
+
+
+def links_by_bits(prints: DataFrame) -> DataFrame:
+    """``a`` and ``b``: links between fingerprints that share a neighbour at one flipped bit, to the least of these.
+
+    A neighbour is that of 65 distinct fingerprints at most, so that no group is large, and nothing is left to verify.
+    """
+    near = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
+    points = prints.select(F.explode(near).alias("point"), "fp")
+    met = points.groupBy("point").agg(F.collect_set("fp").alias("met")).filter(F.size("met") > 1)
+    return met.select(F.explode("met").alias("a"), F.array_min("met").alias("b")).filter("a != b")
 
 
 def _refined(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,9 +143,21 @@ def links(prints: DataFrame) -> DataFrame:
     """``a`` and ``b``: links at ``DISTANCE`` or less that connect all fingerprints of ``fp`` that such links connect.
 
     Each task reduces the links it verifies to stars, so their number is at most that of the fingerprints it
-    read, not of the pairs among them. A cell is held in memory by one task at 8 bytes per distinct fingerprint.
+    read, not of the pairs among them. A task holds the fingerprints of one cell, of which there is a bound: dense
+    cells and those around them are linked by single bits instead, with the same outcome.
     """
-    cells = grid(prints.select("fp").distinct())
+    nodes = prints.select("fp").distinct()
+    dense = materialize(dense_cells(nodes), "dense")
+    cells, number = grid(nodes), dense.count()
+    if number == 0:
+        return _links_in_cells(cells)
+    dense = bounded_broadcast(dense, number)
+    crowded = cells.join(dense, "cell", "left_semi").select("fp").distinct()
+    return _links_in_cells(cells.join(dense, "cell", "left_anti")).unionByName(links_by_bits(crowded))
+
+
+def _links_in_cells(cells: DataFrame) -> DataFrame:
+    """Verified links between the fingerprints of every cell, as stars of what a task reads."""
     cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell", "fp")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -414,7 +414,10 @@ def test_near_duplicates(spark):
     assert sorted(i for i in ids if i is not None) == sorted(named) and ids.count(None) == 2
 
 
-def test_fingerprints_at_two_bits_are_linked_and_at_three_are_not(spark):
+@pytest.mark.parametrize("dense", [simhash.DENSE, 10, 0])
+def test_fingerprints_at_two_bits_are_linked_and_at_three_are_not(spark, monkeypatch, dense):
+    # Without dense cells, with the few around the crowd, and with every cell refined by Spark.
+    monkeypatch.setattr(simhash, "DENSE", dense)
     rng = np.random.default_rng(3)
     prints = set(rng.integers(0, 2**63, 300).tolist())
     for p in list(prints)[:60]:
@@ -435,7 +438,9 @@ def test_fingerprints_at_two_bits_are_linked_and_at_three_are_not(spark):
         if (after == label).all():
             break
         label = after
-    links = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long")
+    assert (simhash.dense_cells(frame).count() > 0) == (dense < simhash.PAIRWISE)
+    links = simhash.links(frame)
     roots = {r.node: r.root for r in graph.components(links, "a", "b").collect()}
     got = defaultdict(set)
     for i, p in enumerate(prints):
