@@ -82,6 +82,15 @@ def sheet_chunk(spark, sf):
     return D.row_chunk(sheet_row_index(spark, sf), start=101, size=1000, row="row_index")
 
 
+def sheet_chunk_kept(spark, sf):
+    """All orders as a numbered sheet that is kept in blocks, and the tenth of its rows behind the middle."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    numbered = running_number(orders, [], ["o_orderkey"], "row_index")
+    kept = D.keep_numbered(numbered, scratch_path(spark, "sheet_kept"), "row_index")
+    rows = kept.count()
+    return D.row_chunk(kept, start=rows // 2, size=rows // 10, row="row_index")
+
+
 def sheet_keys(spark, sf):
     turns = table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("conv_id"), F.col("turn").cast("string").alias("turn"), "role"
@@ -176,6 +185,12 @@ QUERIES = {
         sheet_chunk,
         f"SELECT * FROM ({_ROW_INDEX_SQL}) WHERE row_index = 1 OR (row_index >= 101 AND row_index < 1101)",
     ),
+    "sheet_chunk_kept": (
+        sheet_chunk_kept,
+        """SELECT o_orderkey, o_orderstatus, row_index
+           FROM (SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) AS row_index, count(*) OVER () AS n FROM orders)
+           WHERE row_index = 1 OR (row_index >= n // 2 AND row_index < n // 2 + n // 10)""",
+    ),
     "sheet_keys": (
         sheet_keys,
         "SELECT CAST(conv_id AS VARCHAR) || chr(31) || CAST(turn AS VARCHAR) AS src_key, role FROM conversations",

@@ -17,6 +17,8 @@ from tabweave.session import bounded_broadcast, materialize
 ROW = "_row"
 # Lines that are looked at first for a header whose cells may hold line breaks.
 FIRST_LINES = 100
+# Bytes of a block of a kept sheet: what a chunk reads beside its own rows at either end.
+KEPT_BLOCK = 8 << 20
 
 _FILE, _BLOCK, _POS = "_file", "_block", "_pos"
 
@@ -263,9 +265,23 @@ def read_sheet(
     return rows.filter(below).select(*picked)
 
 
+def keep_numbered(sheet: DataFrame, path: str, row: str = ROW, block_bytes: int = KEPT_BLOCK) -> DataFrame:
+    """Write a numbered sheet once, so that a chunk of it reads only the blocks that hold its rows.
+
+    Rows lie in the order of their numbers within a file, and each block's footer entry has its least and greatest
+    number: an index from rows to blocks that Spark consults by itself. Nothing is shuffled. Rows of several files
+    with the same number lie together, a sheet without rows gives a table without rows, and rows without a number
+    are kept. ``path`` must not exist.
+    """
+    blocks = sheet.sortWithinPartitions(source_col(row))
+    # A block's size is looked at every so many rows; the usual distance would let small blocks grow.
+    blocks.write.options(**{"parquet.block.size": block_bytes, "parquet.page.size.row.check.min": 100}).parquet(path)
+    return sheet.sparkSession.read.schema(sheet.schema).parquet(path)
+
+
 def row_chunk(df: DataFrame, start: int, size: int, row: str = ROW) -> DataFrame:
-    """Row 1 and the rows of [start, start + size)."""
-    at = F.col(row)
+    """Row 1 and the rows of [start, start + size); of a sheet from :func:`keep_numbered`, only their blocks are read."""
+    at = source_col(row)
     return df.filter((at == 1) | ((at >= start) & (at < start + size)))
 
 

@@ -97,6 +97,30 @@ def test_chunk(spark):
     assert sorted(r[0] for r in D.row_chunk(df, 5, 3).collect()) == [1, 5, 6, 7]
 
 
+def _rows_scanned(df):
+    """Rows that the scan below ``df`` gave out when ``df`` was collected."""
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_chunks_of_a_kept_sheet_read_their_blocks_only(spark, tmp_path):
+    rows = 40_000
+    text = F.sha2(F.col("id").cast("string"), 512)
+    sheet = spark.range(1, rows + 1, 1, 4).select(F.col("id").alias("a row"), text.alias("Text"))
+    kept = D.keep_numbered(sheet, str(tmp_path / "kept"), "a row", block_bytes=64 << 10)
+    for start, size in ((20_001, 500), (1, 10), (rows - 5, 100), (rows + 1, 10)):
+        chunk = D.row_chunk(kept, start, size, "a row")
+        found = sorted(r[0] for r in chunk.collect())
+        assert found == sorted({1} | set(range(start, min(start + size, rows + 1))))
+        assert _rows_scanned(chunk) < rows / 5
+    assert kept.count() == rows and kept.agg(F.sum(F.crc32("Text"))).first() == sheet.agg(F.sum(F.crc32("Text"))).first()
+    odd = spark.createDataFrame([(1, "a"), (None, "b"), (2, ""), (2, None)], "row long, T string")
+    again = D.keep_numbered(odd, str(tmp_path / "odd"), "row")
+    assert again.count() == 4 and sorted(r.row for r in D.row_chunk(again, 2, 1, "row").collect()) == [1, 2, 2]
+    none = D.keep_numbered(odd.limit(0), str(tmp_path / "none"), "row")
+    assert none.schema == odd.schema and D.row_chunk(none, 1, 9, "row").count() == 0
+
+
 def test_worksheets(spark, cells):
     rows = {(r.file, r.ID, r["T"], r["_c2"]) for r in W.select_worksheet(cells, "s1").collect()}
     assert rows == {("a", "1", "", ""), ("a", "", "x", ""), ("b", "9", "", "")}
